@@ -61,13 +61,16 @@ def fact_sales(orders: DataFrame) -> DataFrame:
 
 
 def revenue_by_country(
-    fact: DataFrame, customers: DataFrame, limits: Limits = DEFAULT_LIMITS
+    fact: DataFrame,
+    customers: DataFrame,
+    limits: Limits = DEFAULT_LIMITS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Revenue and distinct orders per country, highest first."""
     sold = fact.select("order_id", "customer_id", "order_amount")
     homes = customers.select("customer_id", "country")
     return (
-        lookup(sold, homes, ["customer_id"], "inner", limits, probe=sold)
+        lookup(sold, homes, ["customer_id"], "inner", limits, probe)
         .groupBy("country")
         .agg(exact_sum("order_amount").alias("revenue"), F.count_distinct("order_id").alias("orders"))
         .orderBy(F.desc("revenue"), "country")
@@ -75,13 +78,16 @@ def revenue_by_country(
 
 
 def revenue_by_category(
-    fact: DataFrame, products: DataFrame, limits: Limits = DEFAULT_LIMITS
+    fact: DataFrame,
+    products: DataFrame,
+    limits: Limits = DEFAULT_LIMITS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Revenue and units per category, highest first."""
     sold = fact.select("product_id", "order_amount", "quantity")
     kinds = products.select("product_id", "category")
     return (
-        lookup(sold, kinds, ["product_id"], "inner", limits, probe=sold)
+        lookup(sold, kinds, ["product_id"], "inner", limits, probe)
         .groupBy("category")
         .agg(exact_sum("order_amount").alias("revenue"), F.sum("quantity").alias("units"))
         .orderBy(F.desc("revenue"), "category")

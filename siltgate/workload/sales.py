@@ -25,9 +25,10 @@ def line_bucket() -> Column:
     )
 
 
-def typed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines before any defect."""
-    lines = table(spark, sf_dir, "lineitem")
+def typed_sales(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """Order lines before any defect; ``lines`` may be a batch of lineitem."""
+    if lines is None:
+        lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     price = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
@@ -49,9 +50,9 @@ def typed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_sales(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Order lines as text with defects in known bands."""
-    return inject.defects(typed_sales(spark, sf_dir), F.col("_at")).drop("_at")
+    return inject.defects(typed_sales(spark, sf_dir, lines), F.col("_at")).drop("_at")
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
