@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltgate.operators.checks import HARD, Check, Exists, Repeated, Typed, key_exists
 from siltgate.operators.repeats import flag_repeats
-from siltgate.plans.sizing import DEFAULT_LIMITS, Limits
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, broadcasts
 
 VERDICTS = "dq_verdicts"
 FAILED = "dq_failed"
@@ -23,32 +23,39 @@ class SlaBreach(Exception):
 
 
 def prepare(df: DataFrame, checks: Sequence[Check], limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Add the columns the checks declare: safe casts, repeat flags, key-exists flags.
+    """Add the columns the checks declare: safe casts, key-exists flags, repeat flags.
 
-    A column two checks share is computed once. Hot keys are looked for in ``df``
-    itself, before any join or window.
+    A column two checks share is computed once. What needs no shuffle comes first, so
+    that the shuffle for repeats carries results and not raw text that nothing else
+    reads; joins to references too large to broadcast come last. Hot keys are looked
+    for in ``df`` itself, before any join or window.
     """
-    needs = {need.column: need for check in checks for need in check.needs}.values()
     raw = df
-    for need in needs:
+    needs = {need.column: need for check in checks for need in check.needs}.values()
+    casts = {n.column: F.col(n.source).try_cast(n.type) for n in needs if isinstance(n, Typed)}
+    if casts:
+        df = df.withColumns(casts)
+    exists = [n for n in needs if isinstance(n, Exists)]
+    small = [n for n in exists if broadcasts(n.reference.select(*n.keys), limits)]
+    large = [n for n in exists if n not in small]
+    repeated = [n for n in needs if isinstance(n, Repeated)]
+    for need in (*small, *repeated, *large):
         if isinstance(need, Repeated):
             df = flag_repeats(df, need.keys, need.order, need.column, limits, probe=raw)
-    for need in needs:
-        if isinstance(need, Exists):
+        else:
             df = key_exists(df, need.keys, need.reference, need.column, limits, probe=raw)
-    casts = {n.column: F.col(n.source).try_cast(n.type) for n in needs if isinstance(n, Typed)}
-    return df.withColumns(casts) if casts else df
+    return df
 
 
-def _verdict(check: Check) -> Column:
-    return F.col(VERDICTS).getField(check.name)
+def _verdict(check: Check) -> str:
+    """The path of a check's verdict, quoted."""
+    return f"{VERDICTS}.`{check.name.replace('`', '``')}`"
 
 
 def _all_hold(checks: Sequence[Check]) -> Column:
-    result = F.lit(True)
-    for check in checks:
-        result = result & _verdict(check)
-    return result
+    # Verdicts are never NULL, so the least of them is their conjunction.
+    names = [_verdict(c) for c in checks]
+    return F.least(*names, F.lit(True)) if names else F.lit(True)
 
 
 def _names_of_failures(checks: Sequence[Check]) -> Column:
@@ -56,10 +63,10 @@ def _names_of_failures(checks: Sequence[Check]) -> Column:
     none = F.array().cast("array<string>")
     if not checks:
         return none
-    pairs = F.array(
-        *[F.struct(F.lit(c.name).alias("name"), _verdict(c).alias("ok")) for c in checks]
-    )
-    return F.when(_all_hold(checks), none).otherwise(F.filter(pairs, lambda p: ~p["ok"])["name"])
+    names = F.lit([c.name for c in checks])
+    held = F.array(*[_verdict(c) for c in checks])
+    failed = F.array_compact(F.zip_with(names, held, lambda name, ok: F.when(~ok, name)))
+    return F.when(_all_hold(checks), none).otherwise(failed)
 
 
 def evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -139,20 +146,18 @@ def tally(evaluated: DataFrame, checks: Sequence[Check], by: Sequence[str | Colu
 
 def spread(wide: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Turn wide tallies into one row per check, each check's attributes travelling with it."""
-    schema = "array<struct<rule_name:string,dimension:string,severity:string,rows_passed:bigint>>"
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c.name).alias("rule_name"),
-                F.lit(c.dimension).alias("dimension"),
-                F.lit(c.severity).alias("severity"),
-                F.col(f"_held_{i}").alias("rows_passed"),
-            )
-            for i, c in enumerate(checks)
-        ]
-    ).cast(schema)
     kept = [c for c in wide.columns if not c.startswith("_held_")]
-    return wide.select(*kept, F.inline(rows))
+    held = [f"_held_{i}" for i in range(len(checks))]
+    columns = {
+        "rule_name": [c.name for c in checks],
+        "dimension": [c.dimension for c in checks],
+        "severity": [c.severity for c in checks],
+    }
+    lists = [F.lit(v).cast("array<string>").alias(k) for k, v in columns.items()]
+    passed = F.array(*held).cast("array<bigint>").alias("rows_passed")
+    return wide.select(*kept, *lists, passed).select(
+        *kept, F.inline(F.arrays_zip(*columns, "rows_passed"))
+    )
 
 
 def metrics(

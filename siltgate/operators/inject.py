@@ -23,26 +23,24 @@ def defects(
     quantity, 11-13 impossible date, 14-16 unknown product, 17-18 unknown customer,
     19-21 amount times 1.5. Rows where ``repeat`` is true are emitted twice.
     """
-    b = F.col("_bucket")
-    quantity = F.when(b.between(8, 10), -F.col("quantity")).otherwise(F.col("quantity"))
-    amount = (
-        F.when(b.between(8, 10), -F.col("order_amount"))
-        .when(b.between(19, 21), F.col("order_amount") * 1.5)
-        .otherwise(F.col("order_amount"))
-    )
+    missing = unknown.replace("'", "\\'")
+    columns = {
+        "customer_id": f"""CASE WHEN _bucket BETWEEN 0 AND 3 THEN ''
+            WHEN _bucket BETWEEN 17 AND 18 THEN '{missing}' ELSE customer_id END""",
+        "product_id": f"""CASE WHEN _bucket BETWEEN 14 AND 16 THEN '{missing}'
+            ELSE product_id END""",
+        "quantity": """CAST(CASE WHEN _bucket BETWEEN 8 AND 10 THEN -quantity
+            ELSE quantity END AS STRING)""",
+        "unit_price": "CAST(unit_price AS STRING)",
+        "order_amount": """CASE WHEN _bucket BETWEEN 4 AND 7 THEN '' ELSE CAST(
+            CASE WHEN _bucket BETWEEN 8 AND 10 THEN -order_amount
+                 WHEN _bucket BETWEEN 19 AND 21 THEN order_amount * 1.5D
+                 ELSE order_amount END AS STRING) END""",
+        "order_date": f"""CASE WHEN _bucket BETWEEN 11 AND 13 THEN '{BAD_DATE}'
+            ELSE CAST(order_date AS STRING) END""",
+    }
     dirty = sales.withColumn("_bucket", bucket).withColumns(
-        {
-            "customer_id": F.when(b.between(0, 3), "")
-            .when(b.between(17, 18), unknown)
-            .otherwise(F.col("customer_id")),
-            "product_id": F.when(b.between(14, 16), unknown).otherwise(F.col("product_id")),
-            "quantity": quantity.cast("string"),
-            "unit_price": F.col("unit_price").cast("string"),
-            "order_amount": F.when(b.between(4, 7), "").otherwise(amount.cast("string")),
-            "order_date": F.when(b.between(11, 13), BAD_DATE).otherwise(
-                F.col("order_date").cast("string")
-            ),
-        }
+        {name: F.expr(text) for name, text in columns.items()}
     )
     if repeat is not None:
         copies = F.when(repeat, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
@@ -52,11 +50,14 @@ def defects(
 
 def country_noise(customers: DataFrame, noisy: Column, pick: Column) -> DataFrame:
     """Replace the country code of ``noisy`` rows by one of its spellings, chosen by ``pick``."""
-    country = F.col("country")
-    value = F.when(~noisy, country)
-    for code, spellings in SPELLING_NOISE.items():
-        choice = F.element_at(
-            F.array(*[F.lit(s) for s in spellings]), F.pmod(pick, F.lit(len(spellings))).cast("int") + 1
-        )
-        value = value.when(country == code, choice)
-    return customers.withColumn("country", value.otherwise(country))
+    cases = " ".join(
+        f"WHEN country = '{code}' THEN element_at(array{tuple(spellings)}, "
+        f"CAST(pmod(_pick, {len(spellings)}) AS INT) + 1)"
+        for code, spellings in SPELLING_NOISE.items()
+    )
+    spelled = F.expr(f"CASE WHEN NOT _noisy THEN country {cases} ELSE country END")
+    return (
+        customers.withColumns({"_noisy": noisy, "_pick": pick})
+        .withColumn("country", spelled)
+        .drop("_noisy", "_pick")
+    )

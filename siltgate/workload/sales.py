@@ -2,51 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltgate.operators import inject
 from siltgate.operators.checks import Check, order_checks
+from siltgate.plans.sizing import DEFAULT_LIMITS, input_bytes
 
 # The country codes customers are spread over.
 COUNTRIES = ["PL", "NL", "DE", "GB", "FR", "ES", "IT"]
 RUN = "run-1"
+# Whole cents below the price of one piece; floor is the same in every engine.
+UNIT_PRICE = "(floor(l_extendedprice * 100 / l_quantity) / 100)"
 # Which copy of an order is first: arrival, then every other column of the line.
 ARRIVAL = ("_ingested_at", "_line")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def line_bucket() -> Column:
-    return F.pmod(
-        F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey"), F.lit(100)
-    )
+def _on_all_cores(df: DataFrame, key: str) -> DataFrame:
+    """A small file is one split and so one task; only there, hash it over the cores first."""
+    if input_bytes(df) > DEFAULT_LIMITS.small_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def typed_sales(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Order lines before any defect; ``lines`` may be a batch of lineitem."""
     if lines is None:
-        lines = table(spark, sf_dir, "lineitem")
+        lines = _on_all_cores(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    price = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100
-    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        price.alias("unit_price"),
-        (F.col("l_quantity") * price).alias("order_amount"),
-        F.col("l_shipdate").cast("date").alias("order_date"),
-        F.col("l_shipdate").alias("_ingested_at"),
-        F.lit("lineitem").alias("_source_file"),
-        F.struct(
-            "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-            "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-        ).alias("_line"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("_batch"),
-        line_bucket().alias("_at"),
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) AS order_id",
+        "CAST(o_custkey AS STRING) AS customer_id",
+        "CAST(l_partkey AS STRING) AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        f"{UNIT_PRICE} AS unit_price",
+        f"l_quantity * {UNIT_PRICE} AS order_amount",
+        "CAST(l_shipdate AS DATE) AS order_date",
+        "l_shipdate AS _ingested_at",
+        "'lineitem' AS _source_file",
+        """struct(l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                  l_returnflag, l_linestatus) AS _line""",
+        "date_format(o_orderdate, 'yyyy-MM') AS _batch",
+        "pmod(l_orderkey * 7 + l_linenumber * 13 + l_partkey, 100) AS _at",
     )
 
 
@@ -56,26 +65,28 @@ def raw_sales(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = F.array(*[F.lit(c) for c in COUNTRIES])
-    rows = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("company"),
-        F.element_at(codes, F.col("c_nationkey") % len(COUNTRIES) + 1).alias("country"),
-        F.col("c_custkey").alias("_key"),
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS customer_id",
+        "c_name AS name",
+        "c_mktsegment AS company",
+        f"element_at(array{tuple(COUNTRIES)}, c_nationkey % {len(COUNTRIES)} + 1) AS country",
+        "c_custkey AS _key",
     )
-    noisy = F.col("_key") % 12 == 0
-    return inject.country_noise(rows, noisy, F.floor(F.col("_key") / 12)).drop("_key")
+    return inject.country_noise(rows, F.expr("_key % 12 = 0"), F.expr("_key DIV 12")).drop("_key")
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("unit_price"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "p_retailprice AS unit_price",
     )
 
 
 def sales_checks(spark: SparkSession, sf_dir: str) -> list[Check]:
-    return order_checks(raw_products(spark, sf_dir), raw_customers(spark, sf_dir), ARRIVAL)
+    products = table(spark, sf_dir, "part").selectExpr("CAST(p_partkey AS STRING) AS product_id")
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS customer_id"
+    )
+    return order_checks(products, customers, ARRIVAL)
