@@ -26,6 +26,14 @@ from siltgate.sources.lake import CatalogLake, Lake, Table
 from siltgate.sources.raw import read_csv_raw, read_json_raw, unseen, with_lineage
 
 
+# What the audit, the metrics, silver and quarantine read; bronze may hold more.
+CANDIDATE_COLUMNS = (
+    *gate.RAW_ORDER_COLUMNS, "_source_file", "_ingested_at",
+    "quantity_int", "unit_price_dbl", "order_amount_dbl", "order_date_parsed",
+    gate.VERDICTS, gate.FAILED, gate.WARNED, gate.PASSED,
+)
+
+
 @dataclass(frozen=True)
 class Summary:
     run_id: str
@@ -98,9 +106,8 @@ def build_silver(
     checks = order_checks(
         lake.read(tables.SILVER_PRODUCTS), lake.read(tables.SILVER_CUSTOMERS), arrival
     )
-    lake.overwrite(
-        gate.judge(lake.read(tables.BRONZE_ORDERS), checks, limits), tables.ORDERS_CANDIDATE
-    )
+    judged = gate.judge(lake.read(tables.BRONZE_ORDERS), checks, limits)
+    lake.overwrite(judged.select(*CANDIDATE_COLUMNS), tables.ORDERS_CANDIDATE)
     candidate = lake.read(tables.ORDERS_CANDIDATE)
 
     measured = gate.metrics(candidate, checks, run_id, "orders", measured_at)

@@ -1,0 +1,125 @@
+"""The plans for large and skewed inputs return what the plain ones do."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltgate.operators.repeats import flag_repeats, newest_per_key, rank_copies
+from siltgate.plans.lookup import lookup
+from siltgate.plans.sizing import Limits, broadcasts, hot_keys, shared_dir, stored
+from siltgate.sources.raw import unseen
+
+ROWS = 3000
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """A third of the rows has key 'hot', a sixth has NULL, and whole rows repeat."""
+    draw = random.Random(5)
+    rows = []
+    for i in range(ROWS):
+        key = "hot" if i % 3 == 0 else None if i % 6 == 1 else f"k{draw.randrange(400)}"
+        rows.append((key, draw.randrange(40), draw.choice("xy")))
+    path = str(tmp_path_factory.mktemp("skewed") / "t")
+    spark.createDataFrame(rows, "key string, at int, tag string").repartition(7).write.parquet(path)
+    return spark.read.parquet(path), rows
+
+
+def test_hot_keys_are_found(skewed):
+    df, _ = skewed
+    limits = Limits(small_bytes=-1, hot_rows=400, sample=1.0)
+    assert {r.key for r in hot_keys(df, ["key"], limits).collect()} == {"hot", None}
+    assert hot_keys(df, ["key"], Limits(small_bytes=-1, hot_rows=5000, sample=1.0)) is None
+    assert hot_keys(df, ["key"]) is None
+
+
+def test_a_sample_finds_a_third(skewed):
+    df, _ = skewed
+    found = hot_keys(df, ["key"], Limits(small_bytes=-1, hot_rows=400, sample=0.2))
+    assert "hot" in {r.key for r in found.collect()}
+
+
+@pytest.mark.parametrize("hot_rows", [3, 400, 10**9])
+def test_first_copies(skewed, hot_rows):
+    df, rows = skewed
+    limits = Limits(small_bytes=-1, hot_rows=hot_rows, sample=1.0)
+    found = flag_repeats(df, ["key"], ["at", "tag"], "again", limits)
+    first = Counter(tuple(r) for r in found.where("not again").select("key", "at", "tag").collect())
+    groups = defaultdict(list)
+    for key, at, tag in rows:
+        groups[key].append((at, tag))
+    assert first == Counter((key, *min(v)) for key, v in groups.items())
+    assert Counter(tuple(r) for r in found.select("key", "at", "tag").collect()) == Counter(rows)
+
+
+@pytest.mark.parametrize("hot_rows", [3, 400, 10**9])
+def test_exact_ranks(skewed, hot_rows):
+    df, rows = skewed
+    limits = Limits(small_bytes=-1, hot_rows=hot_rows, sample=1.0)
+    found = rank_copies(df, ["key"], ["at", "tag"], "rank", limits)
+    groups = defaultdict(list)
+    for key, at, tag in rows:
+        groups[key].append((at, tag))
+    expected = Counter(
+        (key, *row, rank + 1) for key, v in groups.items() for rank, row in enumerate(sorted(v))
+    )
+    assert Counter(tuple(r) for r in found.select("key", "at", "tag", "rank").collect()) == expected
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("hot_rows", [3, 400, 10**9])
+@pytest.mark.parametrize("known", ["hot", "cold"])
+def test_lookup(spark, skewed, how, hot_rows, known):
+    df, rows = skewed
+    names = [f"k{i}" for i in range(0, 400, 2)] + (["hot"] if known == "hot" else [])
+    side = spark.createDataFrame([(n, n.upper()) for n in names], "key string, label string")
+    limits = Limits(broadcast_bytes=-1, small_bytes=-1, hot_rows=hot_rows, sample=1.0)
+    found = lookup(df, side, ["key"], how, limits)
+    labels = {n: n.upper() for n in names}
+    expected = Counter(
+        (*row, labels.get(row[0])) for row in rows if how == "left" or row[0] in labels
+    )
+    assert sorted(found.columns) == ["at", "key", "label", "tag"]
+    assert Counter(tuple(r) for r in found.select("key", "at", "tag", "label").collect()) == expected
+
+
+def test_lookup_refuses_other_joins(spark, skewed):
+    df, _ = skewed
+    with pytest.raises(ValueError, match="cross"):
+        lookup(df, df, ["key"], "cross")
+
+
+@pytest.mark.parametrize("hot_rows", [3, 400, 10**9])
+@pytest.mark.parametrize("null_known", [True, False])
+def test_unseen(spark, skewed, hot_rows, null_known):
+    df, rows = skewed
+    keys = [f"k{i}" for i in range(0, 400, 3)] + ["hot"] + ([None] if null_known else [])
+    existing = spark.createDataFrame([(k,) for k in keys], "key string")
+    limits = Limits(broadcast_bytes=-1, small_bytes=-1, hot_rows=hot_rows, sample=1.0)
+    found = unseen(df, existing, ["key"], limits)
+    assert Counter(tuple(r) for r in found.select("key", "at", "tag").collect()) == Counter(
+        r for r in rows if r[0] not in keys
+    )
+
+
+def test_newest_limits_groups_before_the_shuffle(skewed):
+    df, _ = skewed
+    plan = newest_per_key(df, ["key"], [F.desc("at"), "tag"])._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("WindowGroupLimit") == 2
+
+
+def test_small_sides_are_left_to_catalyst(spark, skewed):
+    df, _ = skewed
+    side = stored(spark.createDataFrame([("hot", 1)], "key string, n int"), "side")
+    assert broadcasts(side)
+    assert not broadcasts(side, Limits(broadcast_bytes=-1))
+    plan = lookup(df, side, ["key"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_shared_dir_is_the_sessions(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
