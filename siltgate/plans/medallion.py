@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltgate.functions.expressions import is_present
 from siltgate.operators import audit, gate, star
@@ -46,14 +47,19 @@ def new_run_id() -> str:
 
 
 def ingest(
-    lake: Lake, orders_csv: str, customers_csv: str, products_json: str, at: datetime | None = None
+    lake: Lake | CatalogLake,
+    orders_csv: str,
+    customers_csv: str,
+    products_json: str,
+    at: datetime | None = None,
+    products_schema: StructType | None = None,
 ) -> None:
-    """Append the three feeds to bronze with their lineage."""
+    """Append the three feeds to bronze with their lineage. A schema saves inferring the JSON."""
     spark = lake.spark
     feeds = (
         (read_csv_raw(spark, orders_csv), "orders.csv", tables.BRONZE_ORDERS),
         (read_csv_raw(spark, customers_csv), "customers.csv", tables.BRONZE_CUSTOMERS),
-        (read_json_raw(spark, products_json), "products.json", tables.BRONZE_PRODUCTS),
+        (read_json_raw(spark, products_json, products_schema), "products.json", tables.BRONZE_PRODUCTS),
     )
     for df, source, table in feeds:
         lake.append(with_lineage(df, source, at), table)
@@ -143,7 +149,7 @@ def build_gold(lake: Lake | CatalogLake, limits: Limits = DEFAULT_LIMITS) -> Non
 
 
 def run(
-    lake: Lake,
+    lake: Lake | CatalogLake,
     orders_csv: str,
     customers_csv: str,
     products_json: str,
@@ -152,11 +158,12 @@ def run(
     bounds: audit.Bounds | None = audit.Bounds(),
     sla: float | None = None,
     at: datetime | None = None,
+    products_schema: StructType | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> Summary:
     """Everything, end to end. Use a fresh root for a fresh start."""
     lake.ensure()
-    ingest(lake, orders_csv, customers_csv, products_json, at)
+    ingest(lake, orders_csv, customers_csv, products_json, at, products_schema)
     summary = build_silver(lake, run_id or new_run_id(), arrival, bounds, sla, at, limits)
     build_gold(lake, limits)
     return summary

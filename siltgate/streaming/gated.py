@@ -13,6 +13,13 @@ from siltgate.operators.checks import Check, Repeated, key_exists
 from siltgate.plans.sizing import DEFAULT_LIMITS, Limits
 
 
+def _with_safe_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add stand-ins for the keys under which NULL equals NULL."""
+    safe = {f"_text_{k}": F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys}
+    safe |= {f"_null_{k}": F.col(k).isNull() for k in keys}
+    return df.withColumns(safe), list(safe)
+
+
 def judge_batch(
     batch: DataFrame,
     checks: Sequence[Check],
@@ -21,16 +28,18 @@ def judge_batch(
 ) -> DataFrame:
     """Judge a batch; a key that an earlier batch delivered counts as a repeat."""
     prepared = gate.prepare(batch, checks, limits)
-    repeats = {n.column: n for c in checks for n in c.needs if isinstance(n, Repeated)}
     if earlier is not None:
+        repeats = {n.column: n for c in checks for n in c.needs if isinstance(n, Repeated)}
         for need in repeats.values():
-            prepared = key_exists(
-                prepared, need.keys, earlier, "_delivered", limits, probe=batch
+            keyed, safe = _with_safe_keys(prepared, need.keys)
+            known, _ = _with_safe_keys(earlier.select(*need.keys), need.keys)
+            probe, _ = _with_safe_keys(batch, need.keys)
+            again = F.col(need.column) | F.col("_delivered")
+            prepared = (
+                key_exists(keyed, safe, known, "_delivered", limits, probe)
+                .withColumn(need.column, again)
+                .drop("_delivered", *safe)
             )
-            # A NULL key never joins; it is known if any earlier key was NULL.
-            prepared = prepared.withColumn(
-                need.column, F.col(need.column) | F.col("_delivered")
-            ).drop("_delivered")
     return gate.evaluate(prepared, checks)
 
 

@@ -12,7 +12,7 @@ from siltgate.functions.expressions import exact_sum
 from siltgate.operators import audit, checks, conform, gate, history, kpi, repeats, star
 from siltgate.operators.reprocess import reprocess
 from siltgate.plans import medallion
-from siltgate.plans.sizing import scratch_path
+from siltgate.plans.sizing import scratch_path, stored
 from siltgate.sources import lake as tables
 from siltgate.sources import raw
 from siltgate.sources.lake import Lake, Table
@@ -59,8 +59,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics of every order month, as if each had been one run."""
-    return gate.metrics(
+    """Metrics of every order month, as if each had been one run.
+
+    Stored, as the metrics table is: reports that read it twice do not gate twice.
+    """
+    rows = gate.metrics(
         judged(spark, sf_dir),
         sales_checks(spark, sf_dir),
         F.col("_batch"),
@@ -68,6 +71,7 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("_batch", F.lit("-01")),
         by=["_batch"],
     )
+    return stored(rows, "metrics")
 
 
 # --- the gate ---------------------------------------------------------------
@@ -223,9 +227,9 @@ def reprocess_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         ).drop(*[n.column for c in sales_checks(spark, sf_dir) for n in c.needs], "dq_reason")
 
-    again = reprocess(
-        rejected(spark, sf_dir), fix, clean(spark, sf_dir), ["order_id"], sales_checks(spark, sf_dir)
-    )
+    # Published and rejected rows are two tables of one run.
+    published, refused = gate.split(stored(judged(spark, sf_dir), "judged"))
+    again = reprocess(refused, fix, published, ["order_id"], sales_checks(spark, sf_dir))
     return again.select(
         "order_id",
         "customer_id",
@@ -329,11 +333,15 @@ def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an ungated version of silver would hold beyond the gated one."""
 
-    def shown(df: DataFrame) -> DataFrame:
-        return gate.publishable(df).drop("dq_warnings", "unit_price")
-
-    everything = judged(spark, sf_dir)
-    return kpi.version_diff(shown(everything), shown(clean(spark, sf_dir)))
+    rows = stored(
+        judged(spark, sf_dir).select(
+            "order_id", "customer_id", "product_id", *TYPED[1:], gate.WARNED, gate.PASSED
+        ),
+        "versions",
+    )
+    versions = (rows, rows.where(F.col(gate.PASSED)))
+    suspect, good = (gate.publishable(v).drop("dq_warnings", "unit_price") for v in versions)
+    return kpi.version_diff(suspect, good)
 
 
 def freshness_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -489,8 +497,8 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         files.as_json_arrays(raw_products(spark, sf_dir), "product_id", "products-json"),
         RUN,
         arrival,
-        audit.Bounds(),
         at=LOADED_AT,
+        products_schema=raw_products(spark, sf_dir).schema,
     )
     shown = {
         "bronze_orders": tables.BRONZE_ORDERS,
