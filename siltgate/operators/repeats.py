@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, hot_keys, same_key, stored
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, hot_keys, same_key, spread_slot, stored
+
+# Slots per map partition in which rows of a hot key are ranked first.
+SLOTS = 8
 
 
 def _position(by: Sequence[str], order: Sequence[str | Column]) -> Column:
@@ -26,8 +29,8 @@ def flag_repeats(
     """Add ``flag``: false for the first row of each key, true for every later one.
 
     ``order`` should be total up to rows that are equal in every respect. NULL keys
-    form one group. One shuffle on the key; a hot key is first ranked within each
-    map partition, and only the partition winners meet in one place.
+    form one group. One shuffle on the key; a hot key is first ranked within slots
+    of each map partition, and only the winners of the slots meet in one place.
     """
     keys = list(keys)
     hot = hot_keys(df if probe is None else probe, keys, limits)
@@ -37,10 +40,10 @@ def flag_repeats(
     cold = df.join(F.broadcast(hot), match, "left_anti").withColumn(flag, _position(keys, order) > 1)
     split = (
         df.join(F.broadcast(hot), match, "left_semi")
-        .withColumn("_slot", F.spark_partition_id())
+        .withColumn("_slot", spread_slot(df, SLOTS))
         .withColumn("_local", _position([*keys, "_slot"], order))
         # Winners share slot -1; the rest stay where they are spread.
-        .withColumn("_round", F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_slot")))
+        .withColumn("_round", F.when(F.col("_local") == 1, F.lit(-1).cast("bigint")).otherwise(F.col("_slot")))
         .withColumn("_final", _position([*keys, "_round"], order))
         .withColumn(flag, (F.col("_local") > 1) | (F.col("_final") > 1))
         .drop("_slot", "_local", "_round", "_final")

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, broadcasts, hot_keys
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, broadcasts, hot_keys, spread_slot
+
+# Shuffle slots per map partition for the rows of hot keys.
+SLOTS = 16
 
 
 def lookup(
@@ -23,7 +26,7 @@ def lookup(
     A side within the broadcast limit is left to Catalyst: no shuffle of ``df``.
     Beyond it the join shuffles on the key, and keys that hold too many rows of
     ``df`` take another way: their few matches are broadcast, and their rows are
-    spread over the shuffle by map partition instead of by key.
+    spread over the shuffle by map partition and content instead of by key.
 
     ``probe`` is a cheaper frame with the same key columns to look for hot keys in.
     """
@@ -53,7 +56,7 @@ def lookup(
         condition = condition & df[c].eqNullSafe(F.col(f"_hot_{c}"))
     marked = df.join(F.broadcast(hot_side), condition, "left").withColumn(
         "_slot",
-        F.when(F.col("_is_hot"), F.xxhash64(F.spark_partition_id())).otherwise(F.xxhash64(*on)),
+        F.when(F.col("_is_hot"), F.xxhash64(spread_slot(df, SLOTS))).otherwise(F.xxhash64(*on)),
     )
     cold_side = side.select(
         *on,

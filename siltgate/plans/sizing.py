@@ -105,3 +105,15 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str
     for key in keys:
         condition = condition & left[key].eqNullSafe(right[prefix + key])
     return condition
+
+
+def spread_slot(df: DataFrame, fan: int) -> Column:
+    """A number that scatters rows of one key: map partition times ``fan``, plus a content hash.
+
+    Both parts are the same when a task is run again, so a retried map task sends
+    every row where it went before; a random number or a row counter would not.
+    """
+    hashable = [name for name, kind in df.dtypes if "map<" not in kind and kind != "variant"]
+    return F.spark_partition_id().cast("bigint") * fan + F.pmod(
+        F.xxhash64(*hashable), F.lit(fan)
+    )

@@ -123,3 +123,26 @@ def test_small_sides_are_left_to_catalyst(spark, skewed):
 
 def test_shared_dir_is_the_sessions(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_hot_rows_are_spread(spark, skewed):
+    df, _ = skewed
+    side = spark.createDataFrame([("hot", 1)], "key string, n int")
+    limits = Limits(broadcast_bytes=-1, small_bytes=-1, hot_rows=400, sample=1.0)
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for found in (
+            lookup(df, side, ["key"], "left", limits),
+            rank_copies(df, ["key"], ["at", "tag"], "n", limits),
+        ):
+            places = found.where("key = 'hot'").select(F.spark_partition_id().alias("p"))
+            assert places.distinct().count() > 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
