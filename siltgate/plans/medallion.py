@@ -8,6 +8,7 @@ when the audit holds.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -53,8 +54,14 @@ def ingest(
     products_json: str,
     at: datetime | None = None,
     products_schema: StructType | None = None,
+    load_key: Sequence[str] = (),
+    limits: Limits = DEFAULT_LIMITS,
 ) -> None:
-    """Append the three feeds to bronze with their lineage. A schema saves inferring the JSON."""
+    """Append the three feeds to bronze with their lineage. A schema saves inferring the JSON.
+
+    With a ``load_key``, orders whose key bronze already holds are left out, so that a
+    repeated load changes nothing; without one, all rows are appended as they come.
+    """
     spark = lake.spark
     feeds = (
         (read_csv_raw(spark, orders_csv), "orders.csv", tables.BRONZE_ORDERS),
@@ -62,14 +69,22 @@ def ingest(
         (read_json_raw(spark, products_json, products_schema), "products.json", tables.BRONZE_PRODUCTS),
     )
     for df, source, table in feeds:
-        lake.append(with_lineage(df, source, at), table)
+        rows = with_lineage(df, source, at)
+        if load_key and table is tables.BRONZE_ORDERS:
+            append_new(lake, rows, table, load_key, limits)
+        else:
+            lake.append(rows, table)
 
 
 def append_new(
-    lake: Lake, df: DataFrame, table: Table, load_key: list[str], limits: Limits = DEFAULT_LIMITS
+    lake: Lake | CatalogLake,
+    df: DataFrame,
+    table: Table,
+    load_key: Sequence[str],
+    limits: Limits = DEFAULT_LIMITS,
 ) -> None:
     """Append only the rows whose load key the table lacks, so a repeated load changes nothing."""
-    if lake.versions(table):
+    if lake.exists(table):
         df = unseen(df, lake.read(table), load_key, limits)
     lake.append(df, table)
 
@@ -87,7 +102,7 @@ def silver_guards() -> list[Check]:
 def build_silver(
     lake: Lake | CatalogLake,
     run_id: str,
-    arrival: tuple[str | Column, ...] = ARRIVAL,
+    arrival: Sequence[str | Column] = ARRIVAL,
     bounds: audit.Bounds | None = audit.Bounds(),
     sla: float | None = None,
     measured_at: datetime | None = None,
@@ -98,13 +113,21 @@ def build_silver(
     ``bounds`` None publishes without an audit; ``sla`` stops the run after the
     metrics are stored when a hard check is below it.
     """
-    # On one load of a dimension this keeps every row; after a re-ingest the newest wins.
-    newest = (F.desc("_ingested_at"),)
+    # The newest load of a key wins; within one load its content decides.
+    newest = F.desc("_ingested_at")
     customers = conform_customers(
-        newest_per_key(lake.read(tables.BRONZE_CUSTOMERS), ["customer_id"], newest)
+        newest_per_key(
+            lake.read(tables.BRONZE_CUSTOMERS),
+            ["customer_id"],
+            [newest, "name", "company", "country"],
+        )
     )
     products = conform_products(
-        newest_per_key(lake.read(tables.BRONZE_PRODUCTS), ["product_id"], newest)
+        newest_per_key(
+            lake.read(tables.BRONZE_PRODUCTS),
+            ["product_id"],
+            [newest, "product_name", "category", "unit_price"],
+        )
     )
     lake.overwrite(customers, tables.SILVER_CUSTOMERS)
     lake.overwrite(products, tables.SILVER_PRODUCTS)
@@ -154,16 +177,17 @@ def run(
     customers_csv: str,
     products_json: str,
     run_id: str | None = None,
-    arrival: tuple[str | Column, ...] = ARRIVAL,
+    arrival: Sequence[str | Column] = ARRIVAL,
     bounds: audit.Bounds | None = audit.Bounds(),
     sla: float | None = None,
     at: datetime | None = None,
     products_schema: StructType | None = None,
+    load_key: Sequence[str] = (),
     limits: Limits = DEFAULT_LIMITS,
 ) -> Summary:
     """Everything, end to end. Use a fresh root for a fresh start."""
     lake.ensure()
-    ingest(lake, orders_csv, customers_csv, products_json, at, products_schema)
+    ingest(lake, orders_csv, customers_csv, products_json, at, products_schema, load_key, limits)
     summary = build_silver(lake, run_id or new_run_id(), arrival, bounds, sla, at, limits)
     build_gold(lake, limits)
     return summary

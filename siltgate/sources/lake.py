@@ -90,6 +90,9 @@ class Lake:
                 done.append(n)
         return sorted({*done, *self._restored(table)})
 
+    def exists(self, table: Table) -> bool:
+        return bool(self.versions(table))
+
     def _next(self, table: Table) -> int:
         return max([0, *self._written(table), *self._restored(table)]) + 1
 
@@ -129,13 +132,17 @@ class Lake:
     def read(
         self, table: Table, version: int | None = None, merge_schema: bool | None = None
     ) -> DataFrame:
-        """The newest version, or the one asked for. Logs merge schemas unless told not to."""
+        """The newest version, or the one asked for.
+
+        Bronze logs take what arrives, so their versions' schemas are merged; the other
+        logs have a fixed schema, and merging would only read every file's footer.
+        """
         known = self.versions(table)
         if not known or (version is not None and version not in known):
             raise LookupError(f"{table.layer}.{table.name} has no version {version or ''}".strip())
         parts = self._parts(table, known[-1] if version is None else version)
         if merge_schema is None:
-            merge_schema = table.kind == LOG and len(parts) > 1
+            merge_schema = table.layer == "bronze" and len(parts) > 1
         paths = [f"{self.path(table)}/version={n}" for n in parts]
         return self.spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
@@ -163,6 +170,9 @@ class CatalogLake:
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
 
+    def exists(self, table: Table) -> bool:
+        return self.spark.catalog.tableExists(self.path(table))
+
     def append(self, df: DataFrame, table: Table, partition_by: Sequence[str] = ()) -> None:
         self._write(df, table, "append", partition_by)
 

@@ -216,6 +216,23 @@ def test_reingest_makes_the_second_load_repeats_but_keeps_revenue(spark, lake, f
     assert lake.read(tables.QUARANTINE_ORDERS).count() == 3 + 46
 
 
+def test_a_load_key_makes_reingest_harmless(spark, lake, feeds):
+    medallion.run(lake, *feeds, run_id="r1", bounds=BOUNDS, at=LOADED, load_key=["order_id"])
+    again = medallion.run(
+        lake, *feeds, run_id="r2", bounds=BOUNDS, at=datetime(2025, 1, 2), load_key=["order_id"]
+    )
+    assert lake.read(tables.BRONZE_ORDERS).count() == 43
+    assert (again.clean, again.quarantined) == (40, 3)
+
+
+def test_end_to_end_by_name(spark, feeds):
+    catalog = CatalogLake(spark)
+    summary = medallion.run(catalog, *feeds, run_id="r1", bounds=BOUNDS, at=LOADED)
+    assert (summary.clean, summary.quarantined) == (40, 3)
+    assert spark.table("gold.fact_sales").count() == 40
+    assert spark.table("ops.dq_metrics").count() == 8
+
+
 def test_a_failed_audit_publishes_nothing(spark, lake, feeds):
     medallion.run(lake, *feeds, run_id="r1", bounds=BOUNDS, at=LOADED)
     with pytest.raises(audit.AuditFailed, match="clean_rows"):
