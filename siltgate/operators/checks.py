@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltgate.functions.expressions import is_present, within
 from siltgate.plans.lookup import lookup
-from siltgate.plans.sizing import DEFAULT_LIMITS, Limits
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, broadcasts, stored
 
 # The six dimensions and the two severities.
 COMPLETENESS = "completeness"
@@ -154,12 +154,35 @@ def key_exists(
     into: str,
     limits: Limits = DEFAULT_LIMITS,
     probe: DataFrame | None = None,
+    rare: str = "missing",
 ) -> DataFrame:
-    """Add a true/false flag; distinct reference keys mean that rows never multiply."""
-    known = reference.select(*keys).distinct().withColumn("_known", F.lit(True))
-    return lookup(df, known, keys, "left", limits, probe).withColumn(
-        into, F.coalesce("_known", F.lit(False))
-    ).drop("_known")
+    """Add a true/false flag; distinct reference keys mean that rows never multiply.
+
+    A reference within the broadcast limit is broadcast. Beyond it only distinct keys
+    are shuffled first: the keys that are "missing" (or "present", whichever ``rare``
+    says is the exception) are stored, and if those can be broadcast, the rows of
+    ``df`` are never shuffled at all. Otherwise the rows are joined by ``lookup``.
+
+    ``probe`` must hold every key of ``df`` and is cheaper to read twice.
+    """
+    keys = list(keys)
+    known = reference.select(*keys).distinct()
+    if not broadcasts(known, limits):
+        source = df if probe is None else probe
+        asked = source.select(*keys).dropna().distinct()
+        how = {"missing": "left_anti", "present": "left_semi"}[rare]
+        exceptions = stored(asked.join(known, keys, how), "rare-keys")
+        if broadcasts(exceptions, limits):
+            marked = exceptions.withColumn("_rare", F.lit(True))
+            found = F.coalesce("_rare", F.lit(False))
+            if rare == "missing":
+                given = F.lit(True)
+                for key in keys:
+                    given = given & F.col(key).isNotNull()
+                found = given & ~found
+            return df.join(F.broadcast(marked), keys, "left").withColumn(into, found).drop("_rare")
+    flagged = lookup(df, known.withColumn("_known", F.lit(True)), keys, "left", limits, probe)
+    return flagged.withColumn(into, F.coalesce("_known", F.lit(False))).drop("_known")
 
 
 def orphans(

@@ -23,7 +23,7 @@ def lookup(
 ) -> DataFrame:
     """Join ``df`` to ``side`` (unique on ``on``), "left" or "inner".
 
-    A side within the broadcast limit is left to Catalyst: no shuffle of ``df``.
+    A side within the broadcast limit is broadcast: no shuffle of ``df``.
     Beyond it the join shuffles on the key, and keys that hold too many rows of
     ``df`` take another way: their few matches are broadcast, and their rows are
     spread over the shuffle by map partition and content instead of by key.
@@ -34,7 +34,8 @@ def lookup(
         raise ValueError(f"unsupported join: {how}")
     on = list(on)
     if broadcasts(side, limits):
-        return df.join(side, on, how)
+        # Its size has just been checked; the hint holds if the limit differs from the session's.
+        return df.join(F.broadcast(side), on, how)
     hot = hot_keys(df if probe is None else probe, on, limits)
     if hot is None:
         return df.join(side, on, how)

@@ -36,7 +36,7 @@ def judge_batch(
             probe, _ = _with_safe_keys(batch, need.keys)
             again = F.col(need.column) | F.col("_delivered")
             prepared = (
-                key_exists(keyed, safe, known, "_delivered", limits, probe)
+                key_exists(keyed, safe, known, "_delivered", limits, probe, rare="present")
                 .withColumn(need.column, again)
                 .drop("_delivered", *safe)
             )

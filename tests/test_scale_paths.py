@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from siltgate.operators.checks import key_exists
 from siltgate.operators.repeats import flag_repeats, newest_per_key, rank_copies
 from siltgate.plans.lookup import lookup
 from siltgate.plans.sizing import Limits, broadcasts, hot_keys, shared_dir, stored
@@ -93,6 +94,29 @@ def test_lookup_refuses_other_joins(spark, skewed):
         lookup(df, df, ["key"], "cross")
 
 
+@pytest.mark.parametrize("rare", ["missing", "present"])
+@pytest.mark.parametrize("broadcast_bytes", [-1, 20_000, 10**9])
+@pytest.mark.parametrize("known", ["most", "few"])
+def test_key_exists(spark, skewed, rare, broadcast_bytes, known):
+    """By broadcasting the reference, the exceptions, or neither."""
+    df, rows = skewed
+    names = {f"k{i}" for i in range(0, 400) if i % 50 or known == "few"}
+    names = names | {"hot"} if known == "most" else {n for n in names if n.endswith("0")}
+    side = spark.createDataFrame([(n,) for n in sorted(names)] + [(None,)], "key string")
+    padding = spark.range(20_000).selectExpr("concat('unused', id) AS key")
+    limits = Limits(broadcast_bytes=broadcast_bytes, small_bytes=-1, hot_rows=400, sample=1.0)
+    reference = stored(side.union(padding), "reference")
+    assert broadcasts(reference.distinct(), limits) == (broadcast_bytes == 10**9)
+    found = key_exists(df, ["key"], reference, "known", limits, rare=rare)
+    assert Counter(tuple(r) for r in found.select("key", "at", "tag", "known").collect()) == Counter(
+        (*row, row[0] in names) for row in rows
+    )
+    if broadcast_bytes == 20_000:
+        # Few exceptions: the reference is not in the plan, and no row of df is shuffled.
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 @pytest.mark.parametrize("hot_rows", [3, 400, 10**9])
 @pytest.mark.parametrize("null_known", [True, False])
 def test_unseen(spark, skewed, hot_rows, null_known):
