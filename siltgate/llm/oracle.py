@@ -2,6 +2,49 @@
 
 from __future__ import annotations
 
+OP2 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+), g AS (
+  SELECT digest, max(page_id) AS newest FROM p WHERE n >= 1000 GROUP BY digest
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN newest IS NULL OR page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN newest IS NOT NULL AND (page_id IS NULL OR page_id <> newest) THEN newest END AS refers_to
+FROM p LEFT JOIN g USING (digest)
+"""
+
+OP3 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n,
+         array_to_string(w[p:p + least(13, len(w)) - 1], ' ') AS span
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS span
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+        FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)
+), hits AS (
+  SELECT doc_id, p, n, item_id FROM dw JOIN iw USING (n, span)
+), words AS (
+  SELECT doc_id, count(DISTINCT word_at) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS word_at FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op2_dictionary_warc": OP2, "op3_winnowing": OP3}

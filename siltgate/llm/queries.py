@@ -7,12 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import sharding, simhash
+from siltgate.llm import decontam, quality, sharding, simhash, warc
 from siltgate.llm.base import table
+from siltgate.plans.sizing import scratch_path, stored
 
 SHARDS = 40
 
 
+def op2_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    stored(warc.write(table(spark, sf_dir, "pages"), folder), "warc-index")
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"), into="_found")
+    return found.select(
+        "doc_id",
+        "_found.n_words",
+        "_found.n_hit",
+        F.size("_found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_found.items", ","), 256).alias("items_sha256"),
+        decontam.is_contaminated(F.col("_found")).alias("contaminated"),
+    )
+
+
 def op5_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards, law ``rows``; NULL text counts no bytes, so size 16 and CRC 0."""
     docs = table(spark, sf_dir, "documents").select(
@@ -25,6 +45,12 @@ def op5_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model).select("doc_id", "_quality.*")
+
+
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
