@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import decontam, quality, sharding, simhash, warc
+from siltgate.llm import decontam, html, langid, quality, sharding, simhash, warc
 from siltgate.llm.base import table
 from siltgate.plans.sizing import scratch_path, stored
 
 SHARDS = 40
 
 
+def op1_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "_main.text", F.length("_main.text").cast("long").alias("n_chars"))
+
+
 def op2_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     stored(warc.write(table(spark, sf_dir, "pages"), folder), "warc-index")
@@ -55,5 +60,12 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    test = langid.held_out(F.col("doc_id"), 4, 2)
+    trees = langid.fit(docs.where(~test))
+    return langid.predict(docs.select("doc_id", test.alias("held_out"), "text"), trees).select("doc_id", "held_out", "_language.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
