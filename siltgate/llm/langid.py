@@ -146,9 +146,12 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         F.col(key).cast("string").alias("k"), F.col(lang).cast("string").alias("lang"), F.octet_length(text).cast("long").alias("n"), F.col(text).alias("text")
     ).where("n > 0")
     # Per language one number: which share of its rows, by hash, holds the wanted bytes with some to spare.
-    sizes = rows.groupBy("lang").agg(F.sum("n").alias("bytes"))
+    sizes = rows.groupBy("lang").agg(F.sum("n").alias("bytes")).collect()
+    if not sizes:
+        return None
+    total = F.try_element_at(F.create_map(*(F.lit(x) for row in sizes for x in (row["lang"], row["bytes"]))), F.col("lang"))
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(9), "k", "n"), 11).cast("double") / float(1 << 53)
-    drawn_rows = rows.join(sizes, "lang").withColumn("h", drawn).where(F.col("h") * F.col("bytes") < 1.5 * trained_bytes + (1 << 20))
+    drawn_rows = rows.withColumn("h", drawn).where(F.col("h") * total < 1.5 * trained_bytes + (1 << 20))
     order = ["h", "k", "n"]
     ranked = drawn_rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("r") <= trained_bytes // 256)
     so_far = Window.partitionBy("lang").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
