@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import decontam, html, langid, quality, sharding, simhash, warc
+from siltgate.llm import decontam, html, langid, lm, quality, sharding, simhash, warc
 from siltgate.llm.base import table
 from siltgate.plans.sizing import scratch_path, stored
 
@@ -67,5 +67,12 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", test.alias("held_out"), "text"), trees).select("doc_id", "held_out", "_language.*")
 
 
+def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    test = langid.held_out(F.col("doc_id"), 10, 0)
+    scored = lm.score(docs.select("doc_id", test.alias("held_out"), "text"), docs.where(~test).select("doc_id", "text"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
