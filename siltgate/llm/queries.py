@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import decontam, html, langid, lm, quality, sharding, simhash, warc
+from siltgate.llm import decontam, html, langid, lm, pieces, quality, sharding, simhash, warc
 from siltgate.llm.base import table
 from siltgate.plans.sizing import scratch_path, stored
 
@@ -60,6 +60,20 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_lattice_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole document, and whether decoding them gives the text back (NULL text: empty)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pieces.load()
+    encoded = pieces.encode(docs, model).select("doc_id", "text", F.col("_pieces.ids").alias("ids"))
+    decoded = pieces.decode(encoded, model, "ids")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        (F.col("_decoded.text") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     test = langid.held_out(F.col("doc_id"), 4, 2)
