@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import decontam, html, langid, lm, pieces, quality, sharding, simhash, warc
+from siltgate.llm import decontam, html, langid, lm, pieces, quality, sharding, simhash, suffixes, warc
 from siltgate.llm.base import table
 from siltgate.plans.sizing import scratch_path, stored
 
@@ -38,6 +38,13 @@ def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_merged_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(docs).select(
+        "doc_id", "_cut.n_bytes", "_cut.n_removed", "_cut.n_spans", F.sha2("_cut.kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards, law ``rows``; NULL text counts no bytes, so size 16 and CRC 0."""
     docs = table(spark, sf_dir, "documents").select(
