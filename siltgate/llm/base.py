@@ -6,9 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from siltgate.plans.sizing import stored
+
 # Texts are worked on in slices of about this many bytes; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 SPACE = np.zeros(256, bool)
@@ -47,6 +50,24 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         start = end
 
 
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` reads files and at most narrows them, so that file and place name a row."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.getClass().getSimpleName() == "LogicalRelation" and bool(df.inputFiles())
+
+
+def with_row_ids(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``docs`` as a plain file scan, and columns (f, r) that name a row: its file and its place there.
+
+    A scan that runs again finds the same ids, however it is split. Other frames are written first.
+    """
+    if not _plain_scan(docs):
+        docs = stored(docs, "rows")
+    return docs, [F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")]
+
+
 def annotate(
     df: DataFrame, text: str, name: str, fields: StructType, start: Callable[[], Callable[[pa.Array], list[pa.Array]]]
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from siltgate.llm.base import annotate, slices
+from siltgate.llm.base import annotate, slices, with_row_ids
 from siltgate.llm.components import components
 from siltgate.plans.sizing import stored
 
@@ -128,3 +128,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return prints.join(known, "fp").select(
         F.col("_k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+    """Of each group of near duplicates the row with the smallest key; NULL keys come last, ties go by place.
+
+    Rows and columns are otherwise as they were. Only row names move through the grouping; texts are
+    shuffled once, at the end.
+    """
+    docs, ids = with_row_ids(docs)
+    slim = docs.select(*ids, F.col(key).alias("_k"), F.col(text).alias("_t"))
+    prints = stored(fingerprint(slim, "_t", width, "_s").select("f", "r", "_k", F.col("_s.fp").alias("fp")), "simhash")
+    named = prints.join(groups(prints), "fp")
+    first = named.groupBy("label").agg(F.min(F.struct(F.col("_k").isNull().alias("no_key"), "_k", "f", "r")).alias("one"))
+    chosen = stored(first.select("one.f", "one.r"), "simhash-kept")
+    return docs.select(F.struct(*docs.columns).alias("_row"), *ids).join(chosen, ["f", "r"], "left_semi").select("_row.*")

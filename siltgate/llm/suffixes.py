@@ -16,12 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
-from siltgate.llm.base import BASE, BASE_INVERSE, ODD, mix, powers, slices
+from siltgate.llm.base import BASE, BASE_INVERSE, ODD, mix, powers, slices, with_row_ids
 from siltgate.plans.sizing import stored
 
 LENGTH = 400
@@ -99,15 +98,6 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> dict
     return out
 
 
-def with_row_ids(docs: DataFrame) -> tuple[DataFrame, list]:
-    """``docs`` as a plain file scan, and columns (f, r) that name a row: its file and its place there."""
-    try:
-        docs.select("_metadata.row_index")
-    except AnalysisException:
-        docs = stored(docs, "rows")
-    return docs, [F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")]
-
-
 def _suffix_rows(length: int):
     names = [x.split()[0] for x in ROW.split(", ")]
 
