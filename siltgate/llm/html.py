@@ -32,7 +32,7 @@ LINKS = 0.4
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*)(?:((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|[^>]*(?:>|\Z))",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -141,7 +141,7 @@ def blocks(page: str) -> list[Block]:
             at = upto
             continue
         at = m.end()
-        name = (m[2] or "").lower()
+        name, attributes = (m[2] or "").lower(), m[3] or ""
         if not name:
             continue
         if m[1]:
@@ -160,7 +160,7 @@ def blocks(page: str) -> list[Block]:
                     parts.append((" ", False))
             continue
         if name in RAW:
-            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at) if not m[3].endswith("/") else None
+            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at) if not attributes.endswith("/") else None
             if stop:
                 at = stop.end()
             elif name in ("script", "style"):
@@ -186,14 +186,14 @@ def blocks(page: str) -> list[Block]:
                 if stack[i][0] in BLOCKS:
                     break
             flush()
-        if m[3].endswith("/") and name not in BLOCKS:
+        if attributes.endswith("/") and name not in BLOCKS:
             continue
         if name in MAIN and not excluded and not inside:
             mains += 1
             inside_now = mains
         else:
             inside_now = inside
-        excluded = excluded or _excluded(name, m[3], inside)
+        excluded = excluded or _excluded(name, attributes, inside)
         inside = inside_now
         stack.append((name, excluded, inside))
         links += name == "a"

@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import random
+
+import cases
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from siltgate.llm import simhash
+from siltgate.llm.components import components
+
+M = (1 << 64) - 1
+
+
+def fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) >= 3 else [b" ".join(words)] if words else []
+    out = 0
+    for bit in range(64):
+        if 2 * sum(xxhash.xxh64_intdigest(s, 42) >> bit & 1 for s in shingles) > len(shingles):
+            out |= 1 << bit
+    return out
+
+
+def grouped(nodes, near):
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in nodes:
+        for b in nodes:
+            if a < b and near(a, b):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {n: root(n) for n in nodes}
+
+
+def test_against_brute_force_with_odd_rows(spark):
+    rows = cases.odd_rows()
+    rows += [(50 + i, cases.PROSE * 30 + "x" * i, "en", "s", 1) for i in range(6)]
+    docs = cases.clashing(cases.frame(spark, rows), "fp", "label", "fingerprint")
+    made = simhash.near_duplicates(docs).collect()
+    prints = [fingerprint(r[1]) for r in rows]
+    root = grouped(set(prints), lambda a, b: (a ^ b).bit_count() <= 2)
+    least = {}
+    for r, p in zip(rows, prints, strict=True):
+        if r[0] is not None:
+            least[root[p]] = min(least.get(root[p], r[0]), r[0])
+    expected = sorted(((r[0], f"{p:016x}", least.get(root[p])) for r, p in zip(rows, prints, strict=True)), key=repr)
+    assert sorted((tuple(r) for r in made), key=repr) == expected
+
+
+@pytest.mark.parametrize("long_entry", [64, 3, 0])
+def test_links_have_the_closure_of_all_close_pairs(spark, long_entry):
+    rng = random.Random(5)
+    values = {0, M}
+    for _ in range(6):
+        base = rng.getrandbits(64)
+        for _ in range(25):
+            flipped = base
+            for _ in range(rng.randint(0, 3)):
+                flipped ^= 1 << rng.randrange(64)
+            values.add(flipped)
+            if rng.random() < 0.3:
+                base = flipped
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    made = simhash.groups(spark.createDataFrame([(v,) for v in signed], "fp long"), long_entry).collect()
+    found = {}
+    for r in made:
+        found.setdefault(r["label"], set()).add(r["fp"] & M)
+    expected = {}
+    for v, root in grouped(values, lambda a, b: (a ^ b).bit_count() <= 2).items():
+        expected.setdefault(root, set()).add(v)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
+
+
+def test_components_of_chains_stars_and_nothing(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 200), (-5, 300)]
+    rng = random.Random(1)
+    rng.shuffle(edges)
+    made = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert made == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200, -5: -5, 300: -5}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    docs = cases.clashing(cases.frame(spark), "f", "r", "_k")
+    kept = simhash.keep_one(docs)
+    assert kept.dtypes == docs.dtypes
+    ids = sorted((r["doc_id"] for r in kept.collect()), key=repr)
+    assert ids == sorted([0, 3, 4, 4, 6, 7, 8, 9], key=repr)  # 0: no words; 4: a text of its own and the copies' first
+    assert simhash.keep_one(docs.limit(0)).count() == 0 and simhash.near_duplicates(docs.limit(0)).count() == 0
+    only_null = cases.frame(spark, [(None, "a b c d", None, None, None)] * 3)
+    assert simhash.keep_one(only_null).count() == 1
+    assert [r["component_id"] for r in simhash.near_duplicates(only_null).collect()] == [None] * 3
+
+
+def test_tallies_count_equal_bytes(spark):
+    row = spark.range(1).select(simhash._tally(F.lit(0x00FF000000000100).cast("long")).alias("n"), simhash._tally(F.lit(-1).cast("long")).alias("none")).first()
+    assert (row["n"], row["none"]) == (6, 0)
