@@ -180,9 +180,11 @@ def key_exists(
                 for key in keys:
                     given = given & F.col(key).isNotNull()
                 found = given & ~found
-            return df.join(F.broadcast(marked), keys, "left").withColumn(into, found).drop("_rare")
+            joined = df.join(F.broadcast(marked), keys, "left").withColumn(into, found)
+            return joined.select(*[c for c in df.columns if c != into], into)
     flagged = lookup(df, known.withColumn("_known", F.lit(True)), keys, "left", limits, probe)
-    return flagged.withColumn(into, F.coalesce("_known", F.lit(False))).drop("_known")
+    flagged = flagged.withColumn(into, F.coalesce("_known", F.lit(False)))
+    return flagged.select(*[c for c in df.columns if c != into], into)
 
 
 def orphans(

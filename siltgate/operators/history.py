@@ -6,34 +6,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DateType, NumericType, StructField, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
 from siltgate.operators.checks import Check
 from siltgate.plans.sizing import same_key, stored
 
 
-def profile(df: DataFrame, columns: Sequence[str], distinct: bool = True) -> DataFrame:
-    """One row per column: rows, nulls, null rate, numeric range, about how many distinct values,
-    and the checks these numbers suggest. One pass."""
+def profile(
+    df: DataFrame, columns: Sequence[str], distinct: bool = True, exact: bool = False
+) -> DataFrame:
+    """One row per column: rows, nulls, null rate, range, how many distinct values, and the checks
+    these numbers suggest. The range of a date or time is in seconds since 1970. One pass; distinct
+    counts are sketches unless ``exact``, which shuffles every column's values.
+    """
     numeric = {f.name for f in df.schema if isinstance(f.dataType, NumericType)}
+    times = {f.name for f in df.schema if isinstance(f.dataType, DateType | TimestampType | TimestampNTZType)}
+    count = F.count_distinct if exact else F.approx_count_distinct
+    counted = "distinct_values" if exact else "approx_distinct"
     sums: list[Column] = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(columns):
         sums.append(F.count(F.col(name)).alias(f"_filled_{i}"))
         if name in numeric:
             sums.append(F.min(name).cast("double").alias(f"_min_{i}"))
             sums.append(F.max(name).cast("double").alias(f"_max_{i}"))
+        if name in times:
+            sums.append(F.min(name).cast("timestamp").cast("double").alias(f"_min_{i}"))
+            sums.append(F.max(name).cast("timestamp").cast("double").alias(f"_max_{i}"))
         if distinct:
-            sums.append(F.approx_count_distinct(name).alias(f"_distinct_{i}"))
+            sums.append(count(F.col(name)).alias(f"_distinct_{i}"))
     nothing = F.lit(None).cast("double")
     rows = F.array(
         *[
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.col(f"_filled_{i}").alias("_filled"),
-                (F.col(f"_min_{i}") if name in numeric else nothing).alias("min_value"),
-                (F.col(f"_max_{i}") if name in numeric else nothing).alias("max_value"),
-                *([F.col(f"_distinct_{i}").alias("approx_distinct")] if distinct else []),
+                (F.col(f"_min_{i}") if name in numeric | times else nothing).alias("min_value"),
+                (F.col(f"_max_{i}") if name in numeric | times else nothing).alias("max_value"),
+                F.lit(name in times).alias("_is_time"),
+                *([F.col(f"_distinct_{i}").alias(counted)] if distinct else []),
             )
             for i, name in enumerate(columns)
         ]
@@ -42,7 +53,9 @@ def profile(df: DataFrame, columns: Sequence[str], distinct: bool = True) -> Dat
     suggested = F.concat_ws(
         ",",
         F.when((F.col("rows") > 0) & (nulls == 0), "not_null"),
-        F.when(F.col("min_value") > 0, "positive").when(F.col("min_value") == 0, "not_negative"),
+        F.when(F.col("_is_time"), None)
+        .when(F.col("min_value") > 0, "positive")
+        .when(F.col("min_value") == 0, "not_negative"),
     )
     return (
         df.agg(*sums)
@@ -52,25 +65,26 @@ def profile(df: DataFrame, columns: Sequence[str], distinct: bool = True) -> Dat
             "null_rate", F.when(F.col("rows") > 0, F.round(F.col("nulls") / F.col("rows"), 6))
         )
         .withColumn("suggested", suggested)
-        .drop("_filled")
+        .drop("_filled", "_is_time")
     )
 
 
 def guard(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """The same rows, but a job that meets a row breaking a hard check fails and names the check.
 
-    Built into a column and not into a filter: Catalyst may move a filter below the
-    gate, where rows that the gate removes would trip it.
+    Built into every column, so that reading any of them meets the check, and not into a
+    filter: Catalyst may move a filter below the gate, where rows that the gate removes
+    would trip it. A reader that needs no column at all, as a count, is not checked.
     """
     hard = [(c.name, F.coalesce(c.holds(), F.lit(False))) for c in checks if c.hard]
     if not hard:
         return df
     broken = F.concat_ws("; ", *[F.when(~holds, F.lit(name)) for name, holds in hard])
-    carrier = df.schema[0]
-    stop = F.raise_error(F.concat(F.lit("broken: "), broken)).cast(carrier.dataType)
-    return df.withColumn(
-        carrier.name, F.when(broken == "", F.col(carrier.name)).otherwise(stop)
-    )
+    def carried(field: StructField) -> Column:
+        stop = F.raise_error(F.concat(F.lit("broken: "), broken)).cast(field.dataType)
+        return F.when(broken == "", F.col(field.name)).otherwise(stop).alias(field.name)
+
+    return df.select(*[carried(field) for field in df.schema])
 
 
 def _beside(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, hot_keys, same_key, spread_slot, stored
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, bounded, hot_keys, same_key, spread_slot, stored
 
 # Slots per map partition in which rows of a hot key are ranked first.
 SLOTS = 8
@@ -37,9 +37,9 @@ def flag_repeats(
     if hot is None:
         return df.withColumn(flag, _position(keys, order) > 1)
     match = same_key(df, hot, keys)
-    cold = df.join(F.broadcast(hot), match, "left_anti").withColumn(flag, _position(keys, order) > 1)
+    cold = df.join(bounded(hot), match, "left_anti").withColumn(flag, _position(keys, order) > 1)
     split = (
-        df.join(F.broadcast(hot), match, "left_semi")
+        df.join(bounded(hot), match, "left_semi")
         .withColumn("_slot", spread_slot(df, SLOTS))
         .withColumn("_local", _position([*keys, "_slot"], order))
         # Winners share slot -1; the rest stay where they are spread.
@@ -61,40 +61,49 @@ def rank_copies(
 ) -> DataFrame:
     """Add ``rank``: 1, 2, 3 … within each key, in ``order``.
 
-    Rows of hot keys are range-partitioned by key and order, stored once so that the
-    partition of a row is settled, ranked inside each partition, and shifted by the
-    number of rows of the same key in earlier partitions.
+    Rows of hot keys that are equal in every column are counted first, then range-partitioned
+    by key and order and stored, so that the partition of a row is settled; they are ranked inside
+    each partition, shifted by the rows of the same key in earlier partitions, and written out as
+    often as they were counted. Rows must be of types that can be grouped.
     """
     keys = list(keys)
     hot = hot_keys(df if probe is None else probe, keys, limits)
     if hot is None:
         return df.withColumn(rank, _position(keys, order))
     match = same_key(df, hot, keys)
-    cold = df.join(F.broadcast(hot), match, "left_anti").withColumn(rank, _position(keys, order))
+    cold = df.join(bounded(hot), match, "left_anti").withColumn(rank, _position(keys, order))
+    rows = df.join(bounded(hot), match, "left_semi")
+    sorting = [F.col(c) if isinstance(c, str) else c for c in order]
+    # Which partition a row goes to depends on its values alone, so a task that runs again sends it there again.
     ranged = stored(
-        df.join(F.broadcast(hot), match, "left_semi")
-        .withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys, *order, "_tie")
+        rows.groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .repartitionByRange(*keys, *sorting)
         .withColumn("_part", F.spark_partition_id()),
         "ranged",
     )
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # One row per key and partition it reaches: at most hot keys + partitions.
+    # One row per key and partition it reaches.
     shifts = (
         ranged.groupBy(*keys, "_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(F.sum("_copies").alias("_rows"))
         .withColumn("_shift", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_part").alias("_of_part"), "_shift")
     )
-    local = ranged.withColumn("_local", _position([*keys, "_part"], [*order, "_tie"]))
+    # Ties of the order are settled by the other columns.
+    inside = Window.partitionBy(*keys, "_part").orderBy(*sorting, *df.columns).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    local = ranged.withColumn("_before", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
     condition = local["_part"] == shifts["_of_part"]
     condition = condition & same_key(local, shifts, keys, "_of_")
-    hot_ranked = local.join(F.broadcast(shifts), condition, "left").withColumn(
-        rank, F.col("_local") + F.col("_shift")
+    at = F.col("_before") + F.col("_shift")
+    hot_ranked = local.join(shifts, condition, "left").select(
+        *df.columns, F.explode(F.sequence(at + 1, at + F.col("_copies"))).alias(rank)
     )
-    return cold.unionByName(hot_ranked.select(*df.columns, rank))
+    return cold.unionByName(hot_ranked)
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

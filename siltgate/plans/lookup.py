@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, broadcasts, hot_keys, spread_slot
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, bounded, broadcasts, hot_keys, spread_slot, stored
 
 # Shuffle slots per map partition for the rows of hot keys.
 SLOTS = 16
@@ -33,29 +33,31 @@ def lookup(
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join: {how}")
     on = list(on)
+    values = [c for c in side.columns if c not in on]
+    columns = [*df.columns, *values]
     if broadcasts(side, limits):
         # Its size has just been checked; the hint holds if the limit differs from the session's.
-        return df.join(F.broadcast(side), on, how)
+        return df.join(F.broadcast(side), on, how).select(*columns)
     hot = hot_keys(df if probe is None else probe, on, limits)
     if hot is None:
-        return df.join(side, on, how)
+        return df.join(side, on, how).select(*columns)
 
-    values = [c for c in side.columns if c not in on]
-    # At most one row per hot key, so bounded like the hot keys themselves.
-    matches = side.join(F.broadcast(hot), on, "left_semi").withColumn("_hot_found", F.lit(True))
-    hot_side = (
-        hot.join(F.broadcast(matches), on, "left")
+    # At most one row per hot key; stored, so that its size is known before it may be broadcast.
+    matches = side.join(bounded(hot), on, "left_semi").withColumn("_hot_found", F.lit(True))
+    hot_side = stored(
+        hot.join(matches, on, "left")
         .select(
             *[F.col(c).alias(f"_hot_{c}") for c in on],
             *[F.col(c).alias(f"_hot_{c}") for c in values],
             F.coalesce("_hot_found", F.lit(False)).alias("_hot_found"),
             F.lit(True).alias("_is_hot"),
-        )
+        ),
+        "hot-side",
     )
     condition = F.lit(True)
     for c in on:
         condition = condition & df[c].eqNullSafe(F.col(f"_hot_{c}"))
-    marked = df.join(F.broadcast(hot_side), condition, "left").withColumn(
+    marked = df.join(bounded(hot_side), condition, "left").withColumn(
         "_slot",
         F.when(F.col("_is_hot"), F.xxhash64(spread_slot(df, SLOTS))).otherwise(F.xxhash64(*on)),
     )

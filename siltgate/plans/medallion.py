@@ -22,7 +22,7 @@ from siltgate.operators.checks import ARRIVAL, Check, order_checks, satisfies
 from siltgate.operators.conform import conform_customers, conform_products
 from siltgate.operators.history import guard
 from siltgate.operators.repeats import newest_per_key
-from siltgate.plans.sizing import DEFAULT_LIMITS, Limits
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, stored
 from siltgate.sources import lake as tables
 from siltgate.sources.lake import CatalogLake, Lake, Table
 from siltgate.sources.raw import read_csv_raw, read_json_raw, unseen, with_lineage
@@ -89,6 +89,13 @@ def append_new(
     lake.append(df, table)
 
 
+def append_run(lake: Lake | CatalogLake, df: DataFrame, table: Table, run_id: str) -> None:
+    """Append a run's rows unless the table has rows of that run, so a run that is repeated adds nothing."""
+    if lake.exists(table) and not lake.read(table).where(F.col("run_id") == run_id).isEmpty():
+        return
+    lake.append(df, table)
+
+
 def silver_guards() -> list[Check]:
     """What must hold for every row of silver.orders, whatever the gate did."""
     return [
@@ -129,24 +136,23 @@ def build_silver(
             [newest, "product_name", "category", "unit_price"],
         )
     )
-    lake.overwrite(customers, tables.SILVER_CUSTOMERS)
-    lake.overwrite(products, tables.SILVER_PRODUCTS)
-
-    checks = order_checks(
-        lake.read(tables.SILVER_PRODUCTS), lake.read(tables.SILVER_CUSTOMERS), arrival
-    )
+    # Written once, published only after the audit.
+    customers, products = stored(customers, "customers"), stored(products, "products")
+    checks = order_checks(products, customers, arrival)
     judged = gate.judge(lake.read(tables.BRONZE_ORDERS), checks, limits)
     lake.overwrite(judged.select(*CANDIDATE_COLUMNS), tables.ORDERS_CANDIDATE)
     candidate = lake.read(tables.ORDERS_CANDIDATE)
 
     measured = gate.metrics(candidate, checks, run_id, "orders", measured_at)
-    lake.append(measured, tables.DQ_METRICS)
+    append_run(lake, measured, tables.DQ_METRICS, run_id)
     clean, rejected = gate.split(candidate)
-    lake.append(gate.quarantine(rejected, run_id), tables.QUARANTINE_ORDERS)
+    append_run(lake, gate.quarantine(rejected, run_id), tables.QUARANTINE_ORDERS, run_id)
     if bounds is not None:
         audit.enforce(audit.report(candidate, "order_id", bounds))
     if sla is not None:
         gate.enforce_sla(lake.read(tables.DQ_METRICS), run_id, sla)
+    lake.overwrite(customers, tables.SILVER_CUSTOMERS)
+    lake.overwrite(products, tables.SILVER_PRODUCTS)
     lake.overwrite(guard(gate.publishable(clean), silver_guards()), tables.SILVER_ORDERS)
 
     counted = audit.clean_fraction(candidate).first()

@@ -9,6 +9,7 @@ every strategy returns the same whole result.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -36,6 +37,8 @@ class Limits:
 
 
 DEFAULT_LIMITS = Limits()
+# Scratch folders of local sessions that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -57,16 +60,23 @@ def broadcasts(side: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
     return estimated_bytes(side) <= limit
 
 
+def bounded(side: DataFrame) -> DataFrame:
+    """``side`` with a broadcast hint if its estimate is within the session's limit.
+
+    Beyond it there is no hint: the join shuffles, and AQE splits what is skewed.
+    """
+    return F.broadcast(side) if broadcasts(side) else side
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir, or a local one in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="siltgate-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _LOCAL_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="siltgate-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -91,7 +101,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limits: Limits = DEFAULT_LIMITS
         return None
     picked = df.select(*keys)
     if limits.sample < 1:
-        picked = picked.sample(limits.sample, seed=17)
+        picked = picked.sample(fraction=limits.sample, seed=17)
     least = max(1, int(limits.hot_rows * min(limits.sample, 1.0)))
     hot = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
     # Stored once: later branches must agree on the set even if the sample is drawn again.

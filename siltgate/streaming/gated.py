@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,29 +45,48 @@ def judge_batch(
     return gate.evaluate(prepared, checks)
 
 
+# Folders that the keys of a stream are spread over; a batch reads those it has keys in.
+KEY_BUCKETS = 256
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int"))
+
+
+def earlier_keys(spark: SparkSession, output: str, name: str, batch_id: int, batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys that other batches have landed, from the buckets that ``batch`` touches; None if there are none."""
+    try:
+        known = spark.read.parquet(f"{output}/_keys")
+    except AnalysisException:
+        return None
+    # At most KEY_BUCKETS numbers; the folders of other buckets are not read.
+    touched = [r.bucket for r in _bucketed(batch.select(*keys), keys).select("bucket").distinct().collect()]
+    same = (F.col("stream") == name) & (F.col("batch") >= batch_id)
+    return known.where(F.col("bucket").isin(touched) & ~same).select(*keys)
+
+
 def start(
     stream: DataFrame,
     shape: Callable[[DataFrame], DataFrame],
     checks: Sequence[Check],
-    keys: Sequence[str],
     output: str,
     checkpoint: str,
     limits: Limits = DEFAULT_LIMITS,
     **trigger,
 ) -> StreamingQuery:
-    """Gate every micro-batch of ``stream`` into ``output/batch=<id>``.
+    """Gate every micro-batch of ``stream`` into ``output/rows/stream=<name>/batch=<id>``.
 
-    ``shape`` makes bronze rows of a batch. A batch that is delivered again after a
-    failure overwrites its own folder, so each row lands once. Clean rows, quarantine
-    and metrics are read from the evaluated rows with the functions of the gate.
+    ``shape`` makes bronze rows of a batch. A stream is named by its checkpoint, so another
+    checkpoint never overwrites its rows; what both deliver counts as repeated. A batch that is
+    delivered again after a failure overwrites its own folder, so each row lands once. The keys
+    that must be unique are those of the checks; each batch leaves them in a table by key hash.
+    Clean rows, quarantine and metrics are read from the evaluated rows with the functions of the gate.
     """
+    name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    keys = list(dict.fromkeys(k for c in checks for n in c.needs if isinstance(n, Repeated) for k in n.keys))
+
     def on_batch(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        earlier = None
-        if batch_id > 0:
-            earlier = read(spark, output).where(F.col("batch") < batch_id).select(*keys)
-        judged = judge_batch(shape(rows), checks, earlier, limits)
-        judged.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        land(shape(rows), batch_id, name, checks, keys, output, limits)
 
     return (
         stream.writeStream.foreachBatch(on_batch)
@@ -75,5 +96,24 @@ def start(
     )
 
 
+def land(
+    batch: DataFrame,
+    batch_id: int,
+    name: str,
+    checks: Sequence[Check],
+    keys: Sequence[str],
+    output: str,
+    limits: Limits = DEFAULT_LIMITS,
+) -> None:
+    """Judge one batch against the keys landed before and write its rows, then its keys."""
+    spark, place = batch.sparkSession, f"stream={name}/batch={batch_id}"
+    earlier = earlier_keys(spark, output, name, batch_id, batch, keys) if keys else None
+    judged = judge_batch(batch, checks, earlier, limits)
+    judged.write.mode("overwrite").parquet(f"{output}/rows/{place}")
+    if keys:
+        landed = spark.read.schema(judged.schema).parquet(f"{output}/rows/{place}").select(*keys).distinct()
+        _bucketed(landed, keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{output}/_keys/{place}")
+
+
 def read(spark: SparkSession, output: str) -> DataFrame:
-    return spark.read.parquet(output)
+    return spark.read.parquet(f"{output}/rows")

@@ -163,6 +163,46 @@ def _rule(name: str) -> str:
     )
 
 
+# Columns of lineitem: n for numbers, t for times.
+LINE_COLUMNS = [
+    ("l_orderkey", "n"), ("l_partkey", "n"), ("l_suppkey", "n"), ("l_linenumber", "n"), ("l_quantity", "n"),
+    ("l_extendedprice", "n"), ("l_discount", "n"), ("l_tax", "n"), ("l_returnflag", ""),
+    ("l_linestatus", ""), ("l_shipdate", "t"),
+]
+
+
+def _profiled(name: str, kind: str, source: str, more: str = "") -> str:
+    ends = {
+        "n": (f"CAST(min({name}) AS DOUBLE)", f"CAST(max({name}) AS DOUBLE)"),
+        "t": (f"epoch(CAST(min({name}) AS TIMESTAMP))", f"epoch(CAST(max({name}) AS TIMESTAMP))"),
+        "": ("NULL::DOUBLE", "NULL::DOUBLE"),
+    }[kind]
+    sign = f"CASE WHEN min({name}) > 0 THEN 'positive' WHEN min({name}) = 0 THEN 'not_negative' END"
+    return f"""SELECT '{name}' AS column_name, count(*) AS rows, count(*) - count({name}) AS nulls,
+        round((count(*) - count({name})) / count(*), 6) AS null_rate, {more}
+        CAST({ends[0]} AS DOUBLE) AS min_value, CAST({ends[1]} AS DOUBLE) AS max_value,
+        concat_ws(',', CASE WHEN count(*) = count({name}) THEN 'not_null' END,
+          {sign if kind == "n" else "NULL"}) AS suggested
+        FROM {source}"""
+
+
+def _volume(rows: str, name: str, low: float, high: float) -> str:
+    """Daily volume of (source, ts) rows with every day of each source."""
+    return f"""
+        WITH arrived AS ({rows}),
+        daily AS (SELECT source, CAST(ts AS DATE) AS day, count(*) AS n FROM arrived GROUP BY ALL),
+        days AS (SELECT source, CAST(unnest(generate_series(CAST(first AS TIMESTAMP), CAST(last AS TIMESTAMP),
+                   INTERVAL 1 DAY)) AS DATE) AS day
+          FROM (SELECT source, min(day) AS first FROM daily GROUP BY source),
+               (SELECT max(day) AS last FROM daily)),
+        filled AS (SELECT source, day, coalesce(n, 0) AS rows FROM days LEFT JOIN daily USING (source, day)),
+        averaged AS (SELECT *, avg(rows) OVER (PARTITION BY source ORDER BY day
+          ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_mean FROM filled)
+        SELECT source AS {name}, day, rows, trailing_mean,
+        CASE WHEN rows < trailing_mean * {low} THEN 'low' WHEN rows > trailing_mean * {high} THEN 'high'
+        ELSE 'ok' END AS status FROM averaged"""
+
+
 def statements() -> dict[str, str]:
     day = DAY.format("order_date_parsed")
     parties = """SELECT c_custkey AS party_id, c_name AS name, c_nationkey AS nation FROM customer"""
@@ -269,14 +309,14 @@ def statements() -> dict[str, str]:
         "revenue_by_country": _with(
             JUDGED + "," + CUSTOMERS,
             """SELECT country,
-            CAST(round(sum(CAST(order_amount_dbl AS DECIMAL(20,6))), 2) AS DOUBLE) AS revenue,
+            CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE) AS revenue,
             count(DISTINCT order_id) AS orders
             FROM judged JOIN conformed USING (customer_id) WHERE passed GROUP BY country""",
         ),
         "revenue_by_category": _with(
             JUDGED,
             """SELECT p_type AS category,
-            CAST(round(sum(CAST(order_amount_dbl AS DECIMAL(20,6))), 2) AS DOUBLE) AS revenue,
+            CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE) AS revenue,
             CAST(sum(quantity_int) AS BIGINT) AS units
             FROM judged JOIN part ON CAST(p_partkey AS VARCHAR) = product_id
             WHERE passed GROUP BY p_type""",
@@ -352,11 +392,11 @@ seen AS (
             rows_failed, pass_rate, measured_at FROM recent WHERE recency = 1""",
         ),
         "sla_breaches": _with(
-            HISTORY,
+            JUDGED + "," + metrics("'run-1'"),
             """SELECT rule_name, dimension, pass_rate,
-            format('SLA BREACH: {} pass_rate={:.3f} < 0.8 ({})', rule_name, pass_rate, dimension)
+            format('SLA BREACH: {} pass_rate={:.3f} < 0.8 ({})', rule_name, round(pass_rate + 1e-9, 3), dimension)
               AS message
-            FROM recent WHERE recency = 1 AND severity = 'error' AND pass_rate < 0.8""",
+            FROM metrics WHERE severity = 'error' AND pass_rate < 0.8""",
         ),
         "worst_hard_rate_trend": _with(
             HISTORY,
@@ -375,14 +415,15 @@ averaged AS (
 )""",
             """SELECT rule_name, run_id, rows_failed, rows_evaluated,
             round(failure_rate, 6) AS failure_rate, round(trailing_mean, 6) AS trailing_mean
-            FROM averaged WHERE failure_rate > 1.5 * trailing_mean""",
+            FROM averaged WHERE failure_rate > 1.1 * trailing_mean""",
         ),
         "version_diff": _with(
             JUDGED,
             """SELECT order_id, customer_id, product_id, quantity_int AS quantity,
-            order_amount_dbl AS order_amount, order_date_parsed AS order_date FROM judged
-            EXCEPT SELECT order_id, customer_id, product_id, quantity_int, order_amount_dbl,
-            order_date_parsed FROM judged WHERE passed""",
+            unit_price_dbl AS unit_price, order_amount_dbl AS order_amount,
+            order_date_parsed AS order_date, warnings AS dq_warnings FROM judged
+            EXCEPT SELECT order_id, customer_id, product_id, quantity_int, unit_price_dbl,
+            order_amount_dbl, order_date_parsed, warnings FROM judged WHERE passed""",
         ),
         "freshness_by_source": f"""SELECT event_type, strftime(max(ts), {TEXT_TIME}) AS last_arrival
             FROM events GROUP BY event_type""",
@@ -390,35 +431,42 @@ averaged AS (
         "period_over_period": """
             WITH totals AS (
               SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS period,
-              CAST(round(sum(CAST(o_totalprice AS DECIMAL(20,6))), 2) AS DOUBLE) AS current
+              CAST(round(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE) AS current
+              FROM orders GROUP BY ALL),
+            calendar AS (SELECT t.*, p.current AS previous FROM totals t LEFT JOIN totals p
+              ON p.o_orderpriority = t.o_orderpriority
+              AND p.period = CAST(t.period - INTERVAL 1 MONTH AS DATE))
+            SELECT *, current - previous AS change FROM calendar""",
+        "period_gaps": """
+            WITH totals AS (
+              SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS period,
+              CAST(round(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE) AS current
               FROM orders GROUP BY ALL),
-            lagged AS (SELECT *, lag(current) OVER (PARTITION BY o_orderpriority ORDER BY period)
-              AS previous FROM totals)
-            SELECT *, current - previous AS change FROM lagged""",
-        "volume_anomaly": """
-            WITH daily AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS rows
-              FROM events GROUP BY ALL),
-            averaged AS (SELECT *, avg(rows) OVER (PARTITION BY event_type ORDER BY day
-              ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_mean FROM daily)
-            SELECT event_type, day, rows, trailing_mean,
-            CASE WHEN rows / trailing_mean < 0.5 THEN 'low' WHEN rows / trailing_mean > 10.0 THEN 'high'
-            ELSE 'ok' END AS status FROM averaged""",
+            calendar AS (SELECT t.*, p.current AS previous FROM totals t LEFT JOIN totals p
+              ON p.o_custkey = t.o_custkey AND p.period = CAST(t.period - INTERVAL 1 MONTH AS DATE))
+            SELECT *, current - previous AS change FROM calendar""",
+        "volume_outages": _volume(
+            "SELECT c_nationkey AS source, o_orderdate AS ts FROM orders JOIN customer ON o_custkey = c_custkey",
+            "c_nationkey", 0.5, 10.0),
+        "late_sources": f"""
+            WITH newest AS (SELECT max(o_orderdate) AS now FROM orders),
+            seen AS (SELECT o_custkey, max(o_orderdate) AS last FROM orders GROUP BY o_custkey)
+            SELECT o_custkey, strftime(last, {TEXT_TIME}) AS last_arrival,
+            strftime(last + INTERVAL 30 DAY, {TEXT_TIME}) AS due, now > last + INTERVAL 30 DAY AS is_late
+            FROM seen, newest""",
+        "volume_anomaly": _volume("SELECT event_type AS source, ts FROM events", "event_type", 0.9, 1.1),
         "idempotent_append": """SELECT o_orderkey, o_custkey FROM orders
             WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
-        "profile_columns": " UNION ALL ".join(
-            f"""SELECT '{name}' AS column_name, count(*) AS rows, count(*) - count({name}) AS nulls,
-            round((count(*) - count({name})) / count(*), 6) AS null_rate,
-            {f"CAST(min({name}) AS DOUBLE)" if number else "NULL::DOUBLE"} AS min_value,
-            {f"CAST(max({name}) AS DOUBLE)" if number else "NULL::DOUBLE"} AS max_value,
-            concat_ws(',', CASE WHEN count(*) = count({name}) THEN 'not_null' END,
-              {f"CASE WHEN min({name}) > 0 THEN 'positive' WHEN min({name}) = 0 THEN 'not_negative' END"
-               if number else "NULL"}) AS suggested
-            FROM lineitem"""
-            for name, number in (
-                ("l_orderkey", True), ("l_partkey", True), ("l_quantity", True),
-                ("l_extendedprice", True), ("l_discount", True), ("l_tax", True),
-                ("l_returnflag", False), ("l_linestatus", False), ("l_shipdate", False),
-            )
+        "profile_columns": " UNION ALL ".join(_profiled(c, kind, "lineitem") for c, kind in LINE_COLUMNS),
+        "profile_values": _with(
+            SALES,
+            " UNION ALL ".join(
+                _profiled(c, kind, "sales", f"count(DISTINCT {c}) AS distinct_values,")
+                for c, kind in (
+                    ("order_id", ""), ("quantity_int", "n"), ("unit_price_dbl", "n"),
+                    ("order_amount_dbl", "n"), ("order_date_parsed", "t"),
+                )
+            ),
         ),
         "scd2_customer": f"""
             WITH seen AS (SELECT o_custkey, o_orderdate, o_orderkey, o_orderpriority,
@@ -450,7 +498,8 @@ again AS (
         "src_csv_all_string": _with(
             SALES,
             """SELECT order_id, nullif(customer_id, '') AS customer_id, product_id,
-            CAST(quantity_int AS VARCHAR) AS quantity, order_date_text AS order_date FROM sales""",
+            CAST(quantity_int AS VARCHAR) AS quantity, unit_price_dbl AS unit_price,
+            order_amount_dbl AS order_amount, order_date_text AS order_date FROM sales""",
         ),
         "src_json_multiline": """SELECT CAST(p_partkey AS VARCHAR) AS product_id,
             p_name AS product_name, p_type AS category, p_retailprice AS unit_price FROM part""",
@@ -482,6 +531,31 @@ again AS (
             """SELECT order_id, customer_id, product_id, reason AS failed_rules, passed FROM judged""",
         ),
     }
+    revenue = "CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE)"
+    sql["medallion_metrics"] = sql["gate_metrics"]
+    sql["medallion_values"] = _with(
+        JUDGED + "," + CUSTOMERS,
+        f"""SELECT 'quarantine' AS part, reason AS name, CAST(count(*) AS DOUBLE) AS value
+        FROM judged WHERE NOT passed GROUP BY reason
+        UNION ALL SELECT 'country', country, {revenue} FROM judged JOIN conformed USING (customer_id)
+          WHERE passed GROUP BY country
+        UNION ALL SELECT 'category', p_type, {revenue} FROM judged
+          JOIN part ON CAST(p_partkey AS VARCHAR) = product_id WHERE passed GROUP BY p_type
+        UNION ALL SELECT 'customer', concat_ws('|', customer_id, name, company, country), 1.0 FROM conformed
+        UNION ALL SELECT 'product', concat_ws('|', CAST(p_partkey AS VARCHAR), p_name, p_type), p_retailprice FROM part
+        UNION ALL SELECT DISTINCT 'date', strftime(order_date_parsed, '%Y-%m-%d'), CAST({day} AS DOUBLE)
+          FROM judged WHERE passed""",
+    )
+    sql["skewed_prepared_orders"] = sql["prepared_orders"]
+    sql["skewed_fk_customer"] = sql["fk_customer_exists"]
+    sql["skewed_revenue_by_country"] = sql["revenue_by_country"]
+    sql["skewed_append"] = sql["idempotent_append"]
+    sql["skewed_dedup_rank"] = _with(
+        SALES,
+        """SELECT customer_id, order_id, product_id, row_number() OVER (PARTITION BY customer_id
+        ORDER BY l_shipdate, order_id, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+        l_returnflag, l_linestatus) AS copy_rank FROM sales""",
+    )
     for query, check in RULE_QUERIES.items():
         sql[query] = _rule(check)
     return sql

@@ -115,6 +115,14 @@ def test_period_compare_and_volume(spark):
     )
     status = {r.day.day: r.status for r in kpi.volume_anomaly(daily, "source", "ts").collect()}
     assert status == {1: "ok", 2: "ok", 3: "low"}
+    gap = spark.createDataFrame([("s", datetime(2025, 1, d)) for d in (1, 2, 6)] + [("t", datetime(2025, 1, 4))], "source string, ts timestamp")
+    found = {(r.source, r.day.day): (r.rows, r.status) for r in kpi.volume_anomaly(gap, "source", "ts").collect()}
+    assert found[("s", 3)] == (0, "low") and found[("s", 6)][0] == 1 and found[("t", 6)] == (0, "low") and len(found) == 9
+    late = {r.source: r.is_late for r in kpi.lateness(gap, "source", "ts", F.lit(datetime(2025, 1, 7)), "2 days").collect()}
+    assert late == {"s": False, "t": True}
+    months = spark.createDataFrame([("a", datetime(2025, m, 1), float(m)) for m in (1, 3, 4)], "seg string, ts timestamp, v double")
+    jumps = {r.period.month: r.previous for r in kpi.period_compare(months, F.trunc("ts", "month"), "seg", exact_sum("v")).collect()}
+    assert jumps == {1: None, 3: None, 4: 3.0}
     assert kpi.freshness(daily, "source", "ts").first().last_arrival == datetime(2025, 1, 3, 0, 0, 1)
     assert tuple(kpi.volume(daily, "source").first()) == ("s", 22)
 
@@ -140,6 +148,12 @@ def test_exact_sum(spark):
     assert total(*[0.01] * 1000) == 10.0
     assert total(1e15, 1.0) == 1e15 + 1
     assert total(1.0, float("nan")) != total(1.0, float("nan"))
+    mixed = total(4e-7, 1e15, float("nan"))
+    assert mixed != mixed and total(1.0, float("inf")) == float("inf")
+    assert total(*[4e-7] * 20_000) == 0.01 and total(*[4e-7] * 12_500, 1e15) == 1e15
+    assert total(1e30, 1.0, -1e30) == 1.0 and total(-0.004, -0.001) == -0.01 and total(-1.0, 0.005) == -1.0
+    with pytest.raises(Exception, match="does not fit"):
+        total(1e300)
     assert total(None) is None
 
 

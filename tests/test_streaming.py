@@ -22,8 +22,7 @@ def test_batches_share_uniqueness(spark, tmp_path, large, scale):
     def drain():
         stream = spark.readStream.schema(ORDER_SCHEMA).parquet(landing)
         gated.start(
-            stream, lambda rows: rows, default_checks(spark), ["order_id"], output,
-            str(tmp_path / "checkpoint"), limits,
+            stream, lambda rows: rows, default_checks(spark), output, str(tmp_path / "checkpoint"), limits,
         ).awaitTermination()
 
     deliver({}, {"order_id": "O2", "quantity": "-1"}, {"order_id": None})
@@ -42,13 +41,32 @@ def test_batches_share_uniqueness(spark, tmp_path, large, scale):
 
 
 def test_a_batch_delivered_again_lands_once(spark, tmp_path):
+    output, checks = str(tmp_path / "out"), default_checks(spark)
+    for batch_id, ids in ((0, ("O1", "O2")), (1, ("O2", "O3")), (1, ("O2", "O3"))):
+        batch = orders(spark, *[{"order_id": i} for i in ids])
+        gated.land(batch, batch_id, "s", checks, ["order_id"], output)
+    rows = gated.read(spark, output)
+    assert sorted((r.batch, r.order_id, r[gate.PASSED]) for r in rows.collect()) == [
+        (0, "O1", True), (0, "O2", True), (1, "O2", False), (1, "O3", True),
+    ]
+    assert set(GOOD) <= set(rows.columns)
+
+
+def test_another_checkpoint_loses_nothing(spark, tmp_path):
     landing, output = str(tmp_path / "in"), str(tmp_path / "out")
     orders(spark, {}).coalesce(1).write.parquet(landing)
     for checkpoint in ("one", "two"):
         stream = spark.readStream.schema(ORDER_SCHEMA).parquet(landing)
-        gated.start(
-            stream, lambda rows: rows, default_checks(spark), ["order_id"], output,
-            str(tmp_path / checkpoint),
-        ).awaitTermination()
-    assert gated.read(spark, output).count() == 1
-    assert set(GOOD) <= set(gated.read(spark, output).columns)
+        gated.start(stream, lambda rows: rows, default_checks(spark), output, str(tmp_path / checkpoint)).awaitTermination()
+    assert sorted(r[gate.PASSED] for r in gated.read(spark, output).collect()) == [False, True]
+
+
+def test_a_batch_reads_only_its_buckets(spark, tmp_path):
+    output = str(tmp_path / "out")
+    gated.land(orders(spark, *[{"order_id": f"O{i}"} for i in range(200)]), 0, "s", default_checks(spark), ["order_id"], output)
+    batch = orders(spark, {"order_id": "O7"})
+    known = gated.earlier_keys(spark, output, "s", 1, batch, ["order_id"])
+    assert "O7" in {r.order_id for r in known.collect()}
+    assert len({f.rsplit("bucket=", 1)[1].split("/")[0] for f in known.inputFiles()}) > 1  # all files of the table
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters", 1)[1].split("]")[0]
