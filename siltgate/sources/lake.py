@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold", "quarantine", "ops")
 SNAPSHOT = "snapshot"
@@ -174,6 +175,21 @@ class CatalogLake:
         return self.spark.catalog.tableExists(self.path(table))
 
     def append(self, df: DataFrame, table: Table, partition_by: Sequence[str] = ()) -> None:
+        """Columns that the table lacks are added to it; columns that ``df`` lacks are NULL."""
+        if self.exists(table):
+            known = self.spark.read.table(self.path(table)).schema
+            taken = {f.name.lower() for f in known}
+            added = [f for f in df.schema if f.name.lower() not in taken]
+            if added:
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                self.spark.sql(f"ALTER TABLE {self.path(table)} ADD COLUMNS ({columns})")
+            here = {c.lower() for c in df.columns}
+            df = df.select(
+                *[
+                    F.col(f.name) if f.name.lower() in here else F.lit(None).cast(f.dataType).alias(f.name)
+                    for f in [*known, *added]
+                ]
+            )
         self._write(df, table, "append", partition_by)
 
     def overwrite(self, df: DataFrame, table: Table, partition_by: Sequence[str] = ()) -> None:

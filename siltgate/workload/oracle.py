@@ -533,6 +533,7 @@ again AS (
     }
     revenue = "CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE)"
     sql["medallion_metrics"] = sql["gate_metrics"]
+    sql["sink_by_name"] = sql["sink_append_merge_schema"]
     sql["medallion_values"] = _with(
         JUDGED + "," + CUSTOMERS,
         f"""SELECT 'quarantine' AS part, reason AS name, CAST(count(*) AS DOUBLE) AS value

@@ -15,7 +15,7 @@ from siltgate.plans import medallion
 from siltgate.plans.sizing import Limits, scratch_path, stored
 from siltgate.sources import lake as tables
 from siltgate.sources import raw
-from siltgate.sources.lake import Lake, Table
+from siltgate.sources.lake import CatalogLake, Lake, Table
 from siltgate.streaming import gated
 from siltgate.workload import files
 from siltgate.workload.oracle import RULE_QUERIES
@@ -473,6 +473,16 @@ def sink_append_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(parties)
 
 
+def sink_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of different width appended to a table of the catalog and read by its name."""
+    lake, parties = CatalogLake(spark), Table("bronze", "registered_parties", tables.LOG)
+    lake.ensure()
+    spark.sql(f"DROP TABLE IF EXISTS {lake.path(parties)}")
+    for load in _parties(spark, sf_dir):
+        lake.append(load, parties)
+    return lake.read(parties)
+
+
 def _overwritten(spark: SparkSession, sf_dir: str) -> tuple[Lake, Table]:
     lake, parties = _lake(spark), Table("silver", "parties")
     for load in _parties(spark, sf_dir):
@@ -640,7 +650,7 @@ def queries() -> dict[str, Query]:
         audit_report, version_diff, freshness_by_source, volume_by_source, period_over_period,
         volume_anomaly, period_gaps, volume_outages, late_sources, sla_breaches, idempotent_append,
         profile_columns, profile_values, scd2_customer, src_csv_all_string,
-        src_json_multiline, lineage_columns, sink_append_merge_schema, sink_overwrite, table_as_of,
+        src_json_multiline, lineage_columns, sink_append_merge_schema, sink_by_name, sink_overwrite, table_as_of,
         table_restore, medallion_run, medallion_metrics, medallion_values, streaming_gate,
         skewed_prepared_orders, skewed_dedup_rank, skewed_fk_customer, skewed_revenue_by_country, skewed_append,
     ]
