@@ -3,8 +3,8 @@
 Merging the shards' transforms one symbol a round would pass over all bytes once for each of the
 400 bytes that a match must have; see the README for figures. Here an interval of the merged order,
 the suffixes that agree to some depth, is refined in few rounds of larger depth. Suffixes are sampled
-where the text itself says so (a hash of the next bytes), so equal passages are sampled alike wherever
-they stand. Each shard counts its own suffixes by interval, the shards' sizes are added, intervals of
+where the text itself says so (the least hash of the next bytes nearby), so equal passages are sampled
+alike wherever they stand. Each shard counts its own suffixes by interval, the shards' sizes are added, intervals of
 one suffix are closed and the others refined: first by the bytes to the right of the sample, then by
 those to its left and to full depth, last window by window where a match ends inside. The order
 between intervals is never needed, so a hash names each instead of its rank.
@@ -13,6 +13,7 @@ between intervals is never needed, so a hash names each instead of its rank.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,13 @@ from siltgate.llm.base import BASE, BASE_INVERSE, ODD, mix, powers, slices, with
 from siltgate.plans.sizing import stored
 
 LENGTH = 400
-ANCHOR_BYTES, ANCHOR_RATE = 16, 64
+ANCHOR_BYTES = 16
 # Bytes to the right of a sampled suffix in which every match of a window agrees: the first depth.
 RIGHT = 64
+# Suffixes of an interval that one task refines; larger intervals are refined by counts over all tasks.
+TASK_SUFFIXES = 4096
+# Bytes of windows that a task refines, about.
+TASK_BYTES = 6 << 20
 ROW = "f long, r long, first int, last int, interval long, whole long"
 
 
@@ -50,52 +55,48 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return index, first[index] + np.arange(len(index)) - np.repeat(np.cumsum(count) - count, count)
 
 
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of each run of ``width`` values, from minima within blocks of that width."""
+    n = len(values)
+    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
+    padded[:n] = values
+    blocks = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
+
+
 def sampled(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> dict[str, np.ndarray]:
     """Sampled suffixes of a slice and the windows that each stands for.
 
-    A window of ``length`` bytes belongs to the first sample in it that leaves RIGHT bytes of the window
-    to its right. Rows: doc, at (the sample), first and last (window starts, all of them in the doc).
-    Windows without a sample come as rows of their own with at = -1. Each row's string begins at its
-    first window's start and ends with its last window.
+    A window of ``length`` bytes belongs to the position whose next bytes hash least (the first such)
+    among those that leave RIGHT bytes of the window to their right; so equal windows have their sample
+    at the same place. Rows: doc, first and last (window starts, all of them in the doc), interval (hash
+    of RIGHT bytes at the sample) and whole (hash of all bytes of the row's windows).
     """
     n, reach = len(data), length - RIGHT
+    inside = np.zeros(n + 1, np.int64)
+    np.add.at(inside, offsets[:-1], 1)
+    np.add.at(inside, np.maximum(offsets[:-1], offsets[1:] - length + 1), -1)
+    starts = np.flatnonzero(np.cumsum(inside)[:n] > 0)
     hashes = Prefixes(data)
-    spots = np.arange(max(n - ANCHOR_BYTES + 1, 0))
-    at = spots[hashes.of(spots, spots + ANCHOR_BYTES) % np.uint64(ANCHOR_RATE) == 0] if n >= ANCHOR_BYTES else spots
-    doc = np.searchsorted(offsets, at, "right") - 1
-    fits = at + ANCHOR_BYTES <= offsets[doc + 1]
-    at, doc = at[fits], doc[fits]
-    # Each doc also ends in a sample that nothing reaches, so that the windows after its last sample are seen.
-    ends = np.arange(len(offsets) - 1)
-    edge = np.concatenate([at, np.full(len(ends), n + length)])
-    owner = np.concatenate([doc, ends])
-    order = np.lexsort((edge, owner))
-    edge, owner = edge[order], owner[order]
-    begins = offsets[:-1][owner]
-    final = offsets[1:][owner] - length
-    before = np.empty(len(edge), np.int64)
-    before[1:] = edge[:-1]
-    before[:1] = -1
-    new = np.ones(len(edge), bool)
-    new[1:] = owner[1:] != owner[:-1]
-    before[new] = begins[new] - 1
-    first = np.maximum(before + 1, edge - reach)
-    last = np.minimum(edge, final)
-    mine = (first <= last) & (edge < n)
-    lone_first, lone_last = before + 1, np.minimum(edge - reach - 1, final)
-    lone, position = _ranges(lone_first, lone_last)
-    size = int(mine.sum())
-    out = {
-        "doc": np.concatenate([owner[mine], owner[lone]]),
-        "at": np.concatenate([edge[mine], np.full(len(lone), -1)]),
-        "first": np.concatenate([first[mine], position]),
-        "last": np.concatenate([last[mine], position]),
+    if not len(starts):
+        nothing = np.zeros(0, np.int64)
+        return {"doc": nothing, "first": nothing, "last": nothing, "interval": nothing.view(np.uint64), "whole": nothing.view(np.uint64)}
+    spots = np.arange(n - ANCHOR_BYTES + 1)
+    keys = (hashes.of(spots, spots + ANCHOR_BYTES) & np.uint64(0xFFFFFFFF00000000)) | spots.astype(np.uint64)
+    at = (_least(keys, reach + 1)[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    new = np.ones(len(starts), bool)
+    new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
+    head = np.flatnonzero(new)
+    first, last, at = starts[head], starts[np.concatenate([head[1:] - 1, [len(starts) - 1]])], at[head]
+    return {
+        "doc": np.searchsorted(offsets, first, "right") - 1,
+        "first": first,
+        "last": last,
+        "interval": hashes.of(at, at + RIGHT),
+        "whole": hashes.of(first, last + length),
     }
-    out["whole"] = hashes.of(out["first"], out["last"] + length)
-    # A window without a sample is its own first depth.
-    out["interval"] = out["whole"].copy()
-    out["interval"][:size] = hashes.of(edge[mine], edge[mine] + RIGHT)
-    return out
 
 
 def _suffix_rows(length: int):
@@ -151,7 +152,65 @@ def _window_rows(length: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
+REGION = "interval long, f long, r long, first int, last int, open boolean, bytes binary"
+
+
+def _regions(length: int):
+    """The bytes of the asked windows of each row."""
+    names = [x.split()[0] for x in REGION.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[list] = [[] for _ in names]
+            f, r = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, (text, asked) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                raw = text.as_py().encode()
+                for one in asked.as_py():
+                    made = (one["interval"], f[i], r[i], one["first"], one["last"], one["open"], raw[one["first"] : one["last"] + length])
+                    for column, value in zip(rows, made, strict=True):
+                        column.append(value)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
+
+    return run
+
+
+def _repeated_here(length: int):
+    """Which windows of open regions occur twice or more among all regions of a task.
+
+    Equal windows have equal intervals, and all regions of an interval are in one task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        f, r, first, last, is_open = (table.column(i).to_numpy() for i in range(1, 6))
+        raw = table.column(6).cast(pa.large_binary()).combine_chunks()
+        begins = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw)]
+        data = np.frombuffer(raw.buffers()[2], np.uint8)
+        owner, position = _ranges(first.astype(np.int64), last.astype(np.int64))
+        where = begins[owner] + position - first[owner]
+        window = Prefixes(data).of(where, where + length)
+        order = np.argsort(window, kind="stable")
+        again = window[order][1:] == window[order][:-1]
+        twice = np.zeros(len(window), bool)
+        twice[order[1:][again]] = twice[order[:-1][again]] = True
+        found = np.flatnonzero(twice & is_open[owner])
+        # Neighbouring windows of a region become one range.
+        head = np.ones(len(found), bool)
+        head[1:] = (found[1:] != found[:-1] + 1) | (owner[found[1:]] != owner[found[:-1]])
+        start = np.flatnonzero(head)
+        end = np.concatenate([start[1:] - 1, [len(found) - 1]]) if len(found) else start
+        mine = owner[found[start]]
+        columns = [f[mine], r[mine], position[found[start]].astype(np.int32), position[found[end]].astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["f", "r", "first", "last"])
+
+    return run
+
+
+def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH, task_suffixes: int = TASK_SUFFIXES) -> tuple[DataFrame, DataFrame]:
     """(file-backed docs, (f, r, starts)): per row the ranges (first, last) of window starts whose bytes occur elsewhere too."""
     docs, ids = with_row_ids(docs)
     source = docs.select(*ids, F.col(text).alias("t"))
@@ -162,22 +221,38 @@ def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH) -> tuple[
     suffixes = stored(rows.join(open_1, "interval", "left_semi"), "suffixes")
     # Full depth, to both sides: all windows of the suffix at once.
     full = suffixes.groupBy("whole").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("f", "r", "first")).alias("one"))
-    judged = stored(suffixes.join(full, "whole").withColumn("closed", F.col("size") > 1), "judged-suffixes")
+    judged = stored(suffixes.join(full, "whole").withColumn("closed", F.col("size") > 1).drop("size"), "judged-suffixes")
     covered = judged.where("closed").select("f", "r", "first", "last")
     # Suffixes that part from their interval on the way: each of their windows by itself, against those of the
     # same interval and one of each string that is known to repeat.
-    parted = judged.where("NOT closed AND first < last OR NOT closed AND interval != whole")
-    classes = parted.select("interval").distinct()
+    parted = judged.where("NOT closed")
+    classes = parted.groupBy("interval").agg(F.count(F.lit(1)).alias("parted"))
     one_each = judged.where("closed AND one = struct(f, r, first)").join(classes, "interval", "left_semi")
-    asked = parted.select("f", "r", "first", "last", F.lit(True).alias("open")).unionByName(
-        one_each.select("f", "r", "first", "last", F.lit(False).alias("open"))
+    asked = parted.select("interval", "f", "r", "first", "last", F.lit(True).alias("open")).unionByName(
+        one_each.select("interval", "f", "r", "first", "last", F.lit(False).alias("open"))
     )
-    per_row = asked.groupBy("f", "r").agg(F.collect_list(F.struct("first", "last", "open")).alias("asked"))
-    windows = source.join(per_row, ["f", "r"]).select("f", "r", "t", "asked").mapInArrow(_window_rows(length), "f long, r long, at int, window long, open boolean")
-    windows = stored(windows, "windows")
-    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
-    found = windows.where("open").join(twice, "window", "left_semi").select("f", "r", F.col("at").alias("first"), F.col("at").alias("last"))
-    starts = covered.unionByName(found).groupBy("f", "r").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("starts"))
+    sizes = asked.groupBy("interval").agg(F.count(F.lit(1)).alias("members"))
+    # An interval that kept one suffix has nothing to compare it with.
+    asked = stored(asked.join(sizes.where("members > 1"), "interval"), "parted-suffixes")
+
+    def with_text(some: DataFrame) -> DataFrame:
+        per_row = some.groupBy("f", "r").agg(F.collect_list(F.struct("first", "last", "open", "interval")).alias("asked"))
+        return source.join(per_row, ["f", "r"]).select("f", "r", "t", "asked")
+
+    few, many = asked.where(F.col("members") <= task_suffixes), asked.where(F.col("members") > task_suffixes)
+    found = covered
+    size = few.agg(F.sum(F.col("last") - F.col("first") + length)).first()[0]
+    if size:
+        tasks = max(1, ceil(size / TASK_BYTES))
+        regions = with_text(few).mapInArrow(_regions(length), REGION).repartition(tasks, "interval")
+        found = found.unionByName(regions.mapInArrow(_repeated_here(length), "f long, r long, first int, last int"))
+    if not many.isEmpty():
+        # Counted over all tasks, so no interval is gathered anywhere.
+        windows = stored(with_text(many).mapInArrow(_window_rows(length), "f long, r long, at int, window long, open boolean"), "windows")
+        twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
+        single = windows.where("open").join(twice, "window", "left_semi")
+        found = found.unionByName(single.select("f", "r", F.col("at").alias("first"), F.col("at").alias("last")))
+    starts = found.groupBy("f", "r").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("starts"))
     return docs, starts
 
 
@@ -222,7 +297,9 @@ def _cutter(length: int, text_at: int, starts_at: int, schema: StructType):
     return run
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", into: str = "_cut", length: int = LENGTH) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, text: str = "text", into: str = "_cut", length: int = LENGTH, task_suffixes: int = TASK_SUFFIXES
+) -> DataFrame:
     """``docs`` plus a struct ``into``: kept bytes, n_bytes, n_removed, n_spans and the removed byte spans.
 
     Removed is every byte covered by a string of ``length`` bytes that also starts anywhere else, in the
@@ -232,7 +309,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", into: str = "_cut", leng
     is no plain file scan is written first.
     """
     names = docs.columns
-    docs, starts = repeated_windows(docs, text, length)
+    docs, starts = repeated_windows(docs, text, length, task_suffixes)
     ids = with_row_ids(docs)[1]
     row = docs.select(*ids, F.struct(*names).alias("_row")).join(starts, ["f", "r"], "left")
     flat = row.select("_row.*", F.col("starts").alias("_starts_"))

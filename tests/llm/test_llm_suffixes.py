@@ -28,8 +28,8 @@ def brute(docs, length):
     return sorted(out, key=repr)
 
 
-def made(df, length):
-    cut = suffixes.remove_repeats(df, length=length)
+def made(df, length, **more):
+    cut = suffixes.remove_repeats(df, length=length, **more)
     return sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in cut.select("doc_id", "_cut.n_bytes", "_cut.n_removed", "_cut.n_spans", "_cut.kept").collect()), key=repr)
 
 
@@ -49,10 +49,10 @@ def planted(seed, letters, long):
     return docs
 
 
-@pytest.mark.parametrize(("seed", "letters"), [(1, "abcdefghij klmnop"), (2, "aé日 "), (3, "ab")])
-def test_against_brute_force(spark, seed, letters):
+@pytest.mark.parametrize(("seed", "letters", "task"), [(1, "abcdefghij klmnop", 4096), (2, "aé日 ", 4096), (3, "ab", 4096), (1, "abcdefghij klmnop", 1), (3, "ab", 3)])
+def test_against_brute_force(spark, seed, letters, task):
     docs = planted(seed, letters, 400)
-    assert made(spark.createDataFrame(docs, DOCS), 400) == brute(docs, 400)
+    assert made(spark.createDataFrame(docs, DOCS), 400, task_suffixes=task) == brute(docs, 400)
 
 
 def test_strings_without_samples_and_periodic_ones(spark):
