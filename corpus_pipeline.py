@@ -34,8 +34,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Every document stays, with an empty text if nothing is left; NULL texts stay NULL.
     """
     cut = free_name(docs, "_cut")
-    left = F.decode(F.col(cut)["kept"], "UTF-8")
-    # Cuts can split a character; the decoder's replacement of the halves is taken out again.
+    left = F.make_valid_utf8(F.col(cut)["kept"].cast("string"))
+    # Cuts can split a character; the replacement of the halves is taken out again.
     whole = F.when(F.contains("text", F.lit("�")), left).otherwise(F.translate(left, "�", ""))
     shorter = suffixes.remove_repeats(docs, into=cut).withColumn("text", F.when(F.col("text").isNotNull(), F.when(F.col(cut)["n_removed"] > 0, whole).otherwise(F.col("text"))))
     if "n_chars" in docs.columns:

@@ -70,9 +70,10 @@ def test_stages_bear_odd_rows_and_empty_tables(spark, folder):
 
 def test_a_cut_character_goes_whole(spark, folder):
     shared = "日本語の長い文章" * 60
-    docs = [(1, "é" + shared + "x", "en", "s", 1), (2, "ê" + shared + "y", "en", "s", 1), (3, None, None, None, None), (4, "\ufffd" + shared, "en", "s", 1)]
+    docs = [(1, "é" + shared + "x", "en", "s", 1), (2, "ê" + shared + "y", "en", "s", 1), (3, None, None, None, None), (4, "\ufffd" + shared, "en", "s", 1), (5, "日" + "x" * 500, "en", "s", 1), (6, "早" + "x" * 500, "en", "s", 1), (7, "é" * 500 + "a", "en", "s", 1), (8, "ĩ" + "é" * 500, "en", "s", 1)]
     made = {r["doc_id"]: r for r in pipeline.repeated_passages(spark, cases.frame(spark, docs), folder).collect()}
     assert (made[1]["text"], made[2]["text"], made[3]["text"]) == ("éx", "êy", None)
+    assert all(made[i]["text"].isprintable() and "\ufffd" not in made[i]["text"] for i in (1, 2, 5, 6, 7, 8))
     assert made[1]["n_chars"] == 2 and made[4]["text"].startswith("\ufffd")
 
 
