@@ -170,3 +170,54 @@ def test_hot_rows_are_spread(spark, skewed):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_scratch_without_a_named_folder():
+    from types import SimpleNamespace
+
+    from siltgate.plans.sizing import shared_dir
+
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"),
+        )
+
+    assert shared_dir(session("local[2]")) == shared_dir(session("local[2]"))
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+
+
+def test_the_probe_sample_has_its_seed(spark, tmp_path):
+    from siltgate.plans import sizing
+
+    spark.range(100).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t")).sample(fraction=0.5, seed=17)
+    assert " 17" in rows._jdf.queryExecution().toString().split("Sample", 1)[1].split("\n")[0]
+    assert "sample(fraction=limits.sample, seed=17)" in open(sizing.__file__).read()
+
+
+@pytest.mark.parametrize("skewed", [False, True])
+def test_lookup_keeps_one_column_order(spark, large, skewed):
+    from siltgate.plans.lookup import lookup
+    from siltgate.plans.sizing import Limits
+
+    df = spark.createDataFrame([(1.0, 7), (2.0, 7), (3.0, 7), (4.0, 8)], "v double, id int")
+    side = spark.createDataFrame([(7, "x"), (8, "y")], "id int, w string")
+    for limits in (Limits(), Limits(broadcast_bytes=-1), large) if not skewed else (large,):
+        made = lookup(df, side, ["id"], "left", limits)
+        assert made.columns == ["v", "id", "w"]
+        assert sorted(map(tuple, made.collect())) == [(1.0, 7, "x"), (2.0, 7, "x"), (3.0, 7, "x"), (4.0, 8, "y")]
+
+
+def test_a_guard_trips_whatever_column_is_read(spark):
+    from siltgate.operators.checks import satisfies
+    from siltgate.operators.history import guard
+
+    rows = spark.createDataFrame([(1, "a"), (-1, "b")], "n int, s string")
+    kept = guard(rows, [satisfies("positive", "n > 0")])
+    for column in ("n", "s"):
+        with pytest.raises(Exception, match="positive"):
+            kept.select(column).collect()
+    assert guard(rows.where("n > 0"), [satisfies("positive", "n > 0")]).count() == 1
