@@ -46,5 +46,35 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP4 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), n AS (
+  SELECT rid, doc_id, b, octet_length(b) AS n_bytes FROM d
+), w AS (
+  SELECT rid, p, hash(b[p + 1:p + 400]) AS h FROM (SELECT rid, b, unnest(range(0, n_bytes - 399)) AS p FROM n WHERE n_bytes >= 400)
+), hits AS (
+  SELECT rid, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)
+), marked AS (
+  SELECT rid, p, CASE WHEN p > lag(p) OVER (PARTITION BY rid ORDER BY p) + 400 THEN 1 ELSE 0 END AS new FROM hits
+), runs AS (
+  SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p) AS run FROM marked
+), spans AS (
+  SELECT rid, min(p) AS a, max(p) + 400 AS z FROM runs GROUP BY rid, run
+), gaps AS (
+  SELECT rid, z AS a, lead(a) OVER (PARTITION BY rid ORDER BY a) AS z FROM spans
+  UNION ALL SELECT rid, 0, min(a) FROM spans GROUP BY rid
+), kept AS (
+  SELECT rid, string_agg(hex(b[g.a + 1:coalesce(g.z, n_bytes)]), '' ORDER BY g.a) AS bytes
+  FROM gaps g JOIN n USING (rid) WHERE coalesce(g.z, n_bytes) > g.a GROUP BY rid
+), cut AS (
+  SELECT rid, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY rid
+)
+SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN n_removed IS NULL THEN b ELSE unhex(coalesce(bytes, '')) END) AS kept_sha256
+FROM n LEFT JOIN cut USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op2_dictionary_warc": OP2, "op3_winnowing": OP3}
+    return {"op2_dictionary_warc": OP2, "op3_winnowing": OP3, "op4_merged_suffixes": OP4}
