@@ -220,8 +220,10 @@ def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH, task_suff
     rows = source.mapInArrow(_suffix_rows(length), ROW)
     suffixes = stored(rows.join(open_1, "interval", "left_semi"), "suffixes")
     # Full depth, to both sides: all windows of the suffix at once.
+    # Strings that repeat are stored apart from the join: a very frequent one can then be split over tasks.
     full = suffixes.groupBy("whole").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("f", "r", "first")).alias("one"))
-    judged = stored(suffixes.join(full, "whole").withColumn("closed", F.col("size") > 1).drop("size"), "judged-suffixes")
+    repeating = stored(full.where("size > 1").drop("size"), "repeating-strings")
+    judged = stored(suffixes.join(repeating, "whole", "left").withColumn("closed", F.col("one").isNotNull()), "judged-suffixes")
     covered = judged.where("closed").select("f", "r", "first", "last")
     # Suffixes that part from their interval on the way: each of their windows by itself, against those of the
     # same interval and one of each string that is known to repeat.
