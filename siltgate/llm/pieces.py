@@ -28,7 +28,7 @@ from siltgate.plans.sizing import stored
 SPACE = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 # Units whose encodings travel with the jobs: the most frequent ones, this many at most.
-DICTIONARY = 1 << 19
+DICTIONARY = 1 << 18
 # Characters of the longest unit that is encoded by joins; a fold keeps its boundaries in one long.
 UNIT_CHARS = 48
 # Units that one task makes edges for.
