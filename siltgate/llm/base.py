@@ -13,7 +13,7 @@ from pyspark.sql.types import StructField, StructType
 from siltgate.plans.sizing import stored
 
 # Texts are worked on in slices of about this many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -33,6 +33,8 @@ FREQUENT = 1 << 16
 TRAINED_SHARE, ROUNDS = 1 / 32, 2
 GROUP_BYTES = 1 << 20
 LANES, RATE = 32, 0.01
+# Bytes of text whose documents are scored side by side.
+SIDE_BY_SIDE = 2 << 20
 PSEUDO = 0.1
 RARE = StructType().add("word", StringType()).add("n", LongType())
 FIELDS = (
@@ -330,7 +332,7 @@ def _scorer(vocab: Vocabulary, w: dict[str, np.ndarray] | None) -> Callable[[],
 
         def work(texts: pa.Array) -> list[pa.Array]:
             out: list[list] = [[] for _ in FIELDS.fields]
-            for first, last, data, offsets in slices(texts):
+            for first, last, data, offsets in slices(texts, SIDE_BY_SIDE):
                 raw, docs, rows = data.tobytes().lower(), [], []
                 for i in range(last - first):
                     words = raw[offsets[i] : offsets[i + 1]].split()

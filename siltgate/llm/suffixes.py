@@ -31,7 +31,7 @@ RIGHT = 64
 # Suffixes of an interval that one task refines; larger intervals are refined by counts over all tasks.
 TASK_SUFFIXES = 4096
 # Bytes of windows that a task refines, about.
-TASK_BYTES = 6 << 20
+TASK_BYTES = 2 << 20
 ROW = "f long, r long, first int, last int, interval long, whole long"
 
 
