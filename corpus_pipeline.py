@@ -52,6 +52,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def into_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the ids of the text, and whether they decode to it."""
+    # Rows of ids are long: smaller batches keep a task's two Python workers small.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     model = pieces.load()
     slim = docs.select("doc_id", "lang", "source", "text")
     encoded = pieces.encode(slim, model).select(*slim.columns, F.col("_pieces.ids").alias("ids"))
