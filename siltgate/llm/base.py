@@ -128,15 +128,34 @@ class Words:
         # How many words end before each text begins.
         self.bounds = np.searchsorted(self.start, offsets, "left")
         self.data = data
+        self._sums: tuple[np.ndarray, np.ndarray] | None = None
+        self._letters: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def hashes(self) -> np.ndarray:
+        return self.spans(self.start, self.end)
+
+    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A hash of the bytes from each ``start`` to its ``end``, the same wherever they stand."""
         n = len(self.data)
         if not n:
             return np.zeros(0, np.uint64)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
-        # Dividing by the power at the word's start makes the hash the same anywhere.
-        return mix((total[self.end] - total[self.start]) * powers(BASE_INVERSE, n)[self.start] + (self.end - self.start).astype(np.uint64) * ODD)
+        if self._sums is None:
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=total[1:])
+            self._sums = total, powers(BASE_INVERSE, n)
+        total, inverse = self._sums
+        # Dividing by the power at the start makes the hash the same anywhere.
+        return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * ODD)
+
+    def beginnings(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which words have ``n`` characters or more, and a hash of the first ``n`` of each."""
+        if self._letters is None:
+            letters = np.append(np.flatnonzero((self.data & 0xC0) != 0x80), len(self.data))
+            first = np.searchsorted(letters, self.start)
+            self._letters = letters, first, np.searchsorted(letters, self.end) - first
+        letters, first, size = self._letters
+        at = np.flatnonzero(size >= n)
+        return at, self.spans(self.start[at], letters[first[at] + n])
 
 
 GRAM = 0xD6E8FEB86659FD93
