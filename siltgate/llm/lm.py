@@ -102,11 +102,14 @@ class Vocabulary:
 
 
 def vocabulary(counted: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
-    """From (word, c): the ``frequent`` largest counts, which is the bound of what is collected, and the totals."""
-    total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    """From (word, c): the ``frequent`` largest counts, which is the bound of what is collected, the end's and the totals."""
+    total, distinct, ends = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.sum(F.when(F.col("word") == END, F.col("c")))).first()
     top = counted.orderBy(F.desc("c"), "word").limit(frequent).toArrow()
-    words = [w.encode() for w in top["word"].to_pylist()]
-    return Vocabulary({w: i for i, w in enumerate(words)}, top["c"].to_numpy(), int(total), int(distinct))
+    words, counts = [w.encode() for w in top["word"].to_pylist()], top["c"].to_numpy()
+    if ends and END.encode() not in words:
+        # The end never enters the join of rare words, so its count is here whatever its rank.
+        words, counts = [*words, END.encode()], np.append(counts, ends)
+    return Vocabulary({w: i for i, w in enumerate(words)}, counts, int(total), int(distinct))
 
 
 SHAPES = {

@@ -112,3 +112,13 @@ def test_learning_lowers_the_held_out_loss(spark):
         return -lm._score_slice(w, w["embed"] @ w["read"] + w["bias"], test).sum() / sum(map(len, test))
 
     assert loss(learned) < loss(lm.initial(vocab.own_counts)) - 0.3
+
+
+def test_base_scores_where_the_end_is_a_rare_token(spark, monkeypatch):
+    """Few long documents: more words than are carried are more frequent than documents."""
+    real = lm.vocabulary
+    monkeypatch.setattr(lm, "vocabulary", lambda counted: real(counted, 3))
+    rows = [(i, "a b c d e " * 9 + f"only{i}", "en", "s", 1) for i in range(4)] + [(9, None, "en", "s", 0), (10, "z a", "en", "s", 3)]
+    got = sorted((tuple(r) for r in lm.score(cases.frame(spark, rows).select("doc_id", "text"), cases.frame(spark, rows[:4])).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score").collect()), key=repr)
+    for a, b in zip(got, base(rows, rows[:4]), strict=True):
+        assert a[:4] == b[:4] and math.isclose(a[4], b[4], rel_tol=1e-9)
