@@ -24,15 +24,16 @@ from siltgate.llm.base import annotate, slices
 from siltgate.plans.sizing import stored
 
 END = "\n"  # no word holds white space
-CLASSES, PER_CLASS, HIDDEN = 32, 32, 16
+CLASSES, PER_CLASS, HIDDEN = 128, 128, 16
 SYMBOLS = CLASSES * PER_CLASS  # the last one stands for all words without an output
 WINDOW = 32
 # Words whose counts travel with the jobs; the counts of rarer words are joined.
 FREQUENT = 1 << 16
-# Share of the training documents that the weights are learned on, in ROUNDS parts; it grows with the corpus.
-TRAINED_SHARE, ROUNDS = 1 / 32, 2
-GROUP_BYTES = 1 << 20
-LANES, RATE = 32, 0.01
+# The weights are learned on all training documents, in ROUNDS parts.
+TRAINED_SHARE, ROUNDS = 1.0, 2
+GROUP_BYTES = 8 << 20
+# A group has at most LANES lanes, and fewer where it would otherwise take less than STEPS steps.
+LANES, STEPS, RATE = 256, 16, 0.01
 # Bytes of text whose documents are scored side by side.
 SIDE_BY_SIDE = 2 << 20
 PSEUDO = 0.1
@@ -172,7 +173,7 @@ def train(w: dict[str, np.ndarray], ids: np.ndarray, rate: float = RATE) -> tupl
     and start anew after an end, gradients stop at the window. Adam takes the steps.
     """
     w = {k: v.copy() for k, v in w.items()}
-    lanes = max(1, min(LANES, len(ids) // (2 * WINDOW)))
+    lanes = max(1, min(LANES, len(ids) // (STEPS * WINDOW)))
     length = len(ids) // lanes
     if not length:
         return w, 0.0
@@ -247,18 +248,18 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 def _learner(weights: dict[str, np.ndarray], symbol: dict[bytes, int]) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        ids: list[int] = []
+        parts: list[np.ndarray] = []
         for one in rows["text"].sort_values():
-            ids += [symbol.get(x, SYMBOLS - 1) for x in one.encode().lower().split()]
-            ids.append(0)
-        learned, _ = train(weights, np.array(ids, np.int64))
+            parts.append(np.array([symbol.get(x, SYMBOLS - 1) for x in one.encode().lower().split()] + [0], np.int64))
+        ids = np.concatenate(parts)
+        learned, _ = train(weights, ids)
         return pd.DataFrame({"w": [_flat(learned).astype(np.float64)], "n": [float(len(ids))]})
 
     return learn
 
 
 def fit(docs: DataFrame, vocab: Vocabulary, key: str, text: str, share: float = TRAINED_SHARE, rounds: int = ROUNDS) -> dict[str, np.ndarray] | None:
-    """Weights from a share of ``docs`` that is drawn by hash and grows with them; None if there is no word to learn.
+    """Weights from all of ``docs``, or a ``share`` of them drawn by hash; None if there is no word to learn.
 
     Each round takes its part of the share, cuts it into groups of about GROUP_BYTES, learns in each
     group from the same weights and averages the results by the number of words. A group is a task;

@@ -122,3 +122,15 @@ def test_base_scores_where_the_end_is_a_rare_token(spark, monkeypatch):
     got = sorted((tuple(r) for r in lm.score(cases.frame(spark, rows).select("doc_id", "text"), cases.frame(spark, rows[:4])).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score").collect()), key=repr)
     for a, b in zip(got, base(rows, rows[:4]), strict=True):
         assert a[:4] == b[:4] and math.isclose(a[4], b[4], rel_tol=1e-9)
+
+
+def test_every_training_document_is_learned_from(spark):
+    vocab = small_vocabulary()
+    for i in (1, 2, 3):
+        one = cases.frame(spark, [(i, f"w{i} w1 w2 " * 40, "en", "s", 1)])
+        assert np.abs(lm.fit(one, vocab, "doc_id", "text")["recur"] - lm.initial(vocab.own_counts)["recur"]).max() > 0
+
+
+def test_thousands_of_words_have_outputs_of_their_own():
+    vocab = small_vocabulary(16_000)
+    assert len(set(vocab.symbol.values())) == 16_000
