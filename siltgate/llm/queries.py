@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import decontam, html, langid, lm, pieces, quality, sharding, simhash, suffixes, warc
+from siltgate.llm import decontam, html, interactions, jaccard, langid, lm, pieces, quality, resampling, sharding, simhash, suffixes, warc
 from siltgate.llm.base import table
 from siltgate.plans.sizing import scratch_path, stored
 
@@ -95,5 +95,17 @@ def op10_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_banded_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
