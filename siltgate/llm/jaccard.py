@@ -5,13 +5,15 @@ that are similar enough share one of the few that come first in a common order,
 lie in one band or in two that touch. Within a tile a pair is judged by the sets' hashed bitmaps: bits
 that only one of the two has bound the overlap from above. What passes is intersected exactly.
 
-A tile of very many sets never gives all its pairs. Its sets are compared with one of them first, then
-with another, and what is joined by then needs no further comparison; only sets of a tile that are
-still in different components meet each other.
+A tile of very many sets never gives all its pairs. Its sets are compared with two of them first, and
+what is joined by then needs no further comparison; only sets of a tile that are still in different
+components meet each other. Where a shared shingle stands in the order of either set bounds the overlap
+too, so most sets that share one by chance are told apart by numbers before any bitmap moves.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +29,13 @@ from siltgate.plans.sizing import stored
 
 WIDTH = 4
 PERCENT = 85
-# Buckets in which shingles are counted to tell frequent ones from rare ones.
-COUNT_BITS = 18
+# Buckets in which shingles are counted to tell frequent ones from rare ones, and how many travel in a row.
+COUNT_BITS = 22
+COUNT_BLOCK = 1 << 14
 # Each size band reaches this much further than the one before; similar sets are never two bands apart.
 BAND = 1.7
 # Bits of a bitmap for each shingle of the set, rounded up to a power of two of 64-bit words.
-BITS_PER_SHINGLE = 4
+BITS_PER_SHINGLE = 1
 LIST = ArrayType(LongType())
 FIELDS = StructType().add("n", LongType()).add("node", LongType()).add("keys", LIST).add("bits", LIST)
 
@@ -81,22 +84,38 @@ def frequencies(docs: DataFrame, text: str, width: int = WIDTH, bits: int = COUN
     """For each of 2**bits buckets of hashes how often its shingles occur, on a scale of 0 to 255.
 
     The scale only orders shingles, so any numbers give the same links; better ones give smaller tiles.
-    A task sends at most one row a bucket.
+    A task sends its counts as compressed blocks, whose number is fixed.
     """
+    block = min(COUNT_BLOCK, 1 << bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
                 hashes, _ = _shingles(data, offsets, width)
-                total += np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], ["bucket", "n"])
+                bucket, n = np.unique(hashes >> np.uint64(64 - bits), return_counts=True)
+                total[bucket.astype(np.int64)] += n.astype(np.uint32)
+        yield from packed(total)
 
-    counted = docs.select(F.col(text)).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << bits, np.int64)
-    out[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
-    return np.minimum(255, 6 * np.log2(out + 1)).astype(np.uint8)
+    def packed(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i, part in enumerate(total.reshape(-1, block)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], ["block", "counts"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            for i, counts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                into = total[i * block : (i + 1) * block]
+                into += np.minimum(np.frombuffer(zlib.decompress(counts), np.uint32), ~into)
+        yield from packed(total)
+
+    kind = "block int, counts binary"
+    counted = docs.select(F.col(text)).mapInArrow(count, kind).repartition("block").mapInArrow(merge, kind).toArrow()
+    out = np.zeros(1 << bits, np.uint32)
+    for i, counts in zip(*(column.to_pylist() for column in counted.columns), strict=True):
+        out[i * block : (i + 1) * block] = np.frombuffer(zlib.decompress(counts), np.uint32)
+    return np.minimum(255, 6 * np.log2(out + 1.0)).astype(np.uint8)
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -191,38 +210,43 @@ def _bound(a: str, b: str) -> Column:
     return F.least(F.col(f"{a}.n") - alone(x, y), F.col(f"{b}.n") - alone(y, x))
 
 
-class _Links:
-    """Finds the links among pairs of set names."""
+def _candidates(tiles: DataFrame, pivot: str, percent: int) -> DataFrame:
+    """(a, b) of the rows of each tile beside its row ``pivot``, where sizes and places allow a link."""
+    pairs = tiles.where(F.col("node") != F.col(f"{pivot}.node")).where(_in_reach("", f"{pivot}.", percent))
+    return pairs.select(F.least("node", f"{pivot}.node").alias("a"), F.greatest("node", f"{pivot}.node").alias("b"))
+
 
-    def __init__(self, maps: DataFrame, sets: DataFrame, percent: int):
-        self.maps, self.sets, self.percent = maps, sets, percent
+def _in_reach(x: str, y: str, percent: int) -> Column:
+    """Whether two sets may be linked whose first common shingle stands at these places: what follows it is all they share."""
+    left = F.least(F.col(f"{x}n") - F.col(f"{x}place"), F.col(f"{y}n") - F.col(f"{y}place"))
+    return _enough(left, F.col(f"{x}n") + F.col(f"{y}n"), percent)
 
-    def side(self, name: str) -> DataFrame:
-        return self.maps.select(F.col("node").alias(name), F.struct("n", "bits").alias(f"_{name}"))
 
-    def possible(self) -> Column:
-        return _enough(_bound("_a", "_b"), F.col("_a.n") + F.col("_b.n"), self.percent)
+def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """(a, b, sizes) of the distinct pairs that the bitmaps leave possible, stored."""
+    sides = [maps.select(F.col("node").alias(name), F.struct("n", "bits").alias(f"_{name}")) for name in "ab"]
+    sizes = F.col("_a.n") + F.col("_b.n")
+    joined = pairs.distinct().join(sides[1], "b").join(sides[0], "a").where(_enough(_bound("_a", "_b"), sizes, percent))
+    return stored(joined.select("a", "b", sizes.alias("sizes")), "jaccard-possible")
 
-    def bounded(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, sizes) of the pairs that their bitmaps leave possible."""
-        return pairs.join(self.side("b"), "b").join(self.side("a"), "a").where(self.possible()).select("a", "b", (F.col("_a.n") + F.col("_b.n")).alias("sizes"))
 
-    def exact(self, possible: DataFrame) -> DataFrame:
-        """(a, b) of the pairs that are links."""
-        possible = stored(possible, "jaccard-possible")
-        a, b = (self.sets.select(F.col("node").alias(x), F.col("shingles").alias(f"_{x}")) for x in "ab")
-        overlap = F.size(F.array_intersect("_a", "_b")).cast("long")
-        joined = possible.join(b, "b").join(a, "a").where(_enough(overlap, F.col("sizes"), self.percent))
-        return stored(joined.select("a", "b"), "jaccard-links")
+def _exact(possible: DataFrame, docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
+    """(a, b) of the pairs that are links, stored. Only sets that are in a pair are read out of the texts."""
+    wanted = stored(possible.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-wanted")
+    arrays = only_possible(_sets(docs, text, width), ["node"], wanted)
+    arrays = stored(arrays.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
+    a, b = (arrays.select(F.col("node").alias(x), F.col("shingles").alias(f"_{x}")) for x in "ab")
+    overlap = F.size(F.array_intersect("_a", "_b")).cast("long")
+    joined = possible.join(b, "b").join(a, "a").where(_enough(overlap, F.col("sizes"), percent))
+    return stored(joined.select("a", "b"), "jaccard-links")
 
 
 def _still_open(tiles: DataFrame, links: DataFrame) -> DataFrame:
     """Rows of tiles whose sets lie in several components, with each set's component ``c``."""
     found = components(links).withColumnsRenamed({"label": "c"})
-    named = tiles.join(found, "node", "left").select("key", "node", F.coalesce("c", "node").alias("c"))
-    named = stored(named, "jaccard-named")
+    named = stored(tiles.join(found, "node", "left").withColumn("c", F.coalesce("c", "node")), "jaccard-named")
     several = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("key")
-    return stored(named.join(several, "key", "left_semi"), "jaccard-open")
+    return named.join(several, "key", "left_semi")
 
 
 def links(sets: DataFrame, docs: DataFrame, text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -230,38 +254,33 @@ def links(sets: DataFrame, docs: DataFrame, text: str = "text", width: int = WID
 
     ``sets`` are stored ``summaries`` of ``docs``.
     """
-    postings = sets.where("n > 0").select("node", F.explode("keys").alias("key"))
-    shared = postings.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a != last").select("key", "a")
+    full = sets.where("n > 0")
+    # Tiles of the set's own band come first, then, in the same order, those of the band below.
+    leading = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    place = F.pmod(F.col("pos").cast("long"), leading).alias("place")
+    postings = full.select("node", "n", F.posexplode("keys").alias("pos", "key")).select("key", "node", "n", place)
+    shared = postings.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("key")
     shared = stored(shared, "jaccard-shared")
     # Most postings are nobody else's; the filter keeps them out of the shuffle.
-    meeting = only_possible(postings, ["key"], shared.select("key")).distinct()
-    tiles = stored(meeting.join(shared, "key"), "jaccard-tiles")
-    wanted = stored(tiles.select("node").distinct(), "jaccard-wanted")
-    maps = only_possible(sets.where("n > 0").select("node", "n", "bits"), ["node"], wanted)
-    maps = stored(maps.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-maps")
-    arrays = only_possible(_sets(docs, text, width), ["node"], wanted)
-    arrays = stored(arrays.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
-    judge = _Links(maps, arrays, percent)
-
-    # Every tile's sets against its smallest name, which is often the same one in many tiles.
-    found = judge.exact(judge.bounded(tiles.where("a != node").select("a", F.col("node").alias("b")).distinct()))
-    rest = _still_open(tiles.select("key", "node"), found)
-    if rest.isEmpty():
-        return found
-    # Then against a set that each tile picks for itself.
-    pick = F.min_by(F.struct("node", "c"), F.xxhash64("key", "node")).alias("p")
-    picked = rest.join(rest.groupBy("key").agg(pick), "key").where("c != p.c")
-    pairs = picked.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-    found = found.union(judge.exact(judge.bounded(pairs)))
-    rest = _still_open(rest.select("key", "node"), found)
-    if rest.isEmpty():
-        return found
-    # What is still apart meets within its tile; pairs that the bitmaps rule out never leave the join.
-    rows = rest.join(maps, "node")
-    x, y = (rows.select("key", F.col("node").alias(s), F.col("c").alias(f"c{s}"), F.struct("n", "bits").alias(f"_{s}")) for s in "ab")
-    apart = x.join(y, (x["key"] == y["key"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & judge.possible())
-    pairs = apart.select("a", "b", (F.col("_a.n") + F.col("_b.n")).alias("sizes")).distinct()
-    return found.union(judge.exact(pairs))
+    meeting = only_possible(postings, ["key"], shared).distinct()
+    tiles = stored(meeting.join(shared, "key", "left_semi"), "jaccard-tiles")
+    members = stored(tiles.select("node").distinct(), "jaccard-members")
+    maps = only_possible(full.select("node", "n", "bits"), ["node"], members)
+    maps = stored(maps.join(members, "node", "left_semi").dropDuplicates(["node"]), "jaccard-maps")
+
+    # Every tile's sets against its smallest and its largest name, which many tiles have in common.
+    row = F.struct("node", "n", "place")
+    pivots = tiles.groupBy("key").agg(F.min(row).alias("low"), F.max(row).alias("high"))
+    beside = tiles.join(pivots, "key")
+    pairs = _candidates(beside, "low", percent).union(_candidates(beside, "high", percent))
+    found = _exact(_bounded(pairs, maps, percent), docs, text, width, percent)
+    # What is still apart meets within its tile; pairs that the numbers rule out never leave the join.
+    rest = _still_open(tiles, found)
+    x, y = (rest.select("key", F.struct("node", "n", "place", "c").alias(s)) for s in "xy")
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & _in_reach("x.", "y.", percent)
+    pairs = x.join(y, "key").where(apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    possible = _bounded(pairs, maps, percent)
+    return found if possible.isEmpty() else found.union(_exact(possible, docs, text, width, percent))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
