@@ -5,10 +5,11 @@ that are similar enough share one of the few that come first in a common order,
 lie in one band or in two that touch. Within a tile a pair is judged by the sets' hashed bitmaps: bits
 that only one of the two has bound the overlap from above. What passes is intersected exactly.
 
-A tile of very many sets never gives all its pairs. Its sets are compared with two of them first, and
-what is joined by then needs no further comparison; only sets of a tile that are still in different
-components meet each other. Where a shared shingle stands in the order of either set bounds the overlap
-too, so most sets that share one by chance are told apart by numbers before any bitmap moves.
+Where a shared shingle stands in the order of either set bounds the overlap too, so most sets that
+share one by chance are told apart by numbers before any bitmap moves. A tile of very many sets never
+gives all its pairs: its sets are compared with two of them and within small random parts of the tile,
+and what is joined by then needs no further comparison. Only sets that are still in different
+components meet each other, and only pairs that their bitmaps leave possible come out of that join.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ COUNT_BLOCK = 1 << 14
 # Each size band reaches this much further than the one before; similar sets are never two bands apart.
 BAND = 1.7
 # Bits of a bitmap for each shingle of the set, rounded up to a power of two of 64-bit words.
-BITS_PER_SHINGLE = 1
+BITS_PER_SHINGLE = 2
+# Tiles of more sets than this are compared in part first.
+DENSE = 16
 LIST = ArrayType(LongType())
 FIELDS = StructType().add("n", LongType()).add("node", LongType()).add("keys", LIST).add("bits", LIST)
 
@@ -210,12 +213,31 @@ def _bound(a: str, b: str) -> Column:
     return F.least(F.col(f"{a}.n") - alone(x, y), F.col(f"{b}.n") - alone(y, x))
 
 
-def _candidates(tiles: DataFrame, pivot: str, percent: int) -> DataFrame:
-    """(a, b) of the rows of each tile beside its row ``pivot``, where sizes and places allow a link."""
+def _beside(tiles: DataFrame, pivot: str, percent: int) -> DataFrame:
+    """(a, b) of the rows of each tile and its row ``pivot``, where sizes and places allow a link."""
     pairs = tiles.where(F.col("node") != F.col(f"{pivot}.node")).where(_in_reach("", f"{pivot}.", percent))
     return pairs.select(F.least("node", f"{pivot}.node").alias("a"), F.greatest("node", f"{pivot}.node").alias("b"))
 
 
+def _within(tiles: DataFrame, by: list[str], percent: int, further: Column | None = None) -> DataFrame:
+    """Pairs (x, y) of rows that agree in ``by`` and are in different components, where a link is possible."""
+    x, y = (tiles.select(*by, F.struct(*[c for c in tiles.columns if c not in by]).alias(s)) for s in "xy")
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & _in_reach("x.", "y.", percent)
+    return x.join(y, by).where(apart if further is None else apart & further)
+
+
+def _in_parts(tiles: DataFrame, salts: range, percent: int) -> DataFrame:
+    """(a, b) of rows that fall into one of a tile's random parts, of about four rows each, for each of ``salts``."""
+    salted = tiles.select("key", "node", "n", "place", "c", "m", F.explode(F.lit(list(salts))).alias("salt"))
+    part = F.pmod(F.xxhash64("salt", "key", "node"), F.ceil(F.col("m") / 4)).alias("part")
+    by = ["key", "salt", "part"]
+    return _names_of(_within(salted.select("key", "salt", part, "node", "n", "place", "c"), by, percent))
+
+
+def _names_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def _in_reach(x: str, y: str, percent: int) -> Column:
     """Whether two sets may be linked whose first common shingle stands at these places: what follows it is all they share."""
     left = F.least(F.col(f"{x}n") - F.col(f"{x}place"), F.col(f"{y}n") - F.col(f"{y}place"))
@@ -230,11 +252,27 @@ def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     return stored(joined.select("a", "b", sizes.alias("sizes")), "jaccard-possible")
 
 
-def _exact(possible: DataFrame, docs: DataFrame, text: str, width: int, percent: int) -> DataFrame:
-    """(a, b) of the pairs that are links, stored. Only sets that are in a pair are read out of the texts."""
-    wanted = stored(possible.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-wanted")
-    arrays = only_possible(_sets(docs, text, width), ["node"], wanted)
-    arrays = stored(arrays.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
+class _Sets:
+    """Shingle arrays of the sets that were needed so far, read out of the texts when they are."""
+
+    def __init__(self, docs: DataFrame, text: str, width: int):
+        self.every, self.known = _sets(docs, text, width), None
+
+    def of(self, possible: DataFrame) -> DataFrame:
+        wanted = possible.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if self.known is not None:
+            wanted = wanted.join(self.known, "node", "left_anti")
+        wanted = stored(wanted, "jaccard-wanted")
+        if self.known is None or not wanted.isEmpty():
+            arrays = only_possible(self.every, ["node"], wanted).join(wanted, "node", "left_semi")
+            arrays = stored(arrays.dropDuplicates(["node"]), "jaccard-sets")
+            self.known = arrays if self.known is None else self.known.union(arrays)
+        return self.known
+
+
+def _exact(possible: DataFrame, sets: _Sets, percent: int) -> DataFrame:
+    """(a, b) of the pairs that are links, stored."""
+    arrays = sets.of(possible)
     a, b = (arrays.select(F.col("node").alias(x), F.col("shingles").alias(f"_{x}")) for x in "ab")
     overlap = F.size(F.array_intersect("_a", "_b")).cast("long")
     joined = possible.join(b, "b").join(a, "a").where(_enough(overlap, F.col("sizes"), percent))
@@ -242,14 +280,15 @@ def _exact(possible: DataFrame, docs: DataFrame, text: str, width: int, percent:
 
 
 def _still_open(tiles: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of tiles whose sets lie in several components, with each set's component ``c``."""
-    found = components(links).withColumnsRenamed({"label": "c"})
-    named = stored(tiles.join(found, "node", "left").withColumn("c", F.coalesce("c", "node")), "jaccard-named")
+    """Rows of tiles whose sets lie in several components, ``c`` being each set's component now."""
+    found = components(links)
+    named = tiles.join(found, "node", "left").withColumn("c", F.coalesce("label", "node")).select(*tiles.columns)
+    named = stored(named, "jaccard-named")
     several = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("key")
-    return named.join(several, "key", "left_semi")
+    return stored(named.join(several, "key", "left_semi"), "jaccard-open")
 
 
-def links(sets: DataFrame, docs: DataFrame, text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def links(sets: DataFrame, docs: DataFrame, text: str = "text", width: int = WIDTH, percent: int = PERCENT, dense: int = DENSE) -> DataFrame:
     """Links (a, b) between names of sets whose closure is that of all links between different sets.
 
     ``sets`` are stored ``summaries`` of ``docs``.
@@ -263,24 +302,30 @@ def links(sets: DataFrame, docs: DataFrame, text: str = "text", width: int = WID
     shared = stored(shared, "jaccard-shared")
     # Most postings are nobody else's; the filter keeps them out of the shuffle.
     meeting = only_possible(postings, ["key"], shared).distinct()
-    tiles = stored(meeting.join(shared, "key", "left_semi"), "jaccard-tiles")
+    tiles = stored(meeting.join(shared, "key", "left_semi").withColumn("c", F.col("node")), "jaccard-tiles")
     members = stored(tiles.select("node").distinct(), "jaccard-members")
     maps = only_possible(full.select("node", "n", "bits"), ["node"], members)
     maps = stored(maps.join(members, "node", "left_semi").dropDuplicates(["node"]), "jaccard-maps")
+    arrays = _Sets(docs, text, width)
 
-    # Every tile's sets against its smallest and its largest name, which many tiles have in common.
     row = F.struct("node", "n", "place")
-    pivots = tiles.groupBy("key").agg(F.min(row).alias("low"), F.max(row).alias("high"))
-    beside = tiles.join(pivots, "key")
-    pairs = _candidates(beside, "low", percent).union(_candidates(beside, "high", percent))
-    found = _exact(_bounded(pairs, maps, percent), docs, text, width, percent)
-    # What is still apart meets within its tile; pairs that the numbers rule out never leave the join.
-    rest = _still_open(tiles, found)
-    x, y = (rest.select("key", F.struct("node", "n", "place", "c").alias(s)) for s in "xy")
-    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & _in_reach("x.", "y.", percent)
-    pairs = x.join(y, "key").where(apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    possible = _bounded(pairs, maps, percent)
-    return found if possible.isEmpty() else found.union(_exact(possible, docs, text, width, percent))
+    about = tiles.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(row).alias("low"), F.max(row).alias("high"))
+    sized = tiles.join(about, "key")
+    crowded = stored(sized.where(F.col("m") > dense), "jaccard-crowded")
+    # A small tile gives a bounded number of pairs a row.
+    pairs = _names_of(_within(sized.where(F.col("m") <= dense).select(*tiles.columns), ["key"], percent))
+    pairs = pairs.union(_beside(crowded, "low", percent)).union(_beside(crowded, "high", percent)).union(_in_parts(crowded, range(1), percent))
+    found = _exact(_bounded(pairs, maps, percent), arrays, percent)
+    if crowded.isEmpty():
+        return found
+    rest = _still_open(crowded.drop("low", "high"), found)
+    found = found.union(_exact(_bounded(_in_parts(rest, range(1, 9), percent), maps, percent), arrays, percent))
+    rest = _still_open(rest, found).join(maps.select("node", "bits"), "node")
+    sizes = F.col("x.n") + F.col("y.n")
+    apart = _within(rest, ["key"], percent, _enough(_bound("x", "y"), sizes, percent))
+    pairs = apart.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), sizes.alias("sizes"))
+    possible = stored(pairs.distinct(), "jaccard-possible")
+    return found if possible.isEmpty() else found.union(_exact(possible, arrays, percent))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
