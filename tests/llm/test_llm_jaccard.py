@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import random
+import re
+
+import cases
+import pytest
+from test_llm_simhash import grouped
+
+from siltgate.llm import jaccard
+from siltgate.plans.sizing import stored
+
+
+def shingles(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    return {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else set()
+
+
+def linked(a, b):
+    common = len(a & b)
+    return bool(a and b) and 100 * common >= 85 * (len(a) + len(b) - common)
+
+
+def expected(rows):
+    sets = [frozenset(shingles(r[1])) for r in rows]
+    distinct = sorted({s for s in sets if s}, key=sorted)
+    at = {s: i for i, s in enumerate(distinct)}
+    root = grouped(range(len(distinct)), lambda a, b: linked(distinct[a], distinct[b]))
+    least = {}
+    for r, s in zip(rows, sets, strict=True):
+        if s and r[0] is not None:
+            least[root[at[s]]] = min(least.get(root[at[s]], r[0]), r[0])
+    return sorted(((r[0], len(s), least.get(root[at[s]]) if s else r[0]) for r, s in zip(rows, sets, strict=True)), key=repr)
+
+
+def edited(rng, words, share):
+    return [w if rng.random() > share else f"new{rng.randrange(10**6)}" for w in words]
+
+
+def group(rng, n, size, share):
+    base = [f"w{rng.randrange(400)}" for _ in range(size)]
+    return [" ".join(edited(rng, base, share)) for _ in range(n)]
+
+
+def test_against_brute_force_with_odd_rows(spark):
+    rng = random.Random(3)
+    rows = cases.odd_rows()
+    texts = group(rng, 25, 120, 0.012) + group(rng, 25, 60, 0.02) + group(rng, 10, 9, 0.05) + ["a b c", "A  b\tc", "a b", "a b c d", "a b c d e"]
+    rows += [(100 + i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    docs = cases.clashing(cases.frame(spark, rows), "node", "n", "keys", "component_id", "_set")
+    made = jaccard.near_duplicates(docs)
+    assert made.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted((tuple(r) for r in made.collect()), key=repr) == expected(rows)
+
+
+@pytest.mark.parametrize("dense", [16, 3])
+def test_tiles_of_many_sets_lose_no_link(spark, dense):
+    """Copies whose similarity lies around the threshold: some pairs are links, most are not."""
+    rng = random.Random(11)
+    rows = [(i, t, None, None, None) for i, t in enumerate(group(rng, 60, 80, 0.02) + group(rng, 12, 200, 0.008))]
+    docs = cases.frame(spark, rows).select("doc_id", "text")
+    sets = stored(jaccard.summaries(docs).select("doc_id", "_set.*"), "test-sets")
+    names = {r["doc_id"]: r["node"] for r in sets.collect()}
+    links = {(r["a"], r["b"]) for r in jaccard.links(sets, docs, dense=dense).collect()}
+    want = grouped(names, lambda a, b: linked(shingles(rows[a][1]), shingles(rows[b][1])))
+    got = grouped(names, lambda a, b: names[a] == names[b] or (names[a], names[b]) in links or (names[b], names[a]) in links)
+    assert got == want and len(set(want.values())) > 2
+
+
+def test_shared_passages_alone_link_nothing(spark):
+    rng = random.Random(5)
+    passage = " ".join(f"common{i}" for i in range(30))
+    rows = [(i, passage + " " + " ".join(f"own{rng.randrange(10**6)}" for _ in range(20)), "en", "s", 1) for i in range(60)]
+    made = jaccard.near_duplicates(cases.frame(spark, rows)).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in made)
+
+
+def test_empty_and_keyless(spark):
+    assert jaccard.near_duplicates(cases.frame(spark).limit(0)).count() == 0
+    none = cases.frame(spark, [(None, "a b c d", None, None, None)] * 3 + [(None, None, None, None, None)])
+    assert sorted((r["n_shingles"], r["component_id"]) for r in none and jaccard.near_duplicates(none).collect()) == [(0, None), (1, None), (1, None), (1, None)]
+
+
+def test_bands_of_similar_sets_touch():
+    starts = jaccard._band_starts()
+    for n in range(1, 3000):
+        band = starts.searchsorted(n, "right") - 1
+        assert starts.searchsorted(-(-85 * n // 100), "right") - 1 >= band - 1

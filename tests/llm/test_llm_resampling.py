@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import cases
+import pytest
+from pyspark.sql import functions as F
+
+from siltgate.llm import resampling
+from siltgate.plans.sizing import stored
+
+
+def features(text):
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().lower())
+    return len(words), [zlib.crc32(b" ".join(words[i : i + k])) % 10_000 for k in (1, 2, 3) for i in range(len(words) - k + 1)]
+
+
+def brute(rows, target, percent=5):
+    made = [(r[0], *features(r[1])) for r in rows]
+    s, t = Counter(b for _, _, f in made for b in f), Counter(b for x in target for b in features(x)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + 10_000) / ((s[b] + 1) * (all_t + 10_000)))) for b in range(10_000)]
+    scored = []
+    for key, n, f in made:
+        h = int(hashlib.sha256(f"42:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in f)
+        scored.append([key, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n])
+    able = sorted((x for x in scored if x[4] >= 20), key=lambda x: (-x[3], x[0] is None, x[0] or 0, x[1], x[2]))
+    drawn = len(able) * percent // 100
+    ranks = {id(x): i + 1 for i, x in enumerate(able[:drawn])}
+    return sorted(((*x[:4], ranks.get(id(x))) for x in scored), key=repr)
+
+
+def prose(rng, n):
+    return " ".join(f"{rng.choice(['The', 'a', 'of', 'x'])}{rng.randrange(60)}" for _ in range(n))
+
+
+def test_against_brute_force_with_odd_rows(spark):
+    rng = random.Random(8)
+    rows = cases.odd_rows() + [(300 + i, prose(rng, rng.choice([5, 19, 20, 40])), "en", "s", 1) for i in range(120)]
+    rows += [rows[-1]] * 30 + [(None, prose(rng, 30), None, None, None)] * 2
+    target = [prose(rng, 50), None, "", "the 1 OF 2"]
+    docs = cases.clashing(cases.frame(spark, rows), "rank", "score", "weight", "_weight", "n_words")
+    bench = spark.createDataFrame([(t,) for t in target], "text string")
+    for percent, sorted_rows in ((5, 100_000), (60, 4), (100, 100_000)):
+        made = resampling.resample(docs, bench, percent=percent, sorted_rows=sorted_rows)
+        assert made.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+        assert sorted((tuple(r) for r in made.collect()), key=repr) == brute(rows, target, percent)
+
+
+def test_empty_tables(spark):
+    bench = spark.createDataFrame([], "text string")
+    assert resampling.resample(cases.frame(spark).limit(0), bench).count() == 0
+    rows = cases.odd_rows()
+    assert sorted((tuple(r) for r in resampling.resample(cases.frame(spark, rows), bench).collect()), key=repr) == brute(rows, [])
+
+
+@pytest.mark.parametrize("accuracy", [10, 1000])
+@pytest.mark.parametrize("sorted_rows", [1, 50])
+def test_located_rows(spark, accuracy, sorted_rows):
+    """Coarse sketches put the bracket beside the rank or around everything; the counts put it right."""
+    rng = random.Random(accuracy + sorted_rows)
+    values = sorted([(rng.choice([-5, 0, 0, 0, 7, rng.randrange(1000)]), rng.randrange(40)) for _ in range(400)] + [(3, 3)] * 150)
+    rows = stored(spark.createDataFrame(values, "a long, b long"), "located")
+    for rank in (1, 2, 137, 275, 400, 549, 550):
+        assert resampling.locate(rows, ["a", "b"], rank, len(values), accuracy, sorted_rows) == values[rank - 1]
+
+
+def test_ranks_of_equal_rows(spark):
+    rows = spark.createDataFrame([(5,), (5,), (1,), (9,), (5,)], "a long")
+    assert sorted((r["a"], r["rank"]) for r in resampling.ranked(rows, [F.col("a")]).collect()) == [(1, 1), (5, 2), (5, 3), (5, 4), (9, 5)]
