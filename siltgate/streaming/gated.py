@@ -1,18 +1,25 @@
-"""Streaming ingest through the same gate, one micro-batch at a time."""
+"""Streaming ingest through the same gate, one micro-batch at a time.
+
+Uniqueness across batches is a stateful operator of the query itself: a second branch of the stream
+drops keys that Spark's state store has seen, so each batch arrives together with a claim for every key
+that is new. Nothing that earlier batches have landed is read again.
+"""
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siltgate.operators import gate
 from siltgate.operators.checks import Check, Repeated, key_exists
-from siltgate.plans.sizing import DEFAULT_LIMITS, Limits
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, stored
+
+# Columns of a micro-batch: a row, or the number of the key set that the row's key is claimed for.
+ROW, CLAIM = "row", "claim"
 
 
 def _with_safe_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -22,49 +29,56 @@ def _with_safe_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list
     return df.withColumns(safe), list(safe)
 
 
+def key_sets(checks: Sequence[Check]) -> list[tuple[str, ...]]:
+    """The distinct sets of columns that some check wants unique."""
+    return list(dict.fromkeys(n.keys for c in checks for n in c.needs if isinstance(n, Repeated)))
+
+
+def with_claims(
+    rows: DataFrame, sets: Sequence[tuple[str, ...]], event_time: str | None = None, delay: str = "0 seconds", forget: bool = False
+) -> DataFrame:
+    """Every row of a stream, and for each set of keys one row per key that the state store has not seen.
+
+    With ``event_time`` the watermark trails the newest row by ``delay``; rows behind it claim nothing.
+    Keys are kept for ever, or with ``forget`` until the watermark has passed the first row by ``delay``.
+    """
+    if event_time:
+        rows = rows.withWatermark(event_time, delay)
+    if forget and not event_time:
+        raise ValueError("keys can only be forgotten by event time")
+
+    def packed(frame: DataFrame, claim: int | None) -> DataFrame:
+        fields = [
+            (F.col(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema
+        ]
+        return frame.select(F.struct(*fields).alias(ROW), F.lit(claim).cast("int").alias(CLAIM))
+
+    out = packed(rows, None)
+    for i, keys in enumerate(sets):
+        slim = rows.select(*dict.fromkeys([*keys, *([event_time] if event_time else [])]))
+        new = slim.dropDuplicatesWithinWatermark(list(keys)) if forget else slim.dropDuplicates(list(keys))
+        out = out.union(packed(new, i))
+    return out
+
+
 def judge_batch(
     batch: DataFrame,
     checks: Sequence[Check],
-    earlier: DataFrame | None,
+    claims: Callable[[tuple[str, ...]], DataFrame],
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Judge a batch; a key that an earlier batch delivered counts as a repeat."""
+    """Judge a batch; a row whose key is not among the claims repeats an earlier batch's."""
     prepared = gate.prepare(batch, checks, limits)
-    if earlier is not None:
-        repeats = {n.column: n for c in checks for n in c.needs if isinstance(n, Repeated)}
-        for need in repeats.values():
-            keyed, safe = _with_safe_keys(prepared, need.keys)
-            known, _ = _with_safe_keys(earlier.select(*need.keys), need.keys)
-            probe, _ = _with_safe_keys(batch, need.keys)
-            again = F.col(need.column) | F.col("_delivered")
-            prepared = (
-                key_exists(keyed, safe, known, "_delivered", limits, probe, rare="present")
-                .withColumn(need.column, again)
-                .drop("_delivered", *safe)
-            )
+    repeats = {n.column: n for c in checks for n in c.needs if isinstance(n, Repeated)}
+    for need in repeats.values():
+        keyed, safe = _with_safe_keys(prepared, need.keys)
+        new, _ = _with_safe_keys(claims(need.keys), need.keys)
+        probe, _ = _with_safe_keys(batch, need.keys)
+        again = F.col(need.column) | ~F.col("_new")
+        prepared = key_exists(keyed, safe, new, "_new", limits, probe).withColumn(need.column, again).drop("_new", *safe)
     return gate.evaluate(prepared, checks)
 
 
-# Folders that the keys of a stream are spread over; a batch reads those it has keys in.
-KEY_BUCKETS = 256
-
-
-def _bucketed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int"))
-
-
-def earlier_keys(spark: SparkSession, output: str, name: str, batch_id: int, batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys that other batches have landed, from the buckets that ``batch`` touches; None if there are none."""
-    try:
-        known = spark.read.parquet(f"{output}/_keys")
-    except AnalysisException:
-        return None
-    # At most KEY_BUCKETS numbers; the folders of other buckets are not read.
-    touched = [r.bucket for r in _bucketed(batch.select(*keys), keys).select("bucket").distinct().collect()]
-    same = (F.col("stream") == name) & (F.col("batch") >= batch_id)
-    return known.where(F.col("bucket").isin(touched) & ~same).select(*keys)
-
-
 def start(
     stream: DataFrame,
     shape: Callable[[DataFrame], DataFrame],
@@ -72,48 +86,90 @@ def start(
     output: str,
     checkpoint: str,
     limits: Limits = DEFAULT_LIMITS,
+    event_time: str | None = None,
+    delay: str = "0 seconds",
+    forget: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """Gate every micro-batch of ``stream`` into ``output/rows/stream=<name>/batch=<id>``.
 
-    ``shape`` makes bronze rows of a batch. A stream is named by its checkpoint, so another
-    checkpoint never overwrites its rows; what both deliver counts as repeated. A batch that is
-    delivered again after a failure overwrites its own folder, so each row lands once. The keys
-    that must be unique are those of the checks; each batch leaves them in a table by key hash.
-    Clean rows, quarantine and metrics are read from the evaluated rows with the functions of the gate.
+    ``shape`` makes bronze rows of the stream, without an operator that keeps state. Rows behind the
+    watermark are not judged, since their key may have been forgotten; they go to ``output/late`` as
+    they came. A stream is named by its checkpoint, which also holds the keys it has seen: another
+    checkpoint has rows and keys of its own. A batch that is delivered again after a failure overwrites
+    its own folder, so each row lands once. Clean rows, quarantine and metrics are read from the
+    evaluated rows with the functions of the gate.
     """
     name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
-    keys = list(dict.fromkeys(k for c in checks for n in c.needs if isinstance(n, Repeated) for k in n.keys))
+    sets = key_sets(checks)
+    rows = shape(stream)
 
-    def on_batch(rows: DataFrame, batch_id: int) -> None:
-        land(shape(rows), batch_id, name, checks, keys, output, limits)
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # Stored first: a micro-batch that is read twice would run its stateful branch twice.
+        land(stored(batch, "arrivals"), batch_id, name, checks, output, limits, event_time, delay)
 
     return (
-        stream.writeStream.foreachBatch(on_batch)
+        with_claims(rows, sets, event_time, delay, forget)
+        .writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def _clock(output: str, name: str, batch_id: int) -> str:
+    return f"{output}/_clock/stream={name}/batch={batch_id}"
+
+
+def _newest(spark: SparkSession, output: str, name: str, batch_id: int):
+    """The newest event time up to a batch, None before the first."""
+    return spark.read.schema("newest timestamp").parquet(_clock(output, name, batch_id)).first()["newest"] if batch_id >= 0 else None
+
+
+def _behind(event_time: str, delay: str, newest) -> Column:
+    """Whether a row is behind the watermark that the state store drops rows by, 1970 to begin with.
+
+    That is the watermark of the batch before, so it comes from the rows up to two batches ago.
+    """
+    watermark = F.timestamp_seconds(F.lit(0)) if newest is None else F.date_trunc("millisecond", F.lit(newest)) - F.expr(f"INTERVAL {delay}")
+    return F.coalesce(F.col(event_time) <= watermark, F.lit(False))
+
+
 def land(
-    batch: DataFrame,
+    arrived: DataFrame,
     batch_id: int,
     name: str,
     checks: Sequence[Check],
-    keys: Sequence[str],
     output: str,
     limits: Limits = DEFAULT_LIMITS,
+    event_time: str | None = None,
+    delay: str = "0 seconds",
 ) -> None:
-    """Judge one batch against the keys landed before and write its rows, then its keys."""
-    spark, place = batch.sparkSession, f"stream={name}/batch={batch_id}"
-    earlier = earlier_keys(spark, output, name, batch_id, batch, keys) if keys else None
-    judged = judge_batch(batch, checks, earlier, limits)
-    judged.write.mode("overwrite").parquet(f"{output}/rows/{place}")
-    if keys:
-        landed = spark.read.schema(judged.schema).parquet(f"{output}/rows/{place}").select(*keys).distinct()
-        _bucketed(landed, keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{output}/_keys/{place}")
+    """Judge one stored batch of rows and claims, and write its rows, late rows apart.
+
+    The newest event time of all batches so far is one row beside each batch: a batch reads the last
+    two of them and nothing else of the past.
+    """
+    spark, place, sets = arrived.sparkSession, f"stream={name}/batch={batch_id}", key_sets(checks)
+    rows = arrived.where(F.col(CLAIM).isNull()).select(f"{ROW}.*")
+    if event_time:
+        newest, settled = (_newest(spark, output, name, batch_id - n) for n in (1, 2))
+        behind = _behind(event_time, delay, settled)
+        rows.where(behind).write.mode("overwrite").parquet(f"{output}/late/{place}")
+        seen = rows.agg(F.greatest(F.max(F.col(event_time).cast("timestamp")), F.lit(newest).cast("timestamp")).alias("newest"))
+        seen.coalesce(1).write.mode("overwrite").parquet(_clock(output, name, batch_id))
+        rows = rows.where(~behind)
+
+    def claims(keys: tuple[str, ...]) -> DataFrame:
+        return arrived.where(F.col(CLAIM) == sets.index(keys)).select(*[F.col(f"{ROW}.`{k}`").alias(k) for k in keys])
+
+    judge_batch(rows, checks, claims, limits).write.mode("overwrite").parquet(f"{output}/rows/{place}")
 
 
 def read(spark: SparkSession, output: str) -> DataFrame:
     return spark.read.parquet(f"{output}/rows")
+
+
+def read_late(spark: SparkSession, output: str) -> DataFrame:
+    """Rows that came behind the watermark, as they arrived."""
+    return spark.read.parquet(f"{output}/late")

@@ -527,8 +527,28 @@ again AS (
               FROM judged JOIN part ON CAST(p_partkey AS VARCHAR) = product_id WHERE passed""",
         ),
         "streaming_gate": _with(
-            JUDGED,
-            """SELECT order_id, customer_id, product_id, reason AS failed_rules, passed FROM judged""",
+            PREPARED
+            + f""",
+placed AS (
+  SELECT *, CAST(floor((year(l_shipdate) - (SELECT min(year(l_shipdate)) FROM lineitem)) / 2) AS INTEGER)
+         + CASE WHEN l_partkey % 20 = 0 THEN 1 ELSE 0 END AS delivered
+  FROM prepared
+),
+clock AS (
+  SELECT delivered, max(max(l_shipdate)) OVER (ORDER BY delivered ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+         - INTERVAL 90 DAYS AS behind
+  FROM placed GROUP BY delivered
+),
+timed AS (
+  SELECT placed.* EXCLUDE (copy_rank), coalesce(l_shipdate <= behind, FALSE) AS late
+  FROM placed JOIN clock USING (delivered)
+),
+streamed AS (
+  SELECT *, row_number() OVER (PARTITION BY late, order_id ORDER BY delivered, {ARRIVAL}) AS copy_rank FROM timed
+),"""
+            + judged("streamed"),
+            """SELECT order_id, customer_id, product_id, CASE WHEN late THEN 'late' ELSE reason END AS failed_rules,
+            passed AND NOT late AS passed FROM judged""",
         ),
     }
     revenue = "CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE)"
