@@ -105,9 +105,10 @@ def strip(df: DataFrame) -> DataFrame:
     return df.drop(VERDICTS, FAILED, WARNED, PASSED)
 
 
-def publishable(clean: DataFrame) -> DataFrame:
-    """The typed orders table; soft warnings ride along."""
+def publishable(clean: DataFrame, *more: str) -> DataFrame:
+    """The typed orders table, and ``more`` columns before it; soft warnings ride along."""
     return clean.select(
+        *more,
         "order_id",
         "customer_id",
         "product_id",

@@ -60,6 +60,11 @@ def fact_sales(orders: DataFrame) -> DataFrame:
     )
 
 
+def by_month(fact: DataFrame) -> DataFrame:
+    """The fact with the month its rows are partitioned by, each month's rows together and large months split."""
+    return fact.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int")).hint("rebalance", "month_key")
+
+
 def revenue_by_country(
     fact: DataFrame,
     customers: DataFrame,

@@ -160,12 +160,17 @@ def build_silver(
 
 
 def build_gold(lake: Lake | CatalogLake, limits: Limits = DEFAULT_LIMITS) -> None:
-    """Dimensions, fact and revenue tables. Revenue reads the stored fact and dimensions."""
+    """Dimensions, fact and revenue tables."""
     orders = lake.read(tables.SILVER_ORDERS)
     lake.overwrite(star.dim_customer(lake.read(tables.SILVER_CUSTOMERS)), tables.DIM_CUSTOMER)
     lake.overwrite(star.dim_product(lake.read(tables.SILVER_PRODUCTS)), tables.DIM_PRODUCT)
     lake.overwrite(star.date_dim(orders), tables.DIM_DATE)
     lake.overwrite(star.fact_sales(orders), tables.FACT_SALES)
+    build_revenue(lake, limits)
+
+
+def build_revenue(lake: Lake | CatalogLake, limits: Limits = DEFAULT_LIMITS) -> None:
+    """The revenue tables, from the stored fact and dimensions."""
     fact = lake.read(tables.FACT_SALES)
     lake.overwrite(
         star.revenue_by_country(fact, lake.read(tables.DIM_CUSTOMER), limits),

@@ -41,6 +41,7 @@ DQ_METRICS = Table("ops", "dq_metrics", LOG)
 DIM_CUSTOMER = Table("gold", "dim_customer")
 DIM_PRODUCT = Table("gold", "dim_product")
 DIM_DATE = Table("gold", "dim_date")
+RECOVERED_ORDERS = Table("quarantine", "orders_recovered", LOG)
 FACT_SALES = Table("gold", "fact_sales")
 REVENUE_BY_COUNTRY = Table("gold", "revenue_by_country")
 REVENUE_BY_CATEGORY = Table("gold", "revenue_by_category")
@@ -130,6 +131,19 @@ class Lake:
             raise ValueError(f"{table.layer}.{table.name} is not a snapshot")
         return self._write(df, table, partition_by)
 
+    def _newest(self, table: Table) -> str:
+        """The folder that the newest version's rows are in."""
+        return f"{self.path(table)}/version={self._parts(table, self.versions(table)[-1])[-1]}"
+
+    def extend(self, df: DataFrame, table: Table) -> None:
+        """Add rows to the newest version of a snapshot; its files stay as they are."""
+        df.write.mode("append").parquet(self._newest(table))
+
+    def replace_partitions(self, df: DataFrame, table: Table, by: Sequence[str]) -> None:
+        """Replace those partitions of the newest version that ``df`` has rows of; others keep their files."""
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*by).parquet(self._newest(table))
+
     def read(
         self, table: Table, version: int | None = None, merge_schema: bool | None = None
     ) -> DataFrame:
@@ -195,6 +209,20 @@ class CatalogLake:
     def overwrite(self, df: DataFrame, table: Table, partition_by: Sequence[str] = ()) -> None:
         self._write(df, table, "overwrite", partition_by)
 
+    def extend(self, df: DataFrame, table: Table) -> None:
+        self._write(df, table, "append", ())
+
+    def replace_partitions(self, df: DataFrame, table: Table, by: Sequence[str]) -> None:
+        """``by`` are the columns that the catalog's table is partitioned by."""
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        # Inserts into catalog tables read the session's mode and no option of the writer.
+        self.spark.conf.set(setting, "dynamic")
+        try:
+            df.select(*self.read(table).columns).write.mode("overwrite").insertInto(self.path(table))
+        finally:
+            self.spark.conf.set(setting, before)
+
     def _write(self, df: DataFrame, table: Table, mode: str, partition_by: Sequence[str]) -> None:
         writer = df.write.mode(mode)
         if partition_by:

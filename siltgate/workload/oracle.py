@@ -567,6 +567,34 @@ streamed AS (
         UNION ALL SELECT DISTINCT 'date', strftime(order_date_parsed, '%Y-%m-%d'), CAST({day} AS DOUBLE)
           FROM judged WHERE passed""",
     )
+    sql["recovered_tables"] = _with(
+        JUDGED + "," + CUSTOMERS + """,
+again AS (
+  SELECT * EXCLUDE (copy_rank, quantity_int, order_amount_dbl, completeness_customer_id,
+      completeness_order_amount, validity_quantity_positive, validity_order_date,
+      uniqueness_order_id, integrity_product_id, integrity_customer_id, accuracy_amount_matches,
+      reason, warnings, passed),
+    reason AS first_reason, abs(quantity_int) AS quantity_int, abs(order_amount_dbl) AS order_amount_dbl,
+    row_number() OVER (PARTITION BY order_id ORDER BY order_date_text, nullif(customer_id, '') NULLS FIRST, product_id,
+      CAST(abs(quantity_int) AS VARCHAR)) AS copy_rank
+  FROM judged
+  WHERE NOT passed AND order_id NOT IN (SELECT order_id FROM judged WHERE passed)
+),""" + judged("again", "rejudged") + """,
+silver AS (
+  SELECT order_id, customer_id, product_id, quantity_int, order_amount_dbl, order_date_parsed FROM judged WHERE passed
+  UNION ALL SELECT order_id, customer_id, product_id, quantity_int, order_amount_dbl, order_date_parsed FROM rejudged WHERE passed
+),
+remaining AS (
+  SELECT reason, count(*) AS n FROM judged WHERE NOT passed GROUP BY reason
+  UNION ALL SELECT first_reason, -count(*) FROM rejudged WHERE passed GROUP BY first_reason
+)""",
+        f"""SELECT 'silver' AS part, concat_ws('|', order_id, customer_id, product_id, quantity_int) AS name, order_amount_dbl AS value FROM silver
+        UNION ALL SELECT 'fact', strftime(order_date_parsed, '%Y%m%d'), CAST(count(*) AS DOUBLE) FROM silver GROUP BY order_date_parsed
+        UNION ALL SELECT DISTINCT 'date', strftime(order_date_parsed, '%Y-%m-%d'), 1.0 FROM silver
+        UNION ALL SELECT 'country', country, {revenue} FROM silver JOIN conformed USING (customer_id) GROUP BY country
+        UNION ALL SELECT 'category', p_type, {revenue} FROM silver JOIN part ON CAST(p_partkey AS VARCHAR) = product_id GROUP BY p_type
+        UNION ALL SELECT 'quarantine', reason, CAST(sum(n) AS DOUBLE) FROM remaining GROUP BY reason HAVING sum(n) > 0""",
+    )
     sql["skewed_prepared_orders"] = sql["prepared_orders"]
     sql["skewed_fk_customer"] = sql["fk_customer_exists"]
     sql["skewed_revenue_by_country"] = sql["revenue_by_country"]
