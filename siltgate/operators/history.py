@@ -149,3 +149,84 @@ def scd2(
         F.col(f"_near_{start}").alias("valid_to"),
         F.col(f"_near_{start}").isNull().alias("is_current"),
     )
+
+
+def _seen_states(states: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column) -> DataFrame:
+    return states.select(key, *order, *tracked).withColumn("_slice", slice_)
+
+
+def _differs(tracked: Sequence[str], other: str) -> Column:
+    differs = F.lit(False)
+    for name in tracked:
+        differs = differs | ~F.col(name).eqNullSafe(F.col(f"{other}{name}"))
+    return differs
+
+
+def periods(states: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column) -> DataFrame:
+    """The periods of ``scd2`` with what a later merge needs: ``opened`` and ``seen``, the places in
+    ``order`` of a period's first and last state. States at one place must agree; repeats are one."""
+    rows = _seen_states(states, key, order, tracked, slice_).distinct().withColumn("_here", F.lit(True))
+    beside = ["_here", *tracked]
+    opens = F.col("_near__here").isNull() | _differs(tracked, "_near_")
+    first = _beside(rows, [key], order, "_slice", beside, False).withColumn("_opens", opens).select(*rows.columns, "_opens")
+    ends = _beside(stored(first, "opens"), [key], order, "_slice", beside, True).withColumn("_ends", opens)
+    place = F.struct(*order)
+    marks = ends.where("_opens OR _ends").select(*rows.columns, "_opens", "_ends", place.alias("_place"))
+    marks = stored(marks, "period-marks")
+    # The next mark of a row that opens a period and does not end it is the row that ends it.
+    paired = _beside(marks, [key], order, "_slice", ["_place"], True).where("_opens")
+    paired = paired.withColumn("_seen", F.when(F.col("_ends"), F.col("_place")).otherwise(F.col("_near__place")))
+    paired = stored(paired.select(*rows.columns, "_place", "_seen"), "period-starts")
+    start = order[0]
+    return _beside(paired, [key], order, "_slice", [start], True).select(
+        key, *tracked, F.col(start).alias("valid_from"), F.col(f"_near_{start}").alias("valid_to"),
+        F.col(f"_near_{start}").isNull().alias("is_current"), F.col("_place").alias("opened"), F.col("_seen").alias("seen"),
+    )
+
+
+def _split_spans(ends: DataFrame, states: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column) -> DataFrame:
+    """Keys with a state strictly inside the span of a period of other values.
+
+    Spans do not overlap, so a state is inside one if the next end of a span is a closing one. The next
+    end comes from the state's own slice or, by one row a slice, from a later one.
+    """
+    nothing = F.lit(None).cast(ends.schema["closes"].dataType)
+    both = ends.unionByName(states.select(key, *order, *tracked, nothing.alias("closes"))).withColumn("_slice", slice_)
+    end = F.when(F.col("closes").isNotNull(), F.struct("closes", *tracked))
+    ahead = Window.partitionBy(key, "_slice").orderBy(*order, F.col("closes").isNotNull()).rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(key).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
+    edges = (
+        both.groupBy(key, "_slice")
+        .agg(F.min_by(end, F.when(F.col("closes").isNotNull(), F.struct(*order))).alias("_first"))
+        .withColumn("_later", F.first("_first", ignorenulls=True).over(later))
+        .select(F.col(key).alias(f"_edge_{key}"), F.col("_slice").alias("_edge__slice"), "_later")
+    )
+    near = both.withColumn("_next", F.first(end, ignorenulls=True).over(ahead)).where(F.col("closes").isNull())
+    found = near.join(edges, same_key(near, edges, [key, "_slice"], "_edge_"), "left").withColumn("_next", F.coalesce("_next", "_later"))
+    inside = found.where(F.col("_next.closes")).select(key, *tracked, *[F.col("_next")[t].alias(f"_of_{t}") for t in tracked])
+    return inside.where(_differs(tracked, "_of_")).select(key).distinct()
+
+
+def merge_periods(
+    current: DataFrame, states: DataFrame, log: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column
+) -> DataFrame:
+    """``current`` periods (of ``periods``) with a batch of ``states`` merged in, late ones included.
+
+    A period stands for all its states by its first and last one, so only those and the batch are
+    compared; open periods are closed, new ones inserted, late states put between two periods. Where a
+    late state falls inside a period of other values, what that period was made of matters, and only the
+    keys concerned are read from ``log`` (all states, the batch among them) again. Keys must not be NULL.
+    """
+    states = stored(states.select(key, *order, *tracked), "scd2-batch")
+    asked = states.select(key).distinct()
+    mine = stored(current.join(asked, key, "left_semi"), "scd2-affected")
+    first = F.struct(F.col("opened").alias("at"), F.lit(False).alias("closes"))
+    last = F.struct(F.col("seen").alias("at"), F.lit(True).alias("closes"))
+    # A period of a single state has one end.
+    both = F.when(F.col("opened") == F.col("seen"), F.array(first)).otherwise(F.array(first, last))
+    ends = mine.select(key, *tracked, F.inline(both)).select(key, *[F.col("at")[o].alias(o) for o in order], *tracked, "closes")
+    torn = stored(_split_spans(ends, states, key, order, tracked, slice_), "scd2-torn")
+    plain = ends.drop("closes").unionByName(states).join(torn, key, "left_anti")
+    again = log.select(key, *order, *tracked).join(torn, key, "left_semi")
+    made = periods(plain.unionByName(again), key, order, tracked, slice_)
+    return current.join(asked, key, "left_anti").unionByName(made)

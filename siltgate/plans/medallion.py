@@ -8,7 +8,7 @@ when the audit holds.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -23,6 +23,7 @@ from siltgate.operators.conform import conform_customers, conform_products
 from siltgate.operators.history import guard
 from siltgate.operators.repeats import newest_per_key
 from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, stored
+from siltgate.sources import contract
 from siltgate.sources import lake as tables
 from siltgate.sources.lake import CatalogLake, Lake, Table
 from siltgate.sources.raw import read_csv_raw, read_json_raw, unseen, with_lineage
@@ -56,19 +57,30 @@ def ingest(
     products_schema: StructType | None = None,
     load_key: Sequence[str] = (),
     limits: Limits = DEFAULT_LIMITS,
+    contracts: Mapping[str, StructType] | None = None,
 ) -> None:
     """Append the three feeds to bronze with their lineage. A schema saves inferring the JSON.
 
+    A feed with a contract (by file name, as "orders.csv") is held to it: bronze gets its columns and
+    the rescued ones, and what the contract refuses goes to quarantine with the reason.
+
     With a ``load_key``, orders whose key bronze already holds are left out, so that a
     repeated load changes nothing; without one, all rows are appended as they come.
     """
-    spark = lake.spark
+    spark, contracts = lake.spark, contracts or {}
     feeds = (
-        (read_csv_raw(spark, orders_csv), "orders.csv", tables.BRONZE_ORDERS),
-        (read_csv_raw(spark, customers_csv), "customers.csv", tables.BRONZE_CUSTOMERS),
-        (read_json_raw(spark, products_json, products_schema), "products.json", tables.BRONZE_PRODUCTS),
+        (orders_csv, "orders.csv", tables.BRONZE_ORDERS),
+        (customers_csv, "customers.csv", tables.BRONZE_CUSTOMERS),
+        (products_json, "products.json", tables.BRONZE_PRODUCTS),
     )
-    for df, source, table in feeds:
+    for path, source, table in feeds:
+        is_json = path is products_json
+        if source in contracts:
+            admitted = (contract.read_json if is_json else contract.read_csv)(spark, [path], contracts[source])
+            df = admitted.accepted
+            lake.append(with_lineage(admitted.refused, source, at), tables.REFUSED_FEEDS)
+        else:
+            df = read_json_raw(spark, path, products_schema) if is_json else read_csv_raw(spark, path)
         rows = with_lineage(df, source, at)
         if load_key and table is tables.BRONZE_ORDERS:
             append_new(lake, rows, table, load_key, limits)
@@ -195,10 +207,11 @@ def run(
     products_schema: StructType | None = None,
     load_key: Sequence[str] = (),
     limits: Limits = DEFAULT_LIMITS,
+    contracts: Mapping[str, StructType] | None = None,
 ) -> Summary:
     """Everything, end to end. Use a fresh root for a fresh start."""
     lake.ensure()
-    ingest(lake, orders_csv, customers_csv, products_json, at, products_schema, load_key, limits)
+    ingest(lake, orders_csv, customers_csv, products_json, at, products_schema, load_key, limits, contracts)
     summary = build_silver(lake, run_id or new_run_id(), arrival, bounds, sla, at, limits)
     build_gold(lake, limits)
     return summary

@@ -41,6 +41,7 @@ DQ_METRICS = Table("ops", "dq_metrics", LOG)
 DIM_CUSTOMER = Table("gold", "dim_customer")
 DIM_PRODUCT = Table("gold", "dim_product")
 DIM_DATE = Table("gold", "dim_date")
+REFUSED_FEEDS = Table("quarantine", "refused_feeds", LOG)
 RECOVERED_ORDERS = Table("quarantine", "orders_recovered", LOG)
 FACT_SALES = Table("gold", "fact_sales")
 REVENUE_BY_COUNTRY = Table("gold", "revenue_by_country")

@@ -503,6 +503,19 @@ again AS (
         ),
         "src_json_multiline": """SELECT CAST(p_partkey AS VARCHAR) AS product_id,
             p_name AS product_name, p_type AS category, p_retailprice AS unit_price FROM part""",
+        "contract_feed": """
+WITH c AS (
+  SELECT c_custkey AS k, c_custkey % 3 AS load, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+),
+r AS (
+  SELECT *, CASE WHEN load < 2 THEN NULL WHEN k % 5 = 0 THEN 'malformed'
+    ELSE nullif(concat_ws('; ', CASE WHEN k % 7 = 0 THEN 'retyped: nation' END,
+                                CASE WHEN k % 11 = 0 THEN 'missing: party_id' END), '') END AS reason
+  FROM c
+)
+SELECT 'accepted' AS part, k AS party_id, c_name AS name, c_nationkey AS nation, CASE WHEN load = 1 THEN c_acctbal END AS balance,
+       CASE WHEN load = 1 THEN c_mktsegment END AS segment, reason FROM r WHERE reason IS NULL
+UNION ALL SELECT 'refused', NULL, NULL, NULL, NULL, NULL, reason FROM r WHERE reason IS NOT NULL""",
         "lineage_columns": """SELECT c_custkey, c_name, '2025-01-01 00:00:00' AS _ingested_at,
             'customer.parquet' AS _source_file FROM customer""",
         "sink_append_merge_schema": f"""{parties.replace(' FROM', ', NULL::DOUBLE AS balance FROM')}
@@ -553,6 +566,7 @@ streamed AS (
     }
     revenue = "CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE)"
     sql["medallion_metrics"] = sql["gate_metrics"]
+    sql["scd2_incremental"] = sql["scd2_customer"]
     sql["sink_by_name"] = sql["sink_append_merge_schema"]
     sql["medallion_values"] = _with(
         JUDGED + "," + CUSTOMERS,

@@ -7,14 +7,15 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from siltgate.functions.expressions import exact_sum
 from siltgate.operators import audit, checks, conform, gate, history, kpi, repeats, star
 from siltgate.operators.reprocess import reprocess
-from siltgate.plans import medallion, recovery
+from siltgate.plans import dimension, medallion, recovery
 from siltgate.plans.sizing import Limits, scratch_path, stored
+from siltgate.sources import contract, raw
 from siltgate.sources import lake as tables
-from siltgate.sources import raw
 from siltgate.sources.lake import CatalogLake, Lake, Table
 from siltgate.streaming import gated
 from siltgate.workload import files
@@ -419,6 +420,22 @@ def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same periods from three batches: orders up to 1998, later ones, and some of all years too late."""
+    orders, late = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 25 == 0
+    old = F.year("o_orderdate") <= 1998
+    batches = [orders.where(~late & old), orders.where(~late & ~old), orders.where(late)]
+    lake, kept = _lake(spark), Table("silver", "customer_priority")
+    log = batches[0]
+    for i, batch in enumerate(batches):
+        log = log.union(batch) if i else log
+        dimension.merge(
+            lake, kept, batch, log, "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderpriority"], F.trunc("o_orderdate", "year"), 8
+        )
+    shown = lake.read(kept).select("o_custkey", "o_orderpriority", "valid_from", "valid_to", "is_current")
+    return shown.withColumns({c: F.date_format(c, SECONDS) for c in ("valid_from", "valid_to")})
+
+
 # --- sources, sinks, versions -----------------------------------------------
 
 
@@ -434,6 +451,42 @@ def src_json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.read_json_raw(spark, path).drop("chunk")
 
 
+PARTY_CONTRACT = StructType(
+    [
+        StructField("party_id", LongType(), nullable=False),
+        StructField("name", StringType()),
+        StructField("nation", IntegerType()),
+        StructField("balance", DoubleType()),
+    ]
+)
+
+
+def contract_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in three loads: one lacks the balance, one has a segment more, one has retyped nations,
+    lines with a column too many and lines without an id. Accepted and refused rows in one list."""
+    customer = table(spark, sf_dir, "customer")
+    key, load = F.col("c_custkey"), F.col("c_custkey") % 3
+    base = [key.alias("party_id"), F.col("c_name").alias("name")]
+    narrow = customer.where(load == 0).select(*base, F.col("c_nationkey").alias("nation"))
+    wide = customer.where(load == 1).select(
+        *base, F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance")
+    )
+    # Written without quotes, so that a comma in a name is a column too many.
+    broken = customer.where(load == 2).select(
+        F.when(key % 11 == 0, F.lit("")).otherwise(key.cast("string")).alias("party_id"),
+        F.when(key % 5 == 0, F.concat("c_name", F.lit(",x"))).otherwise(F.col("c_name")).alias("name"),
+        F.when(key % 7 == 0, F.concat(F.lit("n/a "), F.col("c_nationkey").cast("string"))).otherwise(F.col("c_nationkey").cast("string")).alias("nation"),
+    )
+    loads = [files.as_csv(narrow, "narrow"), files.as_csv(wide, "wide"), scratch_path(spark, "broken")]
+    broken.write.option("header", True).option("quote", "\u0000").option("emptyValue", "").csv(loads[2])
+    read = contract.read_csv(spark, loads, PARTY_CONTRACT)
+    accepted = read.accepted.select(
+        F.lit("accepted").alias("part"), "party_id", "name", "nation", "balance", F.element_at(contract.RESCUED, "segment").alias("segment"), F.lit(None).cast("string").alias("reason")
+    )
+    nothing = [F.lit(None).cast(t) for t in ("bigint", "string", "int", "double", "string")]
+    return accepted.union(read.refused.select(F.lit("refused"), *nothing, contract.REASON))
+
+
 def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", F.col("_metadata.file_name").alias("_file")
@@ -692,8 +745,8 @@ def queries() -> dict[str, Query]:
         reasons_for_run, layer_counts, distinct_keys, audit_duplicates, audit_clean_fraction,
         audit_report, version_diff, freshness_by_source, volume_by_source, period_over_period,
         volume_anomaly, period_gaps, volume_outages, late_sources, sla_breaches, idempotent_append,
-        profile_columns, profile_values, scd2_customer, src_csv_all_string,
-        src_json_multiline, lineage_columns, sink_append_merge_schema, sink_by_name, sink_overwrite, table_as_of,
+        profile_columns, profile_values, scd2_customer, scd2_incremental, src_csv_all_string,
+        src_json_multiline, contract_feed, lineage_columns, sink_append_merge_schema, sink_by_name, sink_overwrite, table_as_of,
         table_restore, medallion_run, medallion_metrics, medallion_values, recovered_tables, streaming_gate,
         skewed_prepared_orders, skewed_dedup_rank, skewed_fk_customer, skewed_revenue_by_country, skewed_append,
     ]
