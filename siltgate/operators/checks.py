@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.functions.expressions import is_present, within
+from siltgate.plans import bloom
 from siltgate.plans.lookup import lookup
 from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, broadcasts, stored
 
@@ -161,7 +162,9 @@ def key_exists(
     A reference within the broadcast limit is broadcast. Beyond it only distinct keys
     are shuffled first: the keys that are "missing" (or "present", whichever ``rare``
     says is the exception) are stored, and if those can be broadcast, the rows of
-    ``df`` are never shuffled at all. Otherwise the rows are joined by ``lookup``.
+    ``df`` are never shuffled at all. Otherwise a Bloom filter of the reference keys, of
+    bounded size, decides the rows that cannot match where they stand, and only the rest is
+    joined by ``lookup``.
 
     ``probe`` must hold every key of ``df`` and is cheaper to read twice.
     """
@@ -182,9 +185,17 @@ def key_exists(
                 found = given & ~found
             joined = df.join(F.broadcast(marked), keys, "left").withColumn(into, found)
             return joined.select(*[c for c in df.columns if c != into], into)
-    flagged = lookup(df, known.withColumn("_known", F.lit(True)), keys, "left", limits, probe)
-    flagged = flagged.withColumn(into, F.coalesce("_known", F.lit(False)))
-    return flagged.select(*[c for c in df.columns if c != into], into)
+    shown = [*[c for c in df.columns if c != into], into]
+    if broadcasts(known, limits):
+        flagged = lookup(df, known.withColumn("_known", F.lit(True)), keys, "left", limits, probe)
+        return flagged.withColumn(into, F.coalesce("_known", F.lit(False))).select(*shown)
+    known = stored(known, "reference-keys")
+    words = bloom.words_for(known.count())
+    sifted = bloom.flag(df, keys, bloom.build(known, keys, words), words, "_possible")
+    possible = sifted.where("_possible").drop("_possible")
+    flagged = lookup(possible, known.withColumn("_known", F.lit(True)), keys, "left", limits, probe)
+    flagged = flagged.withColumn(into, F.coalesce("_known", F.lit(False))).select(*shown)
+    return flagged.union(sifted.where("NOT _possible").withColumn(into, F.lit(False)).select(*shown))
 
 
 def orphans(

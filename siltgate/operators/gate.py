@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siltgate.operators.checks import HARD, Check, Exists, Repeated, Typed, key_exists
@@ -137,12 +138,42 @@ def quarantine(rejected: DataFrame, run_id: str | Column) -> DataFrame:
     )
 
 
-def tally(evaluated: DataFrame, checks: Sequence[Check], by: Sequence[str | Column] = ()) -> DataFrame:
-    """One wide row (per group): rows seen and rows that hold each check. One pass over the data."""
-    return evaluated.groupBy(*by).agg(
+def _tallies(checks: Sequence[Check]) -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("rows_evaluated"),
         *[F.count_if(_verdict(c)).alias(f"_held_{i}") for i, c in enumerate(checks)],
-    )
+    ]
+
+
+def tally(evaluated: DataFrame, checks: Sequence[Check], by: Sequence[str | Column] = ()) -> DataFrame:
+    """One wide row (per group): rows seen and rows that hold each check. One pass over the data."""
+    return evaluated.groupBy(*by).agg(*_tallies(checks))
+
+
+@dataclass
+class Observed:
+    """The tallies of evaluated rows, filled in by the job that writes ``rows``; no scan of their own."""
+
+    rows: DataFrame
+    seen: Observation
+
+    def wide(self) -> DataFrame:
+        """The row of ``tally``. Waits for the job."""
+        counts = self.seen.get
+        names = [name for name in counts if name != "_clean"]
+        schema = ", ".join(f"{name} bigint" for name in names)
+        return self.rows.sparkSession.createDataFrame([tuple(counts[n] for n in names)], schema)
+
+    def split_counts(self) -> tuple[int, int]:
+        """Clean and rejected rows."""
+        counts = self.seen.get
+        return counts["_clean"], counts["rows_evaluated"] - counts["_clean"]
+
+
+def observe(evaluated: DataFrame, checks: Sequence[Check]) -> Observed:
+    """Evaluated rows whose next action also counts them and every check. The first action decides."""
+    seen = Observation()
+    return Observed(evaluated.observe(seen, *_tallies(checks), F.count_if(F.col(PASSED)).alias("_clean")), seen)
 
 
 def spread(wide: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -173,12 +204,19 @@ def metrics(
 
     With ``by``, ``run_id`` and ``measured_at`` may be columns of the group.
     """
+    return rates(tally(evaluated, checks, by), checks, run_id, dataset, measured_at)
+
+
+def rates(
+    wide: DataFrame, checks: Sequence[Check], run_id: str | Column, dataset: str, measured_at: datetime | Column | None = None
+) -> DataFrame:
+    """The metric rows of wide tallies, counted by ``tally`` or observed while the rows were written."""
     if measured_at is None:
         measured_at = F.current_timestamp()
     elif isinstance(measured_at, datetime):
         measured_at = F.lit(measured_at)
     total, held = F.col("rows_evaluated"), F.col("rows_passed")
-    return spread(tally(evaluated, checks, by), checks).select(
+    return spread(wide, checks).select(
         (F.lit(run_id) if isinstance(run_id, str) else run_id).alias("run_id"),
         F.lit(dataset).alias("dataset"),
         "rule_name",

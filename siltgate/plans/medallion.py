@@ -1,8 +1,8 @@
 """Raw files to bronze, through the gate to silver and quarantine, and on to gold.
 
-Rows are judged once: the evaluated rows are written as a candidate, and the audit,
-the metrics, silver and quarantine all read that. Silver gets a new version only
-when the audit holds.
+Rows are judged once: the evaluated rows are written as a candidate, and that write counts
+what the metrics need. The audit, silver and quarantine read the candidate, each once. Silver
+gets a new version only when the audit holds.
 """
 
 from __future__ import annotations
@@ -152,10 +152,12 @@ def build_silver(
     customers, products = stored(customers, "customers"), stored(products, "products")
     checks = order_checks(products, customers, arrival)
     judged = gate.judge(lake.read(tables.BRONZE_ORDERS), checks, limits)
-    lake.overwrite(judged.select(*CANDIDATE_COLUMNS), tables.ORDERS_CANDIDATE)
+    # The write counts what metrics and summary need.
+    observed = gate.observe(judged.select(*CANDIDATE_COLUMNS), checks)
+    lake.overwrite(observed.rows, tables.ORDERS_CANDIDATE)
     candidate = lake.read(tables.ORDERS_CANDIDATE)
 
-    measured = gate.metrics(candidate, checks, run_id, "orders", measured_at)
+    measured = gate.rates(observed.wide(), checks, run_id, "orders", measured_at)
     append_run(lake, measured, tables.DQ_METRICS, run_id)
     clean, rejected = gate.split(candidate)
     append_run(lake, gate.quarantine(rejected, run_id), tables.QUARANTINE_ORDERS, run_id)
@@ -167,8 +169,7 @@ def build_silver(
     lake.overwrite(products, tables.SILVER_PRODUCTS)
     lake.overwrite(guard(gate.publishable(clean), silver_guards()), tables.SILVER_ORDERS)
 
-    counted = audit.clean_fraction(candidate).first()
-    return Summary(run_id, counted["clean_rows"], counted["quarantined_rows"])
+    return Summary(run_id, *observed.split_counts())
 
 
 def build_gold(lake: Lake | CatalogLake, limits: Limits = DEFAULT_LIMITS) -> None:

@@ -611,6 +611,11 @@ remaining AS (
     )
     sql["skewed_prepared_orders"] = sql["prepared_orders"]
     sql["skewed_fk_customer"] = sql["fk_customer_exists"]
+    sql["skewed_fk_sparse"] = _with(
+        SALES,
+        """SELECT order_id, product_id, product_id IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size <= 5) AS is_small
+        FROM sales""",
+    )
     sql["skewed_revenue_by_country"] = sql["revenue_by_country"]
     sql["skewed_append"] = sql["idempotent_append"]
     sql["skewed_dedup_rank"] = _with(

@@ -725,6 +725,13 @@ def skewed_fk_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.key_exists(sales, ["customer_id"], raw_customers(spark, sf_dir), "customer_exists", SKEWED)
 
 
+def skewed_fk_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines against the tenth of the parts that are smallest: neither these nor the missing keys are broadcast."""
+    sales = raw_sales(spark, sf_dir).select("order_id", "product_id")
+    small = table(spark, sf_dir, "part").where("p_size <= 5").selectExpr("CAST(p_partkey AS STRING) AS product_id")
+    return checks.key_exists(sales, ["product_id"], small, "is_small", SKEWED)
+
+
 def skewed_revenue_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.revenue_by_country(fact_sales(spark, sf_dir), customers(spark, sf_dir), SKEWED)
 
@@ -748,7 +755,7 @@ def queries() -> dict[str, Query]:
         profile_columns, profile_values, scd2_customer, scd2_incremental, src_csv_all_string,
         src_json_multiline, contract_feed, lineage_columns, sink_append_merge_schema, sink_by_name, sink_overwrite, table_as_of,
         table_restore, medallion_run, medallion_metrics, medallion_values, recovered_tables, streaming_gate,
-        skewed_prepared_orders, skewed_dedup_rank, skewed_fk_customer, skewed_revenue_by_country, skewed_append,
+        skewed_prepared_orders, skewed_dedup_rank, skewed_fk_customer, skewed_fk_sparse, skewed_revenue_by_country, skewed_append,
     ]
     return (
         {query.__name__: query for query in named}
