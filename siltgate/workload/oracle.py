@@ -113,6 +113,34 @@ metrics AS (
 )"""
 
 
+def _suggested() -> str:
+    """What holds for every row, found without sketches."""
+    numbers = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount")
+    discrete = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    every = [*numbers, "l_returnflag", "l_linestatus"]
+    keys = {"orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey", "customer": "c_custkey"}
+    parts = []
+    for source, columns in (("lineitem", every), ("orders", ["o_orderkey"])):
+        for c in columns:
+            head = f"SELECT '{source}' AS table_name, '{c}' AS column_name"
+            parts.append(f"{head}, 'not_null' AS rule, NULL AS detail FROM {source} HAVING count(*) = count({c}) AND count(*) > 0")
+            parts.append(f"{head}, 'key', NULL FROM {source} HAVING count(DISTINCT {c}) = count(*) AND count(*) > 0")
+            if c in numbers or source == "orders":
+                parts.append(f"{head}, CASE WHEN min({c}) > 0 THEN 'positive' ELSE 'not_negative' END, NULL FROM {source} HAVING min({c}) >= 0")
+            if c in discrete or source == "orders":
+                parts.append(
+                    f"{head}, 'one_of', string_agg(v, '|' ORDER BY v) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM {source})"
+                    " HAVING count(*) BETWEEN 1 AND 20"
+                )
+    for c in discrete[:4]:
+        for name, key in keys.items():
+            parts.append(
+                f"SELECT 'lineitem', '{c}', 'references', '{name}' FROM lineitem"
+                f" HAVING count(*) FILTER (WHERE {c} NOT IN (SELECT {key} FROM {name})) = 0"
+            )
+    return " UNION ALL ".join(parts)
+
+
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select.strip()}"
 
@@ -566,6 +594,7 @@ streamed AS (
     }
     revenue = "CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE)"
     sql["medallion_metrics"] = sql["gate_metrics"]
+    sql["suggested_rules"] = _suggested()
     sql["scd2_incremental"] = sql["scd2_customer"]
     sql["sink_by_name"] = sql["sink_append_merge_schema"]
     sql["medallion_values"] = _with(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from siltgate.functions.expressions import exact_sum
-from siltgate.operators import audit, checks, conform, gate, history, kpi, repeats, star
+from siltgate.operators import audit, checks, conform, gate, history, kpi, repeats, sketches, star
 from siltgate.operators.reprocess import reprocess
 from siltgate.plans import dimension, medallion, recovery
 from siltgate.plans.sizing import Limits, scratch_path, stored
@@ -403,6 +403,24 @@ def profile_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.profile(typed_orders(spark, sf_dir), TYPED, exact=True)
 
 
+SKETCHED = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus")
+REFERENCES = {"orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey", "customer": "c_custkey"}
+
+
+def suggested_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules for order lines from the stored sketches of three loads, and for orders from one."""
+    lines = table(spark, sf_dir, "lineitem")
+    loads = [sketches.sketch(lines.where(F.col("l_linenumber") % 3 == i), SKETCHED) for i in range(3)]
+    united = stored(sketches.unite(stored(loads[0].union(loads[1]).union(loads[2]), "sketches")), "united")
+    references = {}
+    for name, key in REFERENCES.items():
+        known = table(spark, sf_dir, name)
+        references[name] = sketches.Reference(known, key, stored(sketches.sketch(known, [key]), "sketches"))
+    orders = references["orders"]
+    of_lines = sketches.suggest(lines, united, references).select(F.lit("lineitem").alias("table_name"), "*")
+    return of_lines.union(sketches.suggest(orders.table, orders.united).select(F.lit("orders"), "*"))
+
+
 def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periods in which a customer's newest order had one priority."""
     rows = history.scd2(
@@ -752,7 +770,7 @@ def queries() -> dict[str, Query]:
         reasons_for_run, layer_counts, distinct_keys, audit_duplicates, audit_clean_fraction,
         audit_report, version_diff, freshness_by_source, volume_by_source, period_over_period,
         volume_anomaly, period_gaps, volume_outages, late_sources, sla_breaches, idempotent_append,
-        profile_columns, profile_values, scd2_customer, scd2_incremental, src_csv_all_string,
+        profile_columns, profile_values, suggested_rules, scd2_customer, scd2_incremental, src_csv_all_string,
         src_json_multiline, contract_feed, lineage_columns, sink_append_merge_schema, sink_by_name, sink_overwrite, table_as_of,
         table_restore, medallion_run, medallion_metrics, medallion_values, recovered_tables, streaming_gate,
         skewed_prepared_orders, skewed_dedup_rank, skewed_fk_customer, skewed_fk_sparse, skewed_revenue_by_country, skewed_append,
