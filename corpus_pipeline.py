@@ -28,8 +28,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+# A passage of more than 50 words is seldom shorter in UTF-8.
+PASSAGE_BYTES = 250
+
+
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that repeat elsewhere; characters cut in two go whole, n_chars follows.
+    """Texts without the bytes that repeat elsewhere in strings of PASSAGE_BYTES; characters cut in two go whole, n_chars follows.
 
     Every document stays, with an empty text if nothing is left; NULL texts stay NULL.
     """
@@ -37,7 +41,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     left = F.make_valid_utf8(F.col(cut)["kept"].cast("string"))
     # Cuts can split a character; the replacement of the halves is taken out again.
     whole = F.when(F.contains("text", F.lit("�")), left).otherwise(F.translate(left, "�", ""))
-    shorter = suffixes.remove_repeats(docs, into=cut).withColumn("text", F.when(F.col("text").isNotNull(), F.when(F.col(cut)["n_removed"] > 0, whole).otherwise(F.col("text"))))
+    shorter = suffixes.remove_repeats(docs, into=cut, length=PASSAGE_BYTES).withColumn("text", F.when(F.col("text").isNotNull(), F.when(F.col(cut)["n_removed"] > 0, whole).otherwise(F.col("text"))))
     if "n_chars" in docs.columns:
         shorter = shorter.withColumn("n_chars", F.when(F.col(cut)["n_removed"] > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return shorter.select(*docs.columns)
