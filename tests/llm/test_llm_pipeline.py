@@ -77,6 +77,15 @@ def test_a_cut_character_goes_whole(spark, folder):
     assert made[1]["n_chars"] == 2 and made[4]["text"].startswith("\ufffd")
 
 
+def test_passages_of_over_fifty_words_go(spark, folder):
+    """52 words in 285 bytes, which strings of 400 bytes would not reach."""
+    passage = " ".join(f"w{i:03}" if i % 2 else f"word{i:02}" for i in range(52))
+    assert 250 < len(passage) < 400
+    rows = [(i, " ".join(f"own{i}{j}" for j in range(40)) + " " + passage + f" end{i}", "en", "s", 1) for i in range(3)]
+    kept = pipeline.repeated_passages(spark, cases.frame(spark, rows), folder)
+    assert all("word24" not in r["text"] and f"own{r['doc_id']}0" in r["text"] and r["text"].endswith(str(r["doc_id"])) for r in kept.collect())
+
+
 def test_every_operator_is_registered():
     names = queries.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
