@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +91,16 @@ def annotate(
     return df.mapInArrow(run, schema)
 
 
+def one_thread() -> None:
+    """Keeps numpy's matrix products on the task's own thread: Spark runs a task on each core, more threads spin in vain."""
+    for path in Path(np.__file__).parent.with_name("numpy.libs").glob("*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     out = np.ones(n, np.uint64)

@@ -20,12 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
-from siltgate.llm.base import annotate, slices
+from siltgate.llm.base import annotate, one_thread, slices, with_row_ids
 from siltgate.plans.sizing import stored
 
 END = "\n"  # no word holds white space
-CLASSES, PER_CLASS, HIDDEN = 128, 128, 16
-SYMBOLS = CLASSES * PER_CLASS  # the last one stands for all words without an output
+CLASSES, SYMBOLS, HIDDEN = 72, 1 << 14, 16  # the last symbol stands for all words without an output
 WINDOW = 32
 # Words whose counts travel with the jobs; the counts of rarer words are joined.
 FREQUENT = 1 << 16
@@ -113,9 +112,22 @@ def vocabulary(counted: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
     return Vocabulary({w: i for i, w in enumerate(words)}, counts, int(total), int(distinct))
 
 
+def _class_starts() -> np.ndarray:
+    """First symbol of each class. The end and the shared output are classes of their own, tokens there need no second softmax.
+
+    The classes between grow with the root of the rank: where a word's frequency falls with its rank,
+    that makes the mean size of a token's class the least.
+    """
+    n = CLASSES - 2
+    grown = ((SYMBOLS - 2) * (np.arange(n + 1) / n) ** 2).astype(np.int64)
+    return np.concatenate([[0], 1 + np.maximum(grown, np.arange(n + 1)), [SYMBOLS]])
+
+
+START = _class_starts()
+KIND = np.repeat(np.arange(CLASSES), np.diff(START))
 SHAPES = {
     "embed": (SYMBOLS, HIDDEN), "read": (HIDDEN, 3 * HIDDEN), "bias": (3 * HIDDEN,), "recur": (HIDDEN, 3 * HIDDEN),
-    "classes": (HIDDEN, CLASSES), "class_bias": (CLASSES,), "words": (CLASSES, HIDDEN, PER_CLASS), "word_bias": (CLASSES, PER_CLASS),
+    "classes": (HIDDEN, CLASSES), "class_bias": (CLASSES,), "words": (SYMBOLS, HIDDEN), "word_bias": (SYMBOLS,),
 }
 
 
@@ -123,10 +135,10 @@ def initial(own_counts: np.ndarray) -> dict[str, np.ndarray]:
     """Small random weights from a fixed seed; the output biases are the log frequencies."""
     rng = np.random.default_rng(10)
     out = {k: (rng.standard_normal(s) * 0.1).astype(np.float32) for k, s in SHAPES.items()}
-    by_class = own_counts.reshape(CLASSES, PER_CLASS)
+    by_class = np.add.reduceat(own_counts, START[:-1])
     out["bias"][:] = 0
-    out["class_bias"] = np.log(by_class.sum(axis=1) / by_class.sum()).astype(np.float32)
-    out["word_bias"] = np.log(by_class / by_class.sum(axis=1, keepdims=True)).astype(np.float32)
+    out["class_bias"] = np.log(by_class / by_class.sum()).astype(np.float32)
+    out["word_bias"] = np.log(own_counts / by_class[KIND]).astype(np.float32)
     return out
 
 
@@ -143,26 +155,37 @@ def _step(table: np.ndarray, recur: np.ndarray, h: np.ndarray, ids: np.ndarray)
     return n + z * (h - n), z, r, n, u
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
+def _log_softmax(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log probability of each row's target; ``x`` is used up and becomes the unnormalised probabilities."""
     x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+    hit = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    return hit - np.log(x.sum(axis=1))
 
 
-def _by_class(ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    kind = ids // PER_CLASS
+def _miss(x: np.ndarray, target: np.ndarray) -> float:
+    """Summed log probability of the targets; ``x`` becomes the gradient by the outputs."""
+    out = float(_log_softmax(x, target).sum())
+    x /= x.sum(axis=1, keepdims=True)
+    x[np.arange(len(x)), target] -= 1
+    return out
+
+
+def _by_class(ids: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first symbol, symbol after the last, where) of each class of several symbols that ``ids`` meet."""
+    kind = KIND[ids]
     order = np.argsort(kind, kind="stable")
     cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
-        if cuts[c + 1] > cuts[c]:
-            yield c, order[cuts[c] : cuts[c + 1]]
+        if cuts[c + 1] > cuts[c] and START[c + 1] - START[c] > 1:
+            yield START[c], START[c + 1], order[cuts[c] : cuts[c + 1]]
 
 
 def log_probability(w: dict[str, np.ndarray], states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log probability of each symbol, given the state before it."""
-    out = _log_softmax(states @ w["classes"] + w["class_bias"])[np.arange(len(ids)), ids // PER_CLASS]
-    for c, at in _by_class(ids):
-        out[at] += _log_softmax(states[at] @ w["words"][c] + w["word_bias"][c])[np.arange(len(at)), ids[at] % PER_CLASS]
+    out = _log_softmax(states @ w["classes"] + w["class_bias"], KIND[ids])
+    for a, b, at in _by_class(ids):
+        out[at] += _log_softmax(states[at] @ w["words"][a:b].T + w["word_bias"][a:b], ids[at] - a)
     return out
 
 
@@ -180,36 +203,43 @@ def train(w: dict[str, np.ndarray], ids: np.ndarray, rate: float = RATE) -> tupl
     stream = ids[: lanes * length].reshape(lanes, length).T
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     h, loss, step = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0
+
+    def adam(k: str, g: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
+        g /= lanes
+        np.clip(g, -1, 1, out=g)
+        m, v = first[k][rows], second[k][rows]
+        m += 0.1 * (g - m)
+        g *= g
+        v += 0.001 * (g - v)
+        first[k][rows], second[k][rows] = m, v
+        w[k][rows] -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+
     for at in range(0, length, WINDOW):
         step += 1
         window = stream[at : at + WINDOW]
-        table = w["embed"] @ w["read"] + w["bias"]
+        # Only the symbols that the window reads are looked up, and only their rows change.
+        own, spot = np.unique(window, return_inverse=True)
+        spot = spot.reshape(window.shape)
+        table = w["embed"][own] @ w["read"] + w["bias"]
         states, kept = [], []
-        for read in window:
+        for t, read in enumerate(window):
             states.append(h)
-            after, z, r, n, u = _step(table, w["recur"], h, read)
+            after, z, r, n, u = _step(table, w["recur"], h, spot[t])
             kept.append((z, r, n, u))
             h = after * (read != 0)[:, None]
         before, flat = np.concatenate(states), window.ravel()
-        grad = {k: np.zeros_like(v) for k, v in w.items()}
-        size = len(flat)
-        rows = np.arange(size)
-        log_p = _log_softmax(before @ w["classes"] + w["class_bias"])
-        loss -= float(log_p[rows, flat // PER_CLASS].sum())
-        off = np.exp(log_p)
-        off[rows, flat // PER_CLASS] -= 1
-        grad["classes"], grad["class_bias"] = before.T @ off, off.sum(axis=0)
+        off = before @ w["classes"] + w["class_bias"]
+        loss -= _miss(off, KIND[flat])
         down = off @ w["classes"].T
-        for c, where in _by_class(flat):
-            log_p = _log_softmax(before[where] @ w["words"][c] + w["word_bias"][c])
-            mine = np.arange(len(where))
-            loss -= float(log_p[mine, flat[where] % PER_CLASS].sum())
-            off = np.exp(log_p)
-            off[mine, flat[where] % PER_CLASS] -= 1
-            grad["words"][c], grad["word_bias"][c] = before[where].T @ off, off.sum(axis=0)
-            down[where] += off @ w["words"][c].T
+        grad = {"classes": before.T @ off, "class_bias": off.sum(axis=0)}
+        grad["words"], grad["word_bias"] = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
+        for a, b, where in _by_class(flat):
+            off = before[where] @ w["words"][a:b].T + w["word_bias"][a:b]
+            loss -= _miss(off, flat[where] - a)
+            grad["words"][a:b], grad["word_bias"][a:b] = off.T @ before[where], off.sum(axis=0)
+            down[where] += off @ w["words"][a:b]
         down = down.reshape(len(window), lanes, HIDDEN)
-        table_grad = np.zeros_like(table)
+        inputs, recurrent = [None] * len(window), [None] * len(window)
         back = np.zeros((lanes, HIDDEN), np.float32)
         for t in range(len(window) - 1, -1, -1):
             z, r, n, u = kept[t]
@@ -218,18 +248,17 @@ def train(w: dict[str, np.ndarray], ids: np.ndarray, rate: float = RATE) -> tupl
             n_in = back * (1 - z) * (1 - n * n)
             z_in = back * (prior - n) * z * (1 - z)
             r_in = n_in * u[:, 2 * HIDDEN :] * r * (1 - r)
-            a_in = np.concatenate([z_in, r_in, n_in], axis=1)
-            u_in = np.concatenate([z_in, r_in, n_in * r], axis=1)
-            np.add.at(table_grad, window[t], a_in)
-            grad["recur"] += prior.T @ u_in
-            back = back * z + u_in @ w["recur"].T + down[t]
-        grad["embed"], grad["read"], grad["bias"] = table_grad @ w["read"].T, w["embed"].T @ table_grad, table_grad.sum(axis=0)
+            inputs[t] = np.concatenate([z_in, r_in, n_in], axis=1)
+            recurrent[t] = np.concatenate([z_in, r_in, n_in * r], axis=1)
+            back = back * z + recurrent[t] @ w["recur"].T + down[t]
+        grad["recur"] = before.T @ np.concatenate(recurrent)
+        order = np.argsort(spot.ravel(), kind="stable")
+        heads = np.searchsorted(spot.ravel()[order], np.arange(len(own)))
+        table_grad = np.add.reduceat(np.concatenate(inputs)[order], heads, axis=0)
+        grad["read"], grad["bias"] = w["embed"][own].T @ table_grad, table_grad.sum(axis=0)
+        adam("embed", table_grad @ w["read"].T, own)
         for k, g in grad.items():
-            g /= lanes
-            np.clip(g, -1, 1, out=g)
-            first[k] += 0.1 * (g - first[k])
-            second[k] += 0.001 * (g * g - second[k])
-            w[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+            adam(k, g)
     return w, loss / (lanes * length)
 
 
@@ -248,6 +277,7 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 def _learner(weights: dict[str, np.ndarray], symbol: dict[bytes, int]) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        one_thread()
         parts: list[np.ndarray] = []
         for one in rows["text"].sort_values():
             parts.append(np.array([symbol.get(x, SYMBOLS - 1) for x in one.encode().lower().split()] + [0], np.int64))
@@ -267,7 +297,9 @@ def fit(docs: DataFrame, vocab: Vocabulary, key: str, text: str, share: float =
     """
     if not vocab.total:
         return None
-    drawn = F.shiftrightunsigned(F.xxhash64(F.lit(10), F.col(key).cast("string"), F.octet_length(text)), 11).cast("double") / float(1 << 53)
+    # The place in the file is hashed too, so that repeated rows and rows without a key spread over the groups.
+    docs, (_, place) = with_row_ids(docs)
+    drawn = F.shiftrightunsigned(F.xxhash64(F.lit(10), F.col(key).cast("string"), F.octet_length(text), place), 11).cast("double") / float(1 << 53)
     picked = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), (drawn / share).alias("h")).where("h < 1")
     weights = initial(vocab.own_counts)
     for turn in range(rounds):
@@ -325,6 +357,7 @@ def _score_slice(w: dict[str, np.ndarray], table: np.ndarray, docs: list[np.ndar
 
 def _scorer(vocab: Vocabulary, w: dict[str, np.ndarray] | None) -> Callable[[], Callable[[pa.Array], list[pa.Array]]]:
     def start():
+        one_thread()
         table = w["embed"] @ w["read"] + w["bias"] if w else None
         # Frequent words and the end, each with its log count and its symbol; -1 is any other word.
         known = dict(vocab.frequent)
