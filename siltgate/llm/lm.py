@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from math import ceil, log10
 
 import numpy as np
@@ -34,7 +35,9 @@ GROUP_BYTES = 8 << 20
 # A group has at most LANES lanes, and fewer where it would otherwise take less than STEPS steps.
 LANES, STEPS, RATE = 256, 16, 0.01
 # Bytes of text whose documents are scored side by side.
-SIDE_BY_SIDE = 2 << 20
+SIDE_BY_SIDE = 8 << 20
+# Tokens whose class outputs are worked on at once, so that they stay in a core's cache.
+AT_ONCE = 1024
 PSEUDO = 0.1
 RARE = StructType().add("word", StringType()).add("n", LongType())
 FIELDS = (
@@ -183,7 +186,10 @@ def _by_class(ids: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
 
 def log_probability(w: dict[str, np.ndarray], states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log probability of each symbol, given the state before it."""
-    out = _log_softmax(states @ w["classes"] + w["class_bias"], KIND[ids])
+    kind, out = KIND[ids], np.zeros(len(ids), w["classes"].dtype)
+    for i in range(0, len(ids), AT_ONCE):
+        part = slice(i, i + AT_ONCE)
+        out[part] = _log_softmax(states[part] @ w["classes"] + w["class_bias"], kind[part])
     for a, b, at in _by_class(ids):
         out[at] += _log_softmax(states[at] @ w["words"][a:b].T + w["word_bias"][a:b], ids[at] - a)
     return out
@@ -228,11 +234,15 @@ def train(w: dict[str, np.ndarray], ids: np.ndarray, rate: float = RATE) -> tupl
             kept.append((z, r, n, u))
             h = after * (read != 0)[:, None]
         before, flat = np.concatenate(states), window.ravel()
-        off = before @ w["classes"] + w["class_bias"]
-        loss -= _miss(off, KIND[flat])
-        down = off @ w["classes"].T
-        grad = {"classes": before.T @ off, "class_bias": off.sum(axis=0)}
-        grad["words"], grad["word_bias"] = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
+        kind, down = KIND[flat], np.empty_like(before)
+        grad = {k: np.zeros_like(w[k]) for k in ("classes", "class_bias", "words", "word_bias")}
+        for i in range(0, len(flat), AT_ONCE):
+            part = slice(i, i + AT_ONCE)
+            off = before[part] @ w["classes"] + w["class_bias"]
+            loss -= _miss(off, kind[part])
+            down[part] = off @ w["classes"].T
+            grad["classes"] += before[part].T @ off
+            grad["class_bias"] += off.sum(axis=0)
         for a, b, where in _by_class(flat):
             off = before[where] @ w["words"][a:b].T + w["word_bias"][a:b]
             loss -= _miss(off, flat[where] - a)
@@ -280,7 +290,7 @@ def _learner(weights: dict[str, np.ndarray], symbol: dict[bytes, int]) -> Callab
         one_thread()
         parts: list[np.ndarray] = []
         for one in rows["text"].sort_values():
-            parts.append(np.array([symbol.get(x, SYMBOLS - 1) for x in one.encode().lower().split()] + [0], np.int64))
+            parts.append(np.array([*map(symbol.get, one.encode().lower().split(), repeat(SYMBOLS - 1)), 0], np.int32))
         ids = np.concatenate(parts)
         learned, _ = train(weights, ids)
         return pd.DataFrame({"w": [_flat(learned).astype(np.float64)], "n": [float(len(ids))]})
@@ -336,7 +346,7 @@ def _score_slice(w: dict[str, np.ndarray], table: np.ndarray, docs: list[np.ndar
     for at in range(0, int(sizes[0]) if len(sizes) else 0, WINDOW):
         live = int(np.searchsorted(-sizes, -at, "left"))
         width = min(WINDOW, int(sizes[0]) - at)
-        ids = np.full((width, live), SYMBOLS - 1)
+        ids = np.full((width, live), SYMBOLS - 1, np.int32)
         for i in range(live):
             piece = docs[order[i]][at : at + width]
             ids[: len(piece), i] = piece
@@ -368,13 +378,17 @@ def _scorer(vocab: Vocabulary, w: dict[str, np.ndarray] | None) -> Callable[[],
         end = known.get(END.encode(), -1)
 
         def work(texts: pa.Array) -> list[pa.Array]:
-            out: list[list] = [[] for _ in FIELDS.fields]
+            out: list[list] = [[] for _ in range(6)]
+            rare_words, rare_counts, rare_upto = [], [], [0]
             for first, last, data, offsets in slices(texts, SIDE_BY_SIDE):
                 raw, docs, rows = data.tobytes().lower(), [], []
                 for i in range(last - first):
                     words = raw[offsets[i] : offsets[i + 1]].split()
-                    at = np.fromiter((known.get(x, -1) for x in words), np.int64, len(words))
+                    at = np.fromiter(map(known.get, words, repeat(-1)), np.int32, len(words))
                     rare = Counter(words[j] for j in np.flatnonzero(at < 0).tolist())
+                    rare_words += rare.keys()
+                    rare_counts += rare.values()
+                    rare_upto.append(len(rare_words))
                     at = np.append(at, end)
                     symbol = symbols[at]
                     symbol[-1] = 0
@@ -383,15 +397,14 @@ def _scorer(vocab: Vocabulary, w: dict[str, np.ndarray] | None) -> Callable[[],
                     rest = symbol == SYMBOLS - 1
                     log = logs[at]
                     rows.append((len(at), int(frequent.sum()), float(log[frequent].sum()) + (0.0 if frequent[-1] else log10(PSEUDO)),
-                                 float(log[frequent & rest].sum()), int(rest.sum()),
-                                 [{"word": x.decode(), "n": n} for x, n in rare.items()]))
+                                 float(log[frequent & rest].sum()), int(rest.sum())))
                 model = _score_slice(w, table, docs) / np.log(10) if w else np.zeros(len(docs))
                 for j in range(5):
                     out[j] += [r[j] for r in rows]
                 out[5] += model.tolist()
-                out[6] += [r[5] for r in rows]
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))]
-            return [pa.array(x, k) for x, k in zip(out, kinds, strict=True)]
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64()]
+            rare_pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()).cast(pa.string()), pa.array(rare_counts, pa.int64())], ["word", "n"])
+            return [*(pa.array(x, k) for x, k in zip(out, kinds, strict=True)), pa.ListArray.from_arrays(pa.array(rare_upto, pa.int32()), rare_pairs)]
 
         return work
 
