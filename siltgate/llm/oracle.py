@@ -67,12 +67,23 @@ WITH d AS (
 ), kept AS (
   SELECT rid, string_agg(hex(b[g.a + 1:coalesce(g.z, n_bytes)]), '' ORDER BY g.a) AS bytes
   FROM gaps g JOIN n USING (rid) WHERE coalesce(g.z, n_bytes) > g.a GROUP BY rid
+), wide AS (
+  SELECT rid, a - list_position([hex(b[a + 1 - k:a + 1 - k]) NOT BETWEEN '80' AND 'BF' FOR k IN range(0, 4)], true) + 1 AS a,
+         z - 1 + list_position([hex(b[z + 1 + k:z + 1 + k]) NOT BETWEEN '80' AND 'BF' FOR k IN range(0, 4)], true) AS z
+  FROM spans JOIN n USING (rid)
+), parts AS (
+  SELECT rid, z AS a, lead(a) OVER (PARTITION BY rid ORDER BY a) AS z FROM wide
+  UNION ALL SELECT rid, 0, min(a) FROM wide GROUP BY rid
+), left_over AS (
+  SELECT rid, string_agg(hex(b[g.a + 1:coalesce(g.z, n_bytes)]), '' ORDER BY g.a) AS chars
+  FROM parts g JOIN n USING (rid) WHERE coalesce(g.z, n_bytes) > g.a GROUP BY rid
 ), cut AS (
   SELECT rid, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY rid
 )
 SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(CASE WHEN n_removed IS NULL THEN b ELSE unhex(coalesce(bytes, '')) END) AS kept_sha256
-FROM n LEFT JOIN cut USING (rid) LEFT JOIN kept USING (rid)
+       sha256(CASE WHEN n_removed IS NULL THEN b ELSE unhex(coalesce(bytes, '')) END) AS kept_sha256,
+       decode(CASE WHEN n_removed IS NULL THEN b ELSE unhex(coalesce(chars, '')) END) AS text
+FROM n LEFT JOIN cut USING (rid) LEFT JOIN kept USING (rid) LEFT JOIN left_over USING (rid)
 """
 
 

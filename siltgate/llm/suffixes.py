@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructType
 
 from siltgate.llm.base import BASE, BASE_INVERSE, ODD, mix, powers, slices, with_row_ids
 from siltgate.plans.sizing import stored
@@ -216,20 +216,23 @@ def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH, task_suff
     source = docs.select(*ids, F.col(text).alias("t"))
     # First depth: RIGHT bytes after a sample. Shards' interval sizes are added; intervals of one suffix are closed.
     shards = docs.select(F.col(text).alias("t")).mapInArrow(_shard_intervals(length), "interval long, size long")
-    open_1 = stored(shards.groupBy("interval").agg(F.sum("size").alias("size")).where("size > 1").select("interval"), "intervals")
+    # Not stored: what the sum is dealt by is what the join needs.
+    open_1 = shards.groupBy("interval").agg(F.sum("size").alias("size")).where("size > 1").select("interval")
     rows = source.mapInArrow(_suffix_rows(length), ROW)
     suffixes = stored(rows.join(open_1, "interval", "left_semi"), "suffixes")
     # Full depth, to both sides: all windows of the suffix at once.
     # Strings that repeat are stored apart from the join: a very frequent one can then be split over tasks.
     full = suffixes.groupBy("whole").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("f", "r", "first")).alias("one"))
     repeating = stored(full.where("size > 1").drop("size"), "repeating-strings")
-    judged = stored(suffixes.join(repeating, "whole", "left").withColumn("closed", F.col("one").isNotNull()), "judged-suffixes")
+    is_one = F.coalesce(F.col("one") == F.struct("f", "r", "first"), F.lit(False))
+    judged = suffixes.join(repeating, "whole", "left").select("f", "r", "first", "last", "interval", F.col("one").isNotNull().alias("closed"), is_one.alias("is_one"))
+    judged = stored(judged, "judged-suffixes")
     covered = judged.where("closed").select("f", "r", "first", "last")
     # Suffixes that part from their interval on the way: each of their windows by itself, against those of the
     # same interval and one of each string that is known to repeat.
     parted = judged.where("NOT closed")
     classes = parted.groupBy("interval").agg(F.count(F.lit(1)).alias("parted"))
-    one_each = judged.where("closed AND one = struct(f, r, first)").join(classes, "interval", "left_semi")
+    one_each = judged.where("is_one").join(classes, "interval", "left_semi")
     asked = parted.select("interval", "f", "r", "first", "last", F.lit(True).alias("open")).unionByName(
         one_each.select("interval", "f", "r", "first", "last", F.lit(False).alias("open"))
     )
@@ -261,6 +264,7 @@ def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH, task_suff
 FIELDS = (
     StructType()
     .add("kept", BinaryType())
+    .add("text", StringType())
     .add("n_bytes", LongType())
     .add("n_removed", LongType())
     .add("n_spans", LongType())
@@ -268,6 +272,27 @@ FIELDS = (
 )
 
 
+def _without(raw: bytes, spans: list[list[int]]) -> bytes:
+    kept, at = [], 0
+    for a, b in spans:
+        kept.append(raw[at:a])
+        at = max(at, b)
+    kept.append(raw[at:])
+    return b"".join(kept)
+
+
+def _whole_characters(raw: bytes, spans: list[list[int]]) -> list[list[int]]:
+    """The spans, widened to the bounds of the characters that they cut in two."""
+    wide = []
+    for a, b in spans:
+        while a and raw[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b += 1
+        wide.append([a, b])
+    return wide
+
+
 def _cutter(length: int, text_at: int, starts_at: int, schema: StructType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,15 +308,11 @@ def _cutter(length: int, text_at: int, starts_at: int, schema: StructType):
                     heads = np.flatnonzero(np.concatenate([[True], first[1:] > upto[:-1]])) if len(first) else []
                     tails = np.concatenate([heads[1:] - 1, [len(first) - 1]]) if len(first) else []
                     spans = [[int(first[h]), int(upto[t])] for h, t in zip(heads, tails, strict=True)]
-                kept, at = [], 0
-                for a, b in spans:
-                    kept.append(raw[at:a])
-                    at = b
-                kept.append(raw[at:])
-                row = (b"".join(kept), len(raw), sum(b - a for a, b in spans), len(spans), [{"first": a, "after": b} for a, b in spans])
+                text = _without(raw, _whole_characters(raw, spans)).decode()
+                row = (_without(raw, spans), text, len(raw), sum(b - a for a, b in spans), len(spans), [{"first": a, "after": b} for a, b in spans])
                 for column, v in zip(made, row, strict=True):
                     column.append(v)
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))]
+            kinds = [pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))]
             result = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(made, kinds, strict=True)], FIELDS.names)
             keep = [c for i, c in enumerate(batch.columns) if i != starts_at]
             yield pa.RecordBatch.from_arrays([*keep, result], schema.names)
@@ -302,7 +323,7 @@ def _cutter(length: int, text_at: int, starts_at: int, schema: StructType):
 def remove_repeats(
     docs: DataFrame, text: str = "text", into: str = "_cut", length: int = LENGTH, task_suffixes: int = TASK_SUFFIXES
 ) -> DataFrame:
-    """``docs`` plus a struct ``into``: kept bytes, n_bytes, n_removed, n_spans and the removed byte spans.
+    """``docs`` plus a struct ``into``: kept bytes, the text of the characters kept whole, n_bytes, n_removed, n_spans and the removed byte spans.
 
     Removed is every byte covered by a string of ``length`` bytes that also starts anywhere else, in the
     same or another document; strings are judged on the input and never cross documents. NULL is empty;
