@@ -41,19 +41,19 @@ def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_merged_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.remove_repeats(docs).select(
-        "doc_id", "_cut.n_bytes", "_cut.n_removed", "_cut.n_spans", F.sha2("_cut.kept", 256).alias("kept_sha256")
+        "doc_id", "_cut.n_bytes", "_cut.n_removed", "_cut.n_spans", F.sha2("_cut.kept", 256).alias("kept_sha256"), "_cut.text"
     )
 
 
 def op5_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards, law ``rows``; NULL text counts no bytes, so size 16 and CRC 0."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # The texts move with their rows; size and CRC are taken of what arrived.
+    return sharding.shuffle_into(docs, SHARDS).select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16).alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-    )
-    return sharding.shuffle_into(docs, SHARDS).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 
@@ -72,6 +72,8 @@ def op8_lattice_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = pieces.load()
     encoded = pieces.encode(docs, model).select("doc_id", "text", F.col("_pieces.ids").alias("ids"))
+    # Stored between: a task runs one Python worker, and the encoder's tables are gone before decoding.
+    encoded = stored(encoded, "pieces")
     decoded = pieces.decode(encoded, model, "ids")
     return decoded.select(
         "doc_id",

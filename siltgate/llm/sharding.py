@@ -163,22 +163,24 @@ def shuffle_into(rows: DataFrame, shards: int, seed: int = 5, bucket_rows: int =
     """
     rows = rows.drop("shard", "slot")
     names = rows.columns
-    kept = stored(rows.select(F.spark_partition_id().cast("long").alias("_part"), F.monotonically_increasing_id().alias("_id"), F.struct(*names).alias("_row")), "blocks")
+    # Local permutation: each block is sorted by a random key where it stands, and numbered in that order.
+    mixed = rows.select(F.monotonically_increasing_id().alias("_id"), F.struct(*names).alias("_row"))
+    mixed = mixed.sortWithinPartitions(F.xxhash64(F.lit(seed), F.lit("cut"), "_id"), "_id")
+    rank = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    kept = stored(mixed.select(F.spark_partition_id().cast("long").alias("_part"), "_id", rank.alias("_rank"), "_row"), "blocks")
     counts = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
     counts = stored(counts, "block-sizes")
     total = counts.agg(F.sum("n")).first()[0] or 0
     sized = counts.select(F.col("_part").alias("block"), "n")
     drawn = matrix(sized, shards, total, seed) if total else sized.select("block", F.array().cast("array<long>").alias("row"))
-    # Local permutation, then cut: the first row[0] rows go to shard 0, the next row[1] to shard 1, ...
-    here = Window.partitionBy("_part").orderBy(F.xxhash64(F.lit(seed), F.lit("cut"), "_id"), "_id")
-    ranked = kept.withColumn("_rank", F.row_number().over(here).cast("long"))
+    # The cut: a block's first row[0] rows go to shard 0, the next row[1] to shard 1, ...
     drawn = drawn.select(
         F.col("block").alias("_part"),
         F.aggregate(
             "row", F.array().cast("array<long>"), lambda a, x: F.concat(a, F.array(x + F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0))))
         ).alias("_upto"),
     )
-    placed = ranked.join(drawn, "_part").select(
+    placed = kept.join(drawn, "_part").select(
         "_id", "_row", F.size(F.filter("_upto", lambda x: x < F.col("_rank"))).alias("shard"), F.xxhash64(F.lit(seed), F.lit("slot"), "_id").alias("_key")
     )
     # Second permutation: the order of the random key; ranges of it are ranked apart and shifted by the rows before them.
