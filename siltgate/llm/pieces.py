@@ -31,6 +31,8 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 DICTIONARY = 1 << 18
 # Characters of the longest unit that is encoded by joins; a fold keeps its boundaries in one long.
 UNIT_CHARS = 48
+# Encodings of rarer units that a task keeps.
+CACHED_UNITS = 1 << 16
 # Units that one task makes edges for.
 TASK_UNITS = 8192
 _MAP_BITS = 22
@@ -331,6 +333,18 @@ def dictionary(encoded: DataFrame, pieces: Pieces) -> Dictionary:
 def _encoder(pieces: Pieces, known: Dictionary) -> Callable[[], Callable[[pa.Array], list[pa.Array]]]:
     def start():
         size = np.diff(known.offsets)
+        # Rare units recur within a task; what is kept of them is bounded by number and length.
+        cache: dict[str, np.ndarray] = {}
+
+        def fold(unit: str) -> np.ndarray:
+            got = cache.get(unit)
+            if got is None:
+                got = np.array(fold_unit(unit, pieces), np.int32)
+                if len(unit) <= UNIT_CHARS:
+                    if len(cache) >= CACHED_UNITS:
+                        cache.clear()
+                    cache[unit] = got
+            return got
 
         def work(texts: pa.Array) -> list[pa.Array]:
             made, counts = [], []
@@ -341,7 +355,7 @@ def _encoder(pieces: Pieces, known: Dictionary) -> Callable[[], Callable[[pa.Arr
                 rare: dict[str, int] = {}
                 for i in np.flatnonzero(number < 0).tolist():
                     number[i] = len(known.number) + rare.setdefault(found[i], len(rare))
-                folded = [np.array(fold_unit(u, pieces), np.int32) for u in rare]
+                folded = [fold(u) for u in rare]
                 ids = np.concatenate([known.ids, *folded])
                 sizes = np.concatenate([size, np.array([len(f) for f in folded], np.int64)])
                 starts = np.cumsum(sizes) - sizes
