@@ -107,6 +107,10 @@ def blocks(page: str) -> list[Block]:
     parts: list[tuple[str, bool]] = []
     links = breaks = mains = 0
     excluded, inside = False, 0
+    # Where each open name stands in the stack, where its blocks do, and names whose end no longer follows: no tag searches.
+    places: dict[str, list[int]] = {}
+    open_blocks: list[int] = []
+    endless: set[str] = set()
 
     def flush() -> None:
         nonlocal breaks
@@ -117,13 +121,20 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(text, len("".join("".join(p for p, linked in parts if linked).split())), inside))
             parts.clear()
 
-    def close(at: int) -> None:
+    def drop(at: int) -> None:
         nonlocal excluded, inside, links
-        flush()
-        links -= sum(name == "a" for name, _, _ in stack[at:])
-        del stack[at:]
+        while len(stack) > at:
+            name = stack.pop()[0]
+            places[name].pop()
+            if name in BLOCKS:
+                open_blocks.pop()
+            links -= name == "a"
         excluded, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
 
+    def close(at: int) -> None:
+        flush()
+        drop(at)
+
     at, end = 0, len(page)
     while at < end:
         mark = page.find("<", at)
@@ -145,22 +156,22 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         if m[1]:
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            found = places[name][-1] if places.get(name) else None
             if found is None:
                 if name in BLOCKS:
                     flush()
             elif name in BLOCKS:
                 close(found)
-            elif not any(x in BLOCKS for x, _, _ in stack[found:]):
+            elif not open_blocks or open_blocks[-1] < found:
                 was = excluded
-                links -= sum(x == "a" for x, _, _ in stack[found:])
-                del stack[found:]
-                excluded, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                drop(found)
                 if was != excluded:
                     parts.append((" ", False))
             continue
         if name in RAW:
-            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at) if not attributes.endswith("/") else None
+            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at) if not attributes.endswith("/") and name not in endless else None
+            if not stop and not attributes.endswith("/"):
+                endless.add(name)
             if stop:
                 at = stop.end()
             elif name in ("script", "style"):
@@ -179,12 +190,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in BLOCKS:
             # A new block ends an open paragraph, a new item the open item of the same list.
-            for i in range(len(stack) - 1, -1, -1):
-                if name in CLOSED_BY.get(stack[i][0], ()):
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+            if open_blocks and name in CLOSED_BY.get(stack[open_blocks[-1]][0], ()):
+                close(open_blocks[-1])
             flush()
         if attributes.endswith("/") and name not in BLOCKS:
             continue
@@ -195,6 +202,9 @@ def blocks(page: str) -> list[Block]:
             inside_now = inside
         excluded = excluded or _excluded(name, attributes, inside)
         inside = inside_now
+        places.setdefault(name, []).append(len(stack))
+        if name in BLOCKS:
+            open_blocks.append(len(stack))
         stack.append((name, excluded, inside))
         links += name == "a"
     flush()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import cases
 import pytest
 from pyspark.sql import functions as F
@@ -49,3 +51,14 @@ def test_every_page_keeps_its_row(spark):
     expected = [(1, "mine", 1, 1), (1, "mine", 1, 1), (None, "mine", 0, 0), (2, "mine", 0, 0), (3, "mine", 20_000 * 26 - 2, 20_000)]
     assert sorted([tuple(r) for r in made.collect()], key=repr) == sorted(expected, key=repr)
     assert html.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("made", [
+    lambda n: "<b>" * n + "</i>" * n, lambda n: "<iframe>" * n, lambda n: "<b><div>" + "<i>" * n + "</b>" * n, lambda n: "<b>" * n + "<p></p>" * n,
+    lambda n: "<!--" * n, lambda n: '<a "' * n, lambda n: "<div>" * n + "</div>" * n,
+])
+def test_hostile_pages_take_time_in_proportion(made):
+    page = made(60_000)
+    start = time.process_time()
+    html.main_text(page, frozenset(["the"]))
+    assert time.process_time() - start < 10
