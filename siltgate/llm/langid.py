@@ -153,7 +153,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(9), "k", "n"), 11).cast("double") / float(1 << 53)
     drawn_rows = rows.withColumn("h", drawn).where(F.col("h") * total < 1.5 * trained_bytes + (1 << 20))
     order = ["h", "k", "n"]
-    ranked = drawn_rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("r") <= trained_bytes // 256)
+    ranked = drawn_rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     so_far = Window.partitionBy("lang").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     sample = ranked.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0))).where(F.col("before") < trained_bytes)
     held = sample.select("lang", "text").toArrow()
