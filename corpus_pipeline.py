@@ -33,15 +33,12 @@ PASSAGE_BYTES = 250
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that repeat elsewhere in strings of PASSAGE_BYTES; characters cut in two go whole, n_chars follows.
+    """Texts without the bytes that repeat elsewhere in strings of PASSAGE_BYTES; characters cut in two go, n_chars follows.
 
     Every document stays, with an empty text if nothing is left; NULL texts stay NULL.
     """
     cut = free_name(docs, "_cut")
-    left = F.make_valid_utf8(F.col(cut)["kept"].cast("string"))
-    # Cuts can split a character; the replacement of the halves is taken out again.
-    whole = F.when(F.contains("text", F.lit("�")), left).otherwise(F.translate(left, "�", ""))
-    shorter = suffixes.remove_repeats(docs, into=cut, length=PASSAGE_BYTES).withColumn("text", F.when(F.col("text").isNotNull(), F.when(F.col(cut)["n_removed"] > 0, whole).otherwise(F.col("text"))))
+    shorter = suffixes.remove_repeats(docs, into=cut, length=PASSAGE_BYTES).withColumn("text", F.when(F.col("text").isNotNull(), F.when(F.col(cut)["n_removed"] > 0, F.col(cut)["text"]).otherwise(F.col("text"))))
     if "n_chars" in docs.columns:
         shorter = shorter.withColumn("n_chars", F.when(F.col(cut)["n_removed"] > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return shorter.select(*docs.columns)
@@ -56,11 +53,11 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def into_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the ids of the text, and whether they decode to it."""
-    # Rows of ids are long: smaller batches keep a task's two Python workers small.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     model = pieces.load()
     slim = docs.select("doc_id", "lang", "source", "text")
     encoded = pieces.encode(slim, model).select(*slim.columns, F.col("_pieces.ids").alias("ids"))
+    # Stored between: a task runs one Python worker, and the encoder's tables are gone before decoding.
+    encoded = stored(encoded, "pieces")
     decoded = pieces.decode(encoded, model, "ids")
     return decoded.select(
         "doc_id",
