@@ -594,6 +594,7 @@ streamed AS (
     }
     revenue = "CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE)"
     sql["medallion_metrics"] = sql["gate_metrics"]
+    sql["audit_published"] = sql["audit_report"]
     sql["suggested_rules"] = _suggested()
     sql["scd2_incremental"] = sql["scd2_customer"]
     sql["sink_by_name"] = sql["sink_append_merge_schema"]

@@ -685,6 +685,12 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.table_counts(**{name: lake.read(at) for name, at in shown.items()})
 
 
+def audit_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of what a run has published, from the stored tables alone."""
+    lake = _medallion(spark, sf_dir)
+    return audit.published(lake.read(tables.SILVER_ORDERS), lake.read(tables.QUARANTINE_ORDERS), "order_id")
+
+
 # How far the stream's watermark trails its newest line.
 STREAM_DELAY = "90 days"
 
@@ -772,7 +778,7 @@ def queries() -> dict[str, Query]:
         volume_anomaly, period_gaps, volume_outages, late_sources, sla_breaches, idempotent_append,
         profile_columns, profile_values, suggested_rules, scd2_customer, scd2_incremental, src_csv_all_string,
         src_json_multiline, contract_feed, lineage_columns, sink_append_merge_schema, sink_by_name, sink_overwrite, table_as_of,
-        table_restore, medallion_run, medallion_metrics, medallion_values, recovered_tables, streaming_gate,
+        table_restore, medallion_run, medallion_metrics, medallion_values, recovered_tables, audit_published, streaming_gate,
         skewed_prepared_orders, skewed_dedup_rank, skewed_fk_customer, skewed_fk_sparse, skewed_revenue_by_country, skewed_append,
     ]
     return (

@@ -255,3 +255,20 @@ def test_end_to_end_large(spark, lake, feeds, large):
     assert {r.country: r.orders for r in lake.read(tables.REVENUE_BY_COUNTRY).collect()} == {
         "PL": 20, "FR": 10, None: 10,
     }
+
+
+def test_published_tables_are_audited_as_they_stand(spark, lake, feeds):
+    medallion.run(lake, *feeds, run_id="r1", bounds=BOUNDS, at=LOADED)
+
+    def audited(run_id=None):
+        made = audit.published(lake.read(tables.SILVER_ORDERS), lake.read(tables.QUARANTINE_ORDERS), "order_id", run_id, BOUNDS)
+        return {r.audit_check: (r.observed, r.holds) for r in made.collect()}
+
+    assert audited() == audited("r1") == {"clean_rows": (40.0, True), "clean_fraction": (40 / 43, True), "duplicate_keys": (0.0, True)}
+    assert audited("r2")["clean_fraction"] == (1.0, False)
+    # A writer past the gate adds a key that an earlier version holds.
+    lake.extend(lake.read(tables.SILVER_ORDERS).where("order_id = 'O5'"), tables.SILVER_ORDERS)
+    assert audited()["duplicate_keys"] == (1.0, False)
+    empty = lake.read(tables.SILVER_ORDERS).limit(0)
+    none = audit.published(empty, lake.read(tables.QUARANTINE_ORDERS).limit(0), "order_id", bounds=BOUNDS)
+    assert {r.audit_check: r.observed for r in none.collect()} == {"clean_rows": 0.0, "clean_fraction": 0.0, "duplicate_keys": 0.0}
