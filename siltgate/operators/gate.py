@@ -20,7 +20,11 @@ PASSED = "dq_passed"
 
 
 class SlaBreach(Exception):
-    """A hard check fell below its agreed pass rate."""
+    """Hard checks fell below their agreed pass rate; ``rates`` has them by name."""
+
+    def __init__(self, rates: dict[str, float]) -> None:
+        super().__init__(", ".join(f"{name}={rate:.3f}" for name, rate in rates.items()))
+        self.rates = rates
 
 
 def prepare(df: DataFrame, checks: Sequence[Check], limits: Limits = DEFAULT_LIMITS) -> DataFrame:
@@ -241,4 +245,4 @@ def enforce_sla(metric_rows: DataFrame, run_id: str, sla: float = 0.80) -> None:
         .collect()
     )
     if low:
-        raise SlaBreach(", ".join(f"{r.rule_name}={r.pass_rate:.3f}" for r in low))
+        raise SlaBreach({r.rule_name: r.pass_rate for r in low})

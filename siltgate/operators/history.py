@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StructField, TimestampNTZType, TimestampType
@@ -74,12 +76,14 @@ def guard(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
     Built into every column, so that reading any of them meets the check, and not into a
     filter: Catalyst may move a filter below the gate, where rows that the gate removes
-    would trip it. A reader that needs no column at all, as a count, is not checked.
+    would trip it. A reader that needs no column at all, as a bare count, is not checked;
+    ``counted`` is the count that is.
     """
     hard = [(c.name, F.coalesce(c.holds(), F.lit(False))) for c in checks if c.hard]
     if not hard:
         return df
     broken = F.concat_ws("; ", *[F.when(~holds, F.lit(name)) for name, holds in hard])
+
     def carried(field: StructField) -> Column:
         stop = F.raise_error(F.concat(F.lit("broken: "), broken)).cast(field.dataType)
         return F.when(broken == "", F.col(field.name)).otherwise(stop).alias(field.name)
@@ -87,6 +91,36 @@ def guard(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return df.select(*[carried(field) for field in df.schema])
 
 
+class Broken(Exception):
+    """A write was stopped by its guard; ``checks`` names what the first such row broke."""
+
+    def __init__(self, checks: list[str]) -> None:
+        super().__init__("; ".join(checks))
+        self.checks = checks
+
+
+def write_guarded(df: DataFrame, checks: Sequence[Check], write: Callable[[DataFrame], None]) -> None:
+    """Have ``write`` write the guarded rows; raise Broken if a row broke a check.
+
+    What a table shows after that is up to its writer: a lake's version does not count.
+    """
+    try:
+        write(guard(df, checks))
+    except PySparkException as failure:
+        found = re.search(r"\[USER_RAISED_EXCEPTION\] broken: (.*?)(?: SQLSTATE|$)", str(failure), re.MULTILINE)
+        if found is None:
+            raise
+        raise Broken(found.group(1).split("; ")) from failure
+
+
+def counted(guarded: DataFrame) -> DataFrame:
+    """One row: how many rows there are, of which every one has met its guard."""
+    # The rows' number is given only beside a value read from a guarded column, so the column stays in the plan.
+    read = F.max(F.col(guarded.columns[0]).isNull().cast("int"))
+    both = guarded.agg(F.count(F.lit(1)).alias("rows"), read.alias("_read"))
+    return both.select(F.when((F.col("rows") == 0) | F.col("_read").isNotNull(), F.col("rows")).alias("rows"))
+
+
 def _beside(
     df: DataFrame,
     keys: Sequence[str],

@@ -12,6 +12,8 @@ from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, bounded, hot_keys, sam
 
 # Slots per map partition in which rows of a hot key are ranked first.
 SLOTS = 8
+# Winners of a key that meet in one place in a round.
+FAN_IN = 1024
 
 
 def _position(by: Sequence[str], order: Sequence[str | Column]) -> Column:
@@ -30,7 +32,7 @@ def flag_repeats(
 
     ``order`` should be total up to rows that are equal in every respect. NULL keys
     form one group. One shuffle on the key; a hot key is first ranked within slots
-    of each map partition, and only the winners of the slots meet in one place.
+    of each map partition, and the winners of the slots meet in rounds (``settle``).
     """
     keys = list(keys)
     hot = hot_keys(df if probe is None else probe, keys, limits)
@@ -38,17 +40,43 @@ def flag_repeats(
         return df.withColumn(flag, _position(keys, order) > 1)
     match = same_key(df, hot, keys)
     cold = df.join(bounded(hot), match, "left_anti").withColumn(flag, _position(keys, order) > 1)
-    split = (
+    # Stored with their slots: a slot's winner is settled, and only winners are read again.
+    slots = stored(
         df.join(bounded(hot), match, "left_semi")
         .withColumn("_slot", spread_slot(df, SLOTS))
-        .withColumn("_local", _position([*keys, "_slot"], order))
-        # Winners share slot -1; the rest stay where they are spread.
-        .withColumn("_round", F.when(F.col("_local") == 1, F.lit(-1).cast("bigint")).otherwise(F.col("_slot")))
-        .withColumn("_final", _position([*keys, "_round"], order))
-        .withColumn(flag, (F.col("_local") > 1) | (F.col("_final") > 1))
-        .drop("_slot", "_local", "_round", "_final")
+        .withColumn("_local", _position([*keys, "_slot"], order)),
+        "slots",
     )
-    return cold.unionByName(split)
+    losers = slots.where(F.col("_local") > 1).withColumn(flag, F.lit(True))
+    last = slots.agg(F.max("_slot")).first()[0]
+    winners = settle(slots.where(F.col("_local") == 1), keys, order, flag, last or 0)
+    return cold.unionByName(losers.unionByName(winners).select(*df.columns, flag))
+
+
+def rounds(last: int, fan_in: int = FAN_IN) -> list[int]:
+    """How many slots share a seat in each round, until slots 0 to ``last`` share one."""
+    wide = [fan_in]
+    while wide[-1] <= last:
+        wide.append(wide[-1] * fan_in)
+    return wide
+
+
+def settle(
+    winners: DataFrame, keys: Sequence[str], order: Sequence[str | Column], flag: str, last: int, fan_in: int = FAN_IN
+) -> DataFrame:
+    """``flag`` for one row per key and ``_slot`` (0 to ``last``): false for the key's first row alone.
+
+    A tree of rounds: in each, the rows still in the running meet at most ``fan_in`` to a
+    seat and all but the first drop out, so no task ranks more than ``fan_in`` rows of a
+    key at once. Rows that dropped out keep a seat each, below zero.
+    """
+    rows = winners.withColumn(flag, F.lit(False))
+    for wide in rounds(last, fan_in):
+        seat = F.when(F.col(flag), -1 - F.col("_slot")).otherwise(F.floor(F.col("_slot") / wide))
+        rows = rows.withColumn("_seat", seat.cast("bigint")).withColumn(
+            flag, F.col(flag) | (_position([*keys, "_seat"], order) > 1)
+        )
+    return rows.drop("_seat")
 
 
 def rank_copies(

@@ -20,7 +20,7 @@ from siltgate.functions.expressions import is_present
 from siltgate.operators import audit, gate, star
 from siltgate.operators.checks import ARRIVAL, Check, order_checks, satisfies
 from siltgate.operators.conform import conform_customers, conform_products
-from siltgate.operators.history import guard
+from siltgate.operators.history import write_guarded
 from siltgate.operators.repeats import newest_per_key
 from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, stored
 from siltgate.sources import contract
@@ -167,7 +167,7 @@ def build_silver(
         gate.enforce_sla(lake.read(tables.DQ_METRICS), run_id, sla)
     lake.overwrite(customers, tables.SILVER_CUSTOMERS)
     lake.overwrite(products, tables.SILVER_PRODUCTS)
-    lake.overwrite(guard(gate.publishable(clean), silver_guards()), tables.SILVER_ORDERS)
+    write_guarded(gate.publishable(clean), silver_guards(), lambda rows: lake.overwrite(rows, tables.SILVER_ORDERS))
 
     return Summary(run_id, *observed.split_counts())
 

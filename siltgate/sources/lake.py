@@ -173,11 +173,14 @@ class Lake:
 
 
 class CatalogLake:
-    """The same layers as schemas of a catalog. Versions are left to the catalog's table format."""
+    """The same layers as schemas of a catalog. Versions are left to the catalog's table format.
 
-    def __init__(self, spark: SparkSession, catalog: str | None = None) -> None:
+    ``schema_prefix`` keeps the schemas of one lake apart from another's in the same catalog.
+    """
+
+    def __init__(self, spark: SparkSession, catalog: str | None = None, schema_prefix: str = "") -> None:
         self.spark = spark
-        self.prefix = f"{catalog}." if catalog else ""
+        self.prefix = (f"{catalog}." if catalog else "") + schema_prefix
 
     def path(self, table: Table) -> str:
         return f"{self.prefix}{table.layer}.{table.name}"
@@ -186,6 +189,11 @@ class CatalogLake:
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
 
+    def remove(self) -> None:
+        """Drop the schemas with everything in them."""
+        for layer in LAYERS:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.prefix}{layer} CASCADE")
+
     def exists(self, table: Table) -> bool:
         return self.spark.catalog.tableExists(self.path(table))
 

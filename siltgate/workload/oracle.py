@@ -275,6 +275,20 @@ def statements() -> dict[str, str]:
             order_amount_dbl AS order_amount, order_date_parsed AS order_date
             FROM judged WHERE passed""",
         ),
+        "guard_stops_writes": _with(
+            JUDGED,
+            " UNION ALL ".join(
+                f"""SELECT '{name}' AS guard, count(*) FILTER (WHERE NOT coalesce({holds}, false)) AS rows_broken,
+                count(*) FILTER (WHERE NOT coalesce({holds}, false)) > 0 AS stopped,
+                count(*) FILTER (WHERE passed) AS rows_published FROM judged"""
+                for name, holds in (
+                    ("customer_id_filled", "trim(customer_id) <> ''"),
+                    ("order_amount_filled", "order_amount_dbl IS NOT NULL"),
+                    ("order_date_filled", "order_date_parsed IS NOT NULL"),
+                    ("quantity_positive", "quantity_int > 0"),
+                )
+            ),
+        ),
         "quarantine_rows": _with(
             JUDGED,
             f"""SELECT order_id, customer_id, product_id, CAST(quantity_int AS VARCHAR) AS quantity,
@@ -362,7 +376,7 @@ def statements() -> dict[str, str]:
         ),
         "layer_counts": _with(
             JUDGED,
-            """SELECT 'silver (clean)' AS layer, count(*) AS rows FROM judged WHERE passed
+            """SELECT 'clean' AS layer, count(*) AS rows FROM judged WHERE passed
             UNION ALL SELECT 'quarantine', count(*) FROM judged WHERE NOT passed""",
         ),
         "distinct_keys": _with(SALES, "SELECT DISTINCT customer_id FROM sales"),
@@ -422,7 +436,7 @@ seen AS (
         "sla_breaches": _with(
             JUDGED + "," + metrics("'run-1'"),
             """SELECT rule_name, dimension, pass_rate,
-            format('SLA BREACH: {} pass_rate={:.3f} < 0.8 ({})', rule_name, round(pass_rate + 1e-9, 3), dimension)
+            format('{} ({}) holds for {:.3f} of the rows, agreed are 0.8', rule_name, dimension, round(pass_rate + 1e-9, 3))
               AS message
             FROM metrics WHERE severity = 'error' AND pass_rate < 0.8""",
         ),
@@ -594,6 +608,17 @@ streamed AS (
     }
     revenue = "CAST(round(sum(CAST(CAST(order_amount_dbl AS VARCHAR) AS DECIMAL(38,20))), 2) AS DOUBLE)"
     sql["medallion_metrics"] = sql["gate_metrics"]
+    sql["stopped_run"] = _with(
+        JUDGED + "," + metrics("'run-1'"),
+        """SELECT 'breach' AS part, rule_name AS name, pass_rate AS value FROM metrics
+        WHERE severity = 'error' AND pass_rate < 1
+        UNION ALL SELECT 'published', 'silver_orders', 0.0
+        UNION ALL SELECT 'dq_metrics', run, CAST((SELECT count(*) FROM metrics) AS DOUBLE)
+          FROM (VALUES ('run-1'), ('run-2')) r(run)
+        UNION ALL SELECT 'quarantine_orders', run, CAST((SELECT count(*) FROM judged WHERE NOT passed) AS DOUBLE)
+          FROM (VALUES ('run-1'), ('run-2')) r(run)
+        UNION ALL SELECT 'silver_orders', 'run-1', CAST((SELECT count(*) FROM judged WHERE passed) AS DOUBLE)""",
+    )
     sql["audit_published"] = sql["audit_report"]
     sql["suggested_rules"] = _suggested()
     sql["scd2_incremental"] = sql["scd2_customer"]

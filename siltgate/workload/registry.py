@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -132,6 +133,32 @@ def write_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def guard_stops_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows are published; then every order, good or bad, is to replace them under one guard at a time.
+
+    One row a guard: the rows that break it, whether its write was stopped, and the rows that the table shows
+    afterwards, counted through the guards.
+    """
+    lake, orders = _lake(spark), tables.SILVER_ORDERS
+    rules = medallion.silver_guards()
+    history.write_guarded(silver(spark, sf_dir), rules, lambda rows: lake.overwrite(rows, orders))
+    every = stored(gate.publishable(judged(spark, sf_dir)), "every-order")
+    breaking = [F.count_if(~F.coalesce(rule.holds(), F.lit(False))) for rule in rules]
+    broken = every.agg(*[n.alias(rule.name) for rule, n in zip(rules, breaking)]).first()
+    outcome = []
+    for rule in rules:
+        try:
+            history.write_guarded(every, [rule], lambda rows: lake.overwrite(rows, orders))
+            stopped = False
+        except history.Broken as reason:
+            stopped = reason.checks == [rule.name]
+        if not stopped:
+            lake.restore(orders, 1)
+        shown = history.counted(history.guard(lake.read(orders), rules)).first().rows
+        outcome.append((rule.name, broken[rule.name], stopped, shown))
+    return spark.createDataFrame(outcome, "guard string, rows_broken bigint, stopped boolean, rows_published bigint")
+
+
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = gate.quarantine(rejected(spark, sf_dir), RUN)
     return rows.withColumns(
@@ -546,12 +573,16 @@ def sink_append_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of different width appended to a table of the catalog and read by its name."""
-    lake, parties = CatalogLake(spark), Table("bronze", "registered_parties", tables.LOG)
+    # Schemas of its own, gone afterwards: the user's catalog stays as it was.
+    lake = CatalogLake(spark, schema_prefix=f"scratch_{uuid.uuid4().hex}_")
+    parties = Table("bronze", "registered_parties", tables.LOG)
     lake.ensure()
-    spark.sql(f"DROP TABLE IF EXISTS {lake.path(parties)}")
-    for load in _parties(spark, sf_dir):
-        lake.append(load, parties)
-    return lake.read(parties)
+    try:
+        for load in _parties(spark, sf_dir):
+            lake.append(load, parties)
+        return stored(lake.read(parties), "parties")
+    finally:
+        lake.remove()
 
 
 def _overwritten(spark: SparkSession, sf_dir: str) -> tuple[Lake, Table]:
@@ -577,22 +608,27 @@ def table_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(parties)
 
 
-def _medallion(spark: SparkSession, sf_dir: str) -> Lake:
-    """Raw files to gold; the run is then repeated from silver on, which must change nothing."""
-    lines = raw_sales(spark, sf_dir).select(
-        *gate.RAW_ORDER_COLUMNS,
-        F.date_format("_ingested_at", SECONDS).alias("arrived"),
-        "_line.*",
-    )
+def _line_arrival() -> tuple[Column, ...]:
+    """Which copy of an order line is first, in columns that a CSV file carries as text."""
     numbers = {"l_partkey": "bigint", "l_suppkey": "bigint"} | dict.fromkeys(
         ("l_quantity", "l_extendedprice", "l_discount", "l_tax"), "double"
     )
-    arrival = (
+    return (
         F.col("arrived"),
         *[F.col(name).try_cast(type_) for name, type_ in numbers.items()],
         F.col("l_returnflag"),
         F.col("l_linestatus"),
     )
+
+
+def _medallion(spark: SparkSession, sf_dir: str) -> Lake:
+    """Raw files to gold; the run is then repeated from silver on, which must change nothing."""
+    lines = raw_sales(spark, sf_dir).select(
+        *gate.RAW_ORDER_COLUMNS,
+        F.date_format("_ingested_at", SECONDS).alias("arrived"),
+        "_line.*",
+    )
+    arrival = _line_arrival()
     lake = _lake(spark)
     medallion.run(
         lake,
@@ -685,6 +721,28 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.table_counts(**{name: lake.read(at) for name, at in shown.items()})
 
 
+def stopped_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run that asks for every row to pass is stopped: which checks stopped it, and what the tables hold.
+
+    Its metrics and quarantine are kept, silver stays the first run's.
+    """
+    lake = _medallion(spark, sf_dir)
+    before = lake.versions(tables.SILVER_ORDERS)
+    breached: dict[str, float] = {}
+    try:
+        medallion.build_silver(lake, "run-2", _line_arrival(), sla=1.0, measured_at=LOADED_AT)
+    except gate.SlaBreach as stop:
+        breached = stop.rates
+    published = len(lake.versions(tables.SILVER_ORDERS)) - len(before)
+    found = [("breach", name, rate) for name, rate in breached.items()]
+    rows = spark.createDataFrame([*found, ("published", "silver_orders", float(published))], "part string, name string, value double")
+    runs = {"dq_metrics": tables.DQ_METRICS, "quarantine_orders": tables.QUARANTINE_ORDERS}
+    for name, at in runs.items():
+        held = lake.read(at).groupBy("run_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        rows = rows.union(held.select(F.lit(name), "run_id", "n"))
+    return rows.union(lake.read(tables.SILVER_ORDERS).agg(F.count(F.lit(1)).cast("double").alias("n")).select(F.lit("silver_orders"), F.lit(RUN), "n"))
+
+
 def audit_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit of what a run has published, from the stored tables alone."""
     lake = _medallion(spark, sf_dir)
@@ -769,7 +827,7 @@ def skewed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     named = [
         gate_metrics, unpivot_metrics, gate_evaluate, failed_rule_array, gate_clean,
-        gate_quarantine, silver_orders, write_guard, quarantine_rows, strip_scratch, typed_orders,
+        gate_quarantine, silver_orders, write_guard, guard_stops_writes, quarantine_rows, strip_scratch, typed_orders,
         prepared_orders, dedup_rank, fk_product_exists, fk_customer_exists, orphans_anti_join,
         inject_defects, reprocess_quarantine, dim_product, dim_customer, date_dim, fact_sales,
         revenue_by_country, revenue_by_category, soft_rule_spikes, quarantine_by_rule,
@@ -778,7 +836,7 @@ def queries() -> dict[str, Query]:
         volume_anomaly, period_gaps, volume_outages, late_sources, sla_breaches, idempotent_append,
         profile_columns, profile_values, suggested_rules, scd2_customer, scd2_incremental, src_csv_all_string,
         src_json_multiline, contract_feed, lineage_columns, sink_append_merge_schema, sink_by_name, sink_overwrite, table_as_of,
-        table_restore, medallion_run, medallion_metrics, medallion_values, recovered_tables, audit_published, streaming_gate,
+        table_restore, medallion_run, medallion_metrics, medallion_values, recovered_tables, stopped_run, audit_published, streaming_gate,
         skewed_prepared_orders, skewed_dedup_rank, skewed_fk_customer, skewed_fk_sparse, skewed_revenue_by_country, skewed_append,
     ]
     return (

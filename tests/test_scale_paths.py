@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltgate.operators.checks import key_exists
-from siltgate.operators.repeats import flag_repeats, newest_per_key, rank_copies
+from siltgate.operators.repeats import flag_repeats, newest_per_key, rank_copies, rounds, settle
 from siltgate.plans.lookup import lookup
 from siltgate.plans.sizing import Limits, broadcasts, hot_keys, shared_dir, stored
 from siltgate.sources.raw import unseen
@@ -221,3 +221,75 @@ def test_a_guard_trips_whatever_column_is_read(spark):
         with pytest.raises(Exception, match="positive"):
             kept.select(column).collect()
     assert guard(rows.where("n > 0"), [satisfies("positive", "n > 0")]).count() == 1
+
+
+def test_rounds_cover_every_slot():
+    assert rounds(0, 4) == [4]
+    assert rounds(3, 4) == [4]
+    assert rounds(4, 4) == [4, 16]
+    assert rounds(16, 4) == [4, 16, 64]
+    # Eight slots of each of a million map partitions.
+    assert rounds(8_000_000) == [1024, 1024**2, 1024**3]
+
+
+@pytest.mark.parametrize("fan_in", [2, 4, 1024])
+def test_no_seat_holds_more_winners_than_the_fan_in(spark, fan_in):
+    """One key in all rows, and a NULL key, over 200 slots."""
+    draw = random.Random(9)
+    rows = [(key, slot, draw.randrange(5)) for key in ("hot", None) for slot in range(200)]
+    df = spark.createDataFrame(rows, "key string, _slot bigint, at int")
+    found = settle(df, ["key"], ["at", "_slot"], "again", 199, fan_in)
+    first = {r.key: (r.at, r._slot) for r in found.where("not again").collect()}
+    assert first == {key: min((at, slot) for k, slot, at in rows if k == key) for key in ("hot", None)}
+    assert found.count() == len(rows)
+    running = {(key, slot): at for key, slot, at in rows}
+    for wide in rounds(199, fan_in):
+        seats = defaultdict(list)
+        for (key, slot), at in running.items():
+            seats[key, slot // wide].append((at, slot))
+        assert max(map(len, seats.values())) <= fan_in
+        running = {(key, min(seat)[1]): min(seat)[0] for (key, _), seat in seats.items()}
+    assert len(running) == 2
+
+
+def test_only_winners_go_through_rounds(skewed):
+    df, _ = skewed
+    limits = Limits(small_bytes=-1, hot_rows=400, sample=1.0)
+    plan = flag_repeats(df, ["key"], ["at", "tag"], "again", limits)._jdf.queryExecution().optimizedPlan().toString()
+    # The cold rows' window and one round; slots were ranked when they were stored.
+    assert plan.count("Window [") == 2
+
+
+def test_a_guarded_count_meets_every_row(spark):
+    from siltgate.operators.checks import satisfies
+    from siltgate.operators.history import counted, guard
+
+    rule = [satisfies("positive", "n > 0")]
+    rows = spark.createDataFrame([(1, "a"), (-1, "b")], "n int not null, s string")
+    assert counted(guard(rows.where("n > 0"), rule)).first().rows == 1
+    assert counted(guard(rows.where("n > 5"), rule)).first().rows == 0
+    with pytest.raises(Exception, match="positive"):
+        counted(guard(rows, rule)).collect()
+
+
+def test_a_stopped_write_names_what_broke(spark, tmp_path):
+    from siltgate.operators.checks import satisfies
+    from siltgate.operators.history import Broken, write_guarded
+    from siltgate.sources.lake import Lake, Table
+
+    lake, numbers = Lake(spark, str(tmp_path)), Table("silver", "numbers")
+    rules = [satisfies("positive", "n > 0"), satisfies("small", "n > -5 AND n < 5")]
+    good = spark.createDataFrame([(1,), (2,)], "n int")
+    write_guarded(good, rules, lambda rows: lake.overwrite(rows, numbers))
+    with pytest.raises(Broken) as stop:
+        write_guarded(spark.createDataFrame([(3,), (-9,)], "n int"), rules, lambda rows: lake.overwrite(rows, numbers))
+    assert stop.value.checks == ["positive", "small"]
+    assert sorted(r.n for r in lake.read(numbers).collect()) == [1, 2]
+
+    def fails(rows):
+        raise ValueError("disk")
+
+    with pytest.raises(ValueError, match="disk"):
+        write_guarded(good, rules, fails)
+    with pytest.raises(Exception, match="ZERO"):
+        write_guarded(spark.sql("SELECT 1 / id AS n FROM range(1)"), [], lambda rows: rows.collect())
