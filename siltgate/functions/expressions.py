@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as they must be written where a dot or a backtick in them would mean something."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
 def is_present(name: str) -> Column:
     """Not null and not only spaces."""
     return F.coalesce(F.length(F.trim(F.col(name))) > 0, F.lit(False))

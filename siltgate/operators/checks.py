@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.functions.expressions import is_present, within
+from siltgate.functions.expressions import is_present, quoted, within
 from siltgate.plans import bloom
 from siltgate.plans.lookup import lookup
 from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, broadcasts, stored
@@ -184,8 +184,8 @@ def key_exists(
                     given = given & F.col(key).isNotNull()
                 found = given & ~found
             joined = df.join(F.broadcast(marked), keys, "left").withColumn(into, found)
-            return joined.select(*[c for c in df.columns if c != into], into)
-    shown = [*[c for c in df.columns if c != into], into]
+            return joined.select(*quoted(c for c in df.columns if c != into), into)
+    shown = [*quoted(c for c in df.columns if c != into), into]
     if broadcasts(known, limits):
         flagged = lookup(df, known.withColumn("_known", F.lit(True)), keys, "left", limits, probe)
         return flagged.withColumn(into, F.coalesce("_known", F.lit(False))).select(*shown)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StructField, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
+from siltgate.functions.expressions import quoted
 from siltgate.operators.checks import Check
 from siltgate.plans.sizing import same_key, stored
 
@@ -86,7 +87,7 @@ def guard(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
     def carried(field: StructField) -> Column:
         stop = F.raise_error(F.concat(F.lit("broken: "), broken)).cast(field.dataType)
-        return F.when(broken == "", F.col(field.name)).otherwise(stop).alias(field.name)
+        return F.when(broken == "", F.col(*quoted([field.name]))).otherwise(stop).alias(field.name)
 
     return df.select(*[carried(field) for field in df.schema])
 
@@ -116,7 +117,7 @@ def write_guarded(df: DataFrame, checks: Sequence[Check], write: Callable[[DataF
 def counted(guarded: DataFrame) -> DataFrame:
     """One row: how many rows there are, of which every one has met its guard."""
     # The rows' number is given only beside a value read from a guarded column, so the column stays in the plan.
-    read = F.max(F.col(guarded.columns[0]).isNull().cast("int"))
+    read = F.max(F.col(*quoted(guarded.columns[:1])).isNull().cast("int"))
     both = guarded.agg(F.count(F.lit(1)).alias("rows"), read.alias("_read"))
     return both.select(F.when((F.col("rows") == 0) | F.col("_read").isNotNull(), F.col("rows")).alias("rows"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siltgate.functions.expressions import quoted
 from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, bounded, hot_keys, same_key, spread_slot, stored
 
 # Slots per map partition in which rows of a hot key are ranked first.
@@ -50,7 +51,7 @@ def flag_repeats(
     losers = slots.where(F.col("_local") > 1).withColumn(flag, F.lit(True))
     last = slots.agg(F.max("_slot")).first()[0]
     winners = settle(slots.where(F.col("_local") == 1), keys, order, flag, last or 0)
-    return cold.unionByName(losers.unionByName(winners).select(*df.columns, flag))
+    return cold.unionByName(losers.unionByName(winners).select(*quoted(df.columns), flag))
 
 
 def rounds(last: int, fan_in: int = FAN_IN) -> list[int]:
@@ -104,7 +105,7 @@ def rank_copies(
     sorting = [F.col(c) if isinstance(c, str) else c for c in order]
     # Which partition a row goes to depends on its values alone, so a task that runs again sends it there again.
     ranged = stored(
-        rows.groupBy(*df.columns)
+        rows.groupBy(*quoted(df.columns))
         .agg(F.count(F.lit(1)).alias("_copies"))
         .repartitionByRange(*keys, *sorting)
         .withColumn("_part", F.spark_partition_id()),
@@ -121,7 +122,7 @@ def rank_copies(
         .select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_part").alias("_of_part"), "_shift")
     )
     # Ties of the order are settled by the other columns.
-    inside = Window.partitionBy(*keys, "_part").orderBy(*sorting, *df.columns).rowsBetween(
+    inside = Window.partitionBy(*keys, "_part").orderBy(*sorting, *quoted(df.columns)).rowsBetween(
         Window.unboundedPreceding, -1
     )
     local = ranged.withColumn("_before", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
@@ -129,7 +130,7 @@ def rank_copies(
     condition = condition & same_key(local, shifts, keys, "_of_")
     at = F.col("_before") + F.col("_shift")
     hot_ranked = local.join(shifts, condition, "left").select(
-        *df.columns, F.explode(F.sequence(at + 1, at + F.col("_copies"))).alias(rank)
+        *quoted(df.columns), F.explode(F.sequence(at + 1, at + F.col("_copies"))).alias(rank)
     )
     return cold.unionByName(hot_ranked)
 

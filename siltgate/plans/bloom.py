@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.functions.expressions import quoted
+
 # Words of 64 bits at most: 2**20 rows of 16 bytes, 16 MB, whatever the number of keys.
 MOST_WORDS = 1 << 20
 # Keys that share a word when the filter is as large as it should be.
@@ -60,7 +62,7 @@ def flag(df: DataFrame, keys: Sequence[str | Column], made: DataFrame, words: in
     joined = hashed.join(F.broadcast(made), "_bloom_word", "left")
     mask = _mask(F.col("_bloom_hash"))
     found = F.coalesce(F.col("_bloom_bits").bitwiseAND(mask) == mask, F.lit(False))
-    return joined.select(*df.columns, found.alias(into))
+    return joined.select(*quoted(df.columns), found.alias(into))
 
 
 def only_possible(df: DataFrame, keys: Sequence[str], wanted: DataFrame, most: int = MOST_WORDS) -> DataFrame:

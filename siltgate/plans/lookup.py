@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.functions.expressions import quoted
 from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, bounded, broadcasts, hot_keys, spread_slot, stored
 
 # Shuffle slots per map partition for the rows of hot keys.
@@ -37,10 +38,10 @@ def lookup(
     columns = [*df.columns, *values]
     if broadcasts(side, limits):
         # Its size has just been checked; the hint holds if the limit differs from the session's.
-        return df.join(F.broadcast(side), on, how).select(*columns)
+        return df.join(F.broadcast(side), on, how).select(*quoted(columns))
     hot = hot_keys(df if probe is None else probe, on, limits)
     if hot is None:
-        return df.join(side, on, how).select(*columns)
+        return df.join(side, on, how).select(*quoted(columns))
 
     # At most one row per hot key; stored, so that its size is known before it may be broadcast.
     matches = side.join(bounded(hot), on, "left_semi").withColumn("_hot_found", F.lit(True))
@@ -48,7 +49,7 @@ def lookup(
         hot.join(matches, on, "left")
         .select(
             *[F.col(c).alias(f"_hot_{c}") for c in on],
-            *[F.col(c).alias(f"_hot_{c}") for c in values],
+            *[F.col(q).alias(f"_hot_{c}") for c, q in zip(values, quoted(values), strict=True)],
             F.coalesce("_hot_found", F.lit(False)).alias("_hot_found"),
             F.lit(True).alias("_is_hot"),
         ),
@@ -64,7 +65,7 @@ def lookup(
     cold_side = side.select(
         *on,
         F.xxhash64(*on).alias("_slot"),
-        *[F.col(c).alias(f"_cold_{c}") for c in values],
+        *[F.col(q).alias(f"_cold_{c}") for c, q in zip(values, quoted(values), strict=True)],
         F.lit(True).alias("_cold_found"),
     )
     joined = marked.join(cold_side, [*on, "_slot"], "left")
@@ -72,9 +73,11 @@ def lookup(
     if how == "inner":
         joined = joined.where(found)
     return joined.select(
-        *[F.col(c) for c in df.columns],
+        *quoted(df.columns),
         *[
-            F.when(F.col("_is_hot"), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}")).alias(c)
-            for c in values
+            F.when(F.col("_is_hot"), F.col(hot_value)).otherwise(F.col(cold_value)).alias(c)
+            for c, hot_value, cold_value in zip(
+                values, quoted(f"_hot_{c}" for c in values), quoted(f"_cold_{c}" for c in values), strict=True
+            )
         ],
     )

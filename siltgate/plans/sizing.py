@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltgate.functions.expressions import quoted
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -125,5 +127,5 @@ def spread_slot(df: DataFrame, fan: int) -> Column:
     """
     hashable = [name for name, kind in df.dtypes if "map<" not in kind and kind != "variant"]
     return F.spark_partition_id().cast("bigint") * fan + F.pmod(
-        F.xxhash64(*hashable), F.lit(fan)
+        F.xxhash64(*quoted(hashable)), F.lit(fan)
     )
