@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructType
 
 from siltgate.llm.base import BASE, BASE_INVERSE, ODD, mix, powers, slices, with_row_ids
-from siltgate.plans.sizing import stored
+from siltgate.plans.sizing import bounded, stored
 
 LENGTH = 400
 ANCHOR_BYTES = 16
@@ -216,10 +216,14 @@ def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH, task_suff
     source = docs.select(*ids, F.col(text).alias("t"))
     # First depth: RIGHT bytes after a sample. Shards' interval sizes are added; intervals of one suffix are closed.
     shards = docs.select(F.col(text).alias("t")).mapInArrow(_shard_intervals(length), "interval long, size long")
-    # Not stored: what the sum is dealt by is what the join needs.
-    open_1 = shards.groupBy("interval").agg(F.sum("size").alias("size")).where("size > 1").select("interval")
-    rows = source.mapInArrow(_suffix_rows(length), ROW)
-    suffixes = stored(rows.join(open_1, "interval", "left_semi"), "suffixes")
+    open_1 = stored(shards.groupBy("interval").agg(F.sum("size").alias("size")).where("size > 1"), "open-intervals")
+    # At most one in task_suffixes of all suffixes is such an interval. Its suffixes are open without a
+    # look at the sizes, so they go anywhere; the others meet their interval's size.
+    large = stored(open_1.where(F.col("size") > task_suffixes).select("interval", F.lit(True).alias("large")), "large-intervals")
+    rows = source.mapInArrow(_suffix_rows(length), ROW).join(bounded(large), "interval", "left")
+    rows = rows.withColumn("_dealt", F.when(F.col("large"), F.xxhash64("f", "r", "first")).otherwise(F.col("interval")))
+    known = open_1.select(F.col("interval").alias("_dealt"), F.lit(True).alias("_open"))
+    suffixes = stored(rows.join(known, "_dealt", "left").where("large OR _open").drop("large", "_dealt", "_open"), "suffixes")
     # Full depth, to both sides: all windows of the suffix at once.
     # Strings that repeat are stored apart from the join: a very frequent one can then be split over tasks.
     full = suffixes.groupBy("whole").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("f", "r", "first")).alias("one"))
