@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from siltgate.functions.expressions import quoted
 from siltgate.operators.checks import Check
-from siltgate.plans.sizing import same_key, stored
+from siltgate.plans.sizing import DEFAULT_LIMITS, Limits, bounded, hot_keys, same_key, stored
 
 
 def profile(
@@ -129,20 +129,26 @@ def _beside(
     slice_: str,
     values: Sequence[str],
     forward: bool,
+    whole: bool = False,
 ) -> DataFrame:
     """Add ``_near_<value>``: the value of the next row (or the one before) of the same key.
 
     The window runs within key and time slice, so a hot key is spread over its
     slices; the row at the edge of a slice takes its value from the nearest
-    non-empty slice, found on one summary row per key and slice.
+    non-empty slice, found on one summary row per key and slice. With ``whole`` the window runs
+    within the key, so several of these in a row take one shuffle together.
     """
     if forward:
         sort, pick, step = order, F.min_by, F.lead
     else:
         sort, pick, step = order, F.max_by, F.lag
+    packed = F.struct(*[F.col(v) for v in values])
+    shown = [*df.columns, *[F.col("_near")[v].alias(f"_near_{v}") for v in values]]
+    if whole:
+        beside = step(packed).over(Window.partitionBy(*keys).orderBy(slice_, *sort))
+        return df.withColumn("_near", beside).select(*shown)
     within = Window.partitionBy(*keys, slice_).orderBy(*sort)
     across = Window.partitionBy(*keys).orderBy(slice_)
-    packed = F.struct(*[F.col(v) for v in values])
     edge = (
         df.groupBy(*keys, slice_)
         .agg(pick(packed, F.struct(*order)).alias("_edge"))
@@ -153,31 +159,52 @@ def _beside(
     return (
         near.join(edge, same_key(near, edge, [*keys, slice_], "_edge_"), "left")
         .withColumn("_near", F.coalesce("_near", "_over"))
-        .select(*df.columns, *[F.col("_near")[v].alias(f"_near_{v}") for v in values])
+        .select(*shown)
     )
 
 
+def _by_heat(
+    rows: DataFrame, key: str, made: Callable[[DataFrame, bool], DataFrame], limits: Limits, probe: DataFrame | None = None
+) -> DataFrame:
+    """``made`` of the rows, key by key whole; only rows of hot keys are told to go by slices.
+
+    ``probe`` must hold every row that a key has here and is cheaper to read twice.
+    """
+    hot = hot_keys(rows if probe is None else probe, [key], limits)
+    if hot is None:
+        return made(rows, True)
+    match = same_key(rows, hot, [key])
+    cold = made(rows.join(bounded(hot), match, "left_anti"), True)
+    return cold.unionByName(made(rows.join(bounded(hot), match, "left_semi"), False))
+
+
 def scd2(
-    states: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column
+    states: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column, limits: Limits = DEFAULT_LIMITS
 ) -> DataFrame:
     """Validity periods of a slowly changing dimension from a log of states.
 
     A row opens a period when a tracked value differs from the key's previous row
     (NULLs equal). ``order`` must be total within a key and starts with the time;
-    ``slice_`` cuts that time into pieces small enough for one task.
+    ``slice_`` cuts that time into pieces small enough for one task, for keys that do not fit one.
     """
     seen = states.select(key, *order, *tracked).withColumn("_slice", slice_)
+    return _by_heat(seen, key, lambda rows, whole: _scd2(rows, key, order, tracked, whole), limits)
+
+
+def _scd2(seen: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], whole: bool) -> DataFrame:
     # The flag tells a first row apart from a previous row full of NULLs.
     before = _beside(
-        seen.withColumn("_exists", F.lit(True)), [key], order, "_slice", ["_exists", *tracked], False
+        seen.withColumn("_exists", F.lit(True)), [key], order, "_slice", ["_exists", *tracked], False, whole
     )
     changed = F.col("_near__exists").isNull()
     for name in tracked:
         changed = changed | ~F.col(name).eqNullSafe(F.col(f"_near_{name}"))
-    # Read twice below; stored so that the first comparison runs once.
-    changes = stored(before.where(changed).select(key, *order, *tracked, "_slice"), "changes")
+    changes = before.where(changed).select(key, *order, *tracked, "_slice")
+    if not whole:
+        # Read twice below; stored so that the first comparison runs once.
+        changes = stored(changes, "changes")
     start = order[0]
-    return _beside(changes, [key], order, "_slice", [start], True).select(
+    return _beside(changes, [key], order, "_slice", [start], True, whole).select(
         key,
         *tracked,
         F.col(start).alias("valid_from"),
@@ -197,37 +224,63 @@ def _differs(tracked: Sequence[str], other: str) -> Column:
     return differs
 
 
-def periods(states: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column) -> DataFrame:
+def periods(
+    states: DataFrame,
+    key: str,
+    order: Sequence[str],
+    tracked: Sequence[str],
+    slice_: Column,
+    limits: Limits = DEFAULT_LIMITS,
+    probe: DataFrame | None = None,
+) -> DataFrame:
     """The periods of ``scd2`` with what a later merge needs: ``opened`` and ``seen``, the places in
     ``order`` of a period's first and last state. States at one place must agree; repeats are one."""
-    rows = _seen_states(states, key, order, tracked, slice_).distinct().withColumn("_here", F.lit(True))
+    rows = _seen_states(states, key, order, tracked, slice_)
+    return _by_heat(rows, key, lambda some, whole: _periods(some, key, order, tracked, whole), limits, probe)
+
+
+def _periods(rows: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], whole: bool) -> DataFrame:
+    # Whole keys are shuffled once, here; what goes by slices is stored before it is read twice.
+    kept = (lambda df, _: df) if whole else stored
+    rows = (rows.repartition(F.col(key)) if whole else rows).distinct().withColumn("_here", F.lit(True))
     beside = ["_here", *tracked]
     opens = F.col("_near__here").isNull() | _differs(tracked, "_near_")
-    first = _beside(rows, [key], order, "_slice", beside, False).withColumn("_opens", opens).select(*rows.columns, "_opens")
-    ends = _beside(stored(first, "opens"), [key], order, "_slice", beside, True).withColumn("_ends", opens)
+    first = _beside(rows, [key], order, "_slice", beside, False, whole).withColumn("_opens", opens).select(*rows.columns, "_opens")
+    ends = _beside(kept(first, "opens"), [key], order, "_slice", beside, True, whole).withColumn("_ends", opens)
     place = F.struct(*order)
     marks = ends.where("_opens OR _ends").select(*rows.columns, "_opens", "_ends", place.alias("_place"))
-    marks = stored(marks, "period-marks")
+    marks = kept(marks, "period-marks")
     # The next mark of a row that opens a period and does not end it is the row that ends it.
-    paired = _beside(marks, [key], order, "_slice", ["_place"], True).where("_opens")
+    paired = _beside(marks, [key], order, "_slice", ["_place"], True, whole).where("_opens")
     paired = paired.withColumn("_seen", F.when(F.col("_ends"), F.col("_place")).otherwise(F.col("_near__place")))
-    paired = stored(paired.select(*rows.columns, "_place", "_seen"), "period-starts")
+    paired = kept(paired.select(*rows.columns, "_place", "_seen"), "period-starts")
     start = order[0]
-    return _beside(paired, [key], order, "_slice", [start], True).select(
+    return _beside(paired, [key], order, "_slice", [start], True, whole).select(
         key, *tracked, F.col(start).alias("valid_from"), F.col(f"_near_{start}").alias("valid_to"),
         F.col(f"_near_{start}").isNull().alias("is_current"), F.col("_place").alias("opened"), F.col("_seen").alias("seen"),
     )
 
 
-def _split_spans(ends: DataFrame, states: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column) -> DataFrame:
+def _split_spans(
+    ends: DataFrame, states: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column, limits: Limits, probe: DataFrame
+) -> DataFrame:
     """Keys with a state strictly inside the span of a period of other values.
 
     Spans do not overlap, so a state is inside one if the next end of a span is a closing one. The next
-    end comes from the state's own slice or, by one row a slice, from a later one.
+    end of a hot key comes from the state's own slice or, by one row a slice, from a later one.
     """
     nothing = F.lit(None).cast(ends.schema["closes"].dataType)
     both = ends.unionByName(states.select(key, *order, *tracked, nothing.alias("closes"))).withColumn("_slice", slice_)
+    return _by_heat(both, key, lambda some, whole: _inside(some, key, order, tracked, whole), limits, probe).distinct()
+
+
+def _inside(both: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], whole: bool) -> DataFrame:
     end = F.when(F.col("closes").isNotNull(), F.struct("closes", *tracked))
+    if whole:
+        # Backwards, as a running value: frames that reach forward to the end are read anew for every row.
+        back = Window.partitionBy(key).orderBy(*[F.desc(c) for c in ("_slice", *order)], F.col("closes").isNotNull().desc())
+        after = F.last(end, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+        return _torn(both.withColumn("_next", after).where(F.col("closes").isNull()), key, tracked)
     ahead = Window.partitionBy(key, "_slice").orderBy(*order, F.col("closes").isNotNull()).rowsBetween(1, Window.unboundedFollowing)
     later = Window.partitionBy(key).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
     edges = (
@@ -238,12 +291,23 @@ def _split_spans(ends: DataFrame, states: DataFrame, key: str, order: Sequence[s
     )
     near = both.withColumn("_next", F.first(end, ignorenulls=True).over(ahead)).where(F.col("closes").isNull())
     found = near.join(edges, same_key(near, edges, [key, "_slice"], "_edge_"), "left").withColumn("_next", F.coalesce("_next", "_later"))
+    return _torn(found, key, tracked)
+
+
+def _torn(found: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
     inside = found.where(F.col("_next.closes")).select(key, *tracked, *[F.col("_next")[t].alias(f"_of_{t}") for t in tracked])
-    return inside.where(_differs(tracked, "_of_")).select(key).distinct()
+    return inside.where(_differs(tracked, "_of_")).select(key)
 
 
 def merge_periods(
-    current: DataFrame, states: DataFrame, log: DataFrame, key: str, order: Sequence[str], tracked: Sequence[str], slice_: Column
+    current: DataFrame,
+    states: DataFrame,
+    log: DataFrame,
+    key: str,
+    order: Sequence[str],
+    tracked: Sequence[str],
+    slice_: Column,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """``current`` periods (of ``periods``) with a batch of ``states`` merged in, late ones included.
 
@@ -260,8 +324,9 @@ def merge_periods(
     # A period of a single state has one end.
     both = F.when(F.col("opened") == F.col("seen"), F.array(first)).otherwise(F.array(first, last))
     ends = mine.select(key, *tracked, F.inline(both)).select(key, *[F.col("at")[o].alias(o) for o in order], *tracked, "closes")
-    torn = stored(_split_spans(ends, states, key, order, tracked, slice_), "scd2-torn")
+    # No key has many more ends and states than the log has rows of it.
+    torn = stored(_split_spans(ends, states, key, order, tracked, slice_, limits, log), "scd2-torn")
     plain = ends.drop("closes").unionByName(states).join(torn, key, "left_anti")
     again = log.select(key, *order, *tracked).join(torn, key, "left_semi")
-    made = periods(plain.unionByName(again), key, order, tracked, slice_)
+    made = periods(plain.unionByName(again), key, order, tracked, slice_, limits, log)
     return current.join(asked, key, "left_anti").unionByName(made)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltgate.operators.history import periods
 from siltgate.plans import dimension
+from siltgate.plans.sizing import Limits
 from siltgate.sources.lake import Lake, Table
 
 SCHEMA, DIM = "k string, at long, n long, v string, w int", Table("silver", "states")
@@ -66,5 +67,24 @@ def test_a_batch_reads_the_log_only_for_torn_periods(spark, tmp_path):
     assert [r["k"] for f in kept for r in spark.read.parquet(str(f)).collect()] == ["c"]
 
 
+@pytest.mark.parametrize("hot_rows", [3, 25, 10**9])
+def test_hot_keys_go_by_slices_and_the_rest_whole(spark, tmp_path, hot_rows):
+    rng, limits = random.Random(7), Limits(small_bytes=-1, hot_rows=hot_rows, sample=1.0)
+    states = [(rng.choice("aaaabc"), rng.randrange(60), n, rng.choice(["x", "y", None]), rng.choice([1, None])) for n in range(80)]
+    rng.shuffle(states)
+    lake = Lake(spark, str(tmp_path))
+    for i in (0, 40):
+        log = spark.createDataFrame(states[: i + 40], SCHEMA)
+        dimension.merge(lake, DIM, spark.createDataFrame(states[i : i + 40], SCHEMA), log, *how(), 4, limits)
+        made = [(*r[:6], tuple(r[6]), tuple(r[7])) for r in shown(lake.read(DIM))]
+        assert sorted(made, key=repr) == expected(states[: i + 40])
+
+
+def test_periods_of_whole_keys_take_one_shuffle(spark):
+    made = periods(spark.range(1000).selectExpr("string(id % 9) AS k", "id AS at", "id AS n", "string(id % 2) AS v", "1 AS w"), *how())
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_periods_of_nothing(spark):
     assert periods(spark.createDataFrame([], SCHEMA), *how()).count() == 0
