@@ -141,8 +141,10 @@ def guard_stops_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lake, orders = _lake(spark), tables.SILVER_ORDERS
     rules = medallion.silver_guards()
-    history.write_guarded(silver(spark, sf_dir), rules, lambda rows: lake.overwrite(rows, orders))
-    every = stored(gate.publishable(judged(spark, sf_dir)), "every-order")
+    # Judged once: the clean rows are a part of every row.
+    every_judged = stored(gate.publishable(judged(spark, sf_dir), gate.PASSED), "every-order")
+    published, every = every_judged.where(gate.PASSED).drop(gate.PASSED), every_judged.drop(gate.PASSED)
+    history.write_guarded(published, rules, lambda rows: lake.overwrite(rows, orders))
     breaking = [F.count_if(~F.coalesce(rule.holds(), F.lit(False))) for rule in rules]
     broken = every.agg(*[n.alias(rule.name) for rule, n in zip(rules, breaking)]).first()
     outcome = []

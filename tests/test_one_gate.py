@@ -30,6 +30,17 @@ def sf_dir(spark, tmp_path_factory):
     return str(at)
 
 
+def test_guarded_rows_are_judged_once(spark, sf_dir, monkeypatch):
+    judged, judge = [], gate.judge
+    monkeypatch.setattr(gate, "judge", lambda *a: judged.append(1) or judge(*a))
+    found = {r.guard: r for r in registry.guard_stops_writes(spark, sf_dir).collect()}
+    assert len(judged) == 1
+    clean = registry.clean(spark, sf_dir).count()
+    every = registry.judged(spark, sf_dir).count()
+    for row in found.values():
+        assert row.stopped == (row.rows_broken > 0) and row.rows_published == (clean if row.stopped else every)
+
+
 def test_candidates_are_joined_with_what_is_published_once(spark):
     rules = default_checks(spark)
     rejected = gate.judge(orders(spark, {"quantity": "-2"}, {"order_id": "O2", "quantity": "-2"}, {"order_id": None, "quantity": "-2"}), rules)
