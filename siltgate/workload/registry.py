@@ -818,7 +818,9 @@ def skewed_fk_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skewed_revenue_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.revenue_by_country(fact_sales(spark, sf_dir), customers(spark, sf_dir), SKEWED)
+    # Stored: hot keys are looked for in the fact, and the gate need not run for that as well.
+    fact = stored(fact_sales(spark, sf_dir).select("order_id", "customer_id", "order_amount"), "fact")
+    return star.revenue_by_country(fact, customers(spark, sf_dir), SKEWED)
 
 
 def skewed_append(spark: SparkSession, sf_dir: str) -> DataFrame:

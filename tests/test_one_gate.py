@@ -41,6 +41,13 @@ def test_guarded_rows_are_judged_once(spark, sf_dir, monkeypatch):
         assert row.stopped == (row.rows_broken > 0) and row.rows_published == (clean if row.stopped else every)
 
 
+def test_hot_keys_are_looked_for_in_the_stored_fact(spark, sf_dir):
+    shown = registry.skewed_revenue_by_country(spark, sf_dir)
+    assert "l_orderkey" not in shown._jdf.queryExecution().optimizedPlan().toString()
+    plain = registry.revenue_by_country(spark, sf_dir)
+    assert sorted(map(tuple, shown.collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_candidates_are_joined_with_what_is_published_once(spark):
     rules = default_checks(spark)
     rejected = gate.judge(orders(spark, {"quantity": "-2"}, {"order_id": "O2", "quantity": "-2"}, {"order_id": None, "quantity": "-2"}), rules)
