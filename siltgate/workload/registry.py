@@ -799,7 +799,8 @@ def skewed_prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def skewed_dedup_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranks within a customer, whose NULL-like key "-1" is hot."""
-    rows = raw_sales(spark, sf_dir).select("customer_id", "order_id", "product_id", *ARRIVAL)
+    # Stored: hot keys are looked for in all rows, and hot and cold ones are read apart.
+    rows = stored(raw_sales(spark, sf_dir).select("customer_id", "order_id", "product_id", *ARRIVAL), "sales")
     order = ["_ingested_at", "order_id", "_line"]
     ranked = repeats.rank_copies(rows, ["customer_id"], order, "copy_rank", SKEWED)
     return ranked.select("customer_id", "order_id", "product_id", "copy_rank")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltgate.operators.checks import key_exists
 from siltgate.operators.repeats import flag_repeats, newest_per_key, rank_copies, rounds, settle
+from siltgate.plans import sizing
 from siltgate.plans.lookup import lookup
 from siltgate.plans.sizing import Limits, broadcasts, hot_keys, shared_dir, stored
 from siltgate.sources.raw import unseen
@@ -293,3 +294,15 @@ def test_a_stopped_write_names_what_broke(spark, tmp_path):
         write_guarded(good, rules, fails)
     with pytest.raises(Exception, match="ZERO"):
         write_guarded(spark.sql("SELECT 1 / id AS n FROM range(1)"), [], lambda rows: rows.collect())
+
+
+def test_hot_keys_are_bounded_by_the_heaviest(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "MOST_HOT", 2)
+    rows = [("a", i) for i in range(9)] + [(None, i) for i in range(7)] + [("b", i) for i in range(5)] + [("c", 0)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    limits = Limits(broadcast_bytes=-1, small_bytes=-1, hot_rows=3, sample=1.0)
+    assert {r.k for r in sizing.hot_keys(df, ["k"], limits).collect()} == {"a", None}
+    ranked = rank_copies(df, ["k"], ["n"], "at", limits).collect()
+    assert sorted(map(str, ranked)) == sorted(f"Row(k={k!r}, n={n}, at={n + 1})" for k, n in rows)
+    firsts = [(r.k, r.n) for r in flag_repeats(df, ["k"], ["n"], "again", limits).where("NOT again").collect()]
+    assert sorted(firsts, key=str) == sorted([("a", 0), (None, 0), ("b", 0), ("c", 0)], key=str)
