@@ -162,14 +162,18 @@ def key_exists(
     A reference within the broadcast limit is broadcast. Beyond it only distinct keys
     are shuffled first: the keys that are "missing" (or "present", whichever ``rare``
     says is the exception) are stored, and if those can be broadcast, the rows of
-    ``df`` are never shuffled at all. Otherwise a Bloom filter of the reference keys, of
-    bounded size, decides the rows that cannot match where they stand, and only the rest is
-    joined by ``lookup``.
+    ``df`` are never shuffled at all. Otherwise a Bloom filter of bounded size, of the exceptions
+    or of the reference keys, whichever are fewer, decides the rows that cannot match where they
+    stand, and only the rest is joined by ``lookup``.
 
     ``probe`` must hold every key of ``df`` and is cheaper to read twice.
     """
     keys = list(keys)
     known = reference.select(*keys).distinct()
+    shown = [*quoted(c for c in df.columns if c != into), into]
+    given = F.lit(True)
+    for key in keys:
+        given = given & F.col(key).isNotNull()
     if not broadcasts(known, limits):
         source = df if probe is None else probe
         asked = source.select(*keys).dropna().distinct()
@@ -179,23 +183,25 @@ def key_exists(
             marked = exceptions.withColumn("_rare", F.lit(True))
             found = F.coalesce("_rare", F.lit(False))
             if rare == "missing":
-                given = F.lit(True)
-                for key in keys:
-                    given = given & F.col(key).isNotNull()
                 found = given & ~found
             joined = df.join(F.broadcast(marked), keys, "left").withColumn(into, found)
-            return joined.select(*quoted(c for c in df.columns if c != into), into)
-    shown = [*quoted(c for c in df.columns if c != into), into]
+            return joined.select(*shown)
+    listed = F.coalesce("_listed", F.lit(False))
     if broadcasts(known, limits):
-        flagged = lookup(df, known.withColumn("_known", F.lit(True)), keys, "left", limits, probe)
-        return flagged.withColumn(into, F.coalesce("_known", F.lit(False))).select(*shown)
+        flagged = lookup(df, known.withColumn("_listed", F.lit(True)), keys, "left", limits, probe)
+        return flagged.withColumn(into, listed).select(*shown)
+    # Present keys are among the known ones, so they are never more.
     known = stored(known, "reference-keys")
-    words = bloom.words_for(known.count())
-    sifted = bloom.flag(df, keys, bloom.build(known, keys, words), words, "_possible")
+    n_known, n_exceptions = known.count(), exceptions.count()
+    by_exceptions = rare == "present" or n_exceptions < n_known
+    some, n = (exceptions, n_exceptions) if by_exceptions else (known, n_known)
+    found, otherwise = (given & ~listed, given) if by_exceptions and rare == "missing" else (listed, F.lit(False))
+    words = bloom.words_for(n)
+    sifted = bloom.flag(df, keys, bloom.build(some, keys, words), words, "_possible")
     possible = sifted.where("_possible").drop("_possible")
-    flagged = lookup(possible, known.withColumn("_known", F.lit(True)), keys, "left", limits, probe)
-    flagged = flagged.withColumn(into, F.coalesce("_known", F.lit(False))).select(*shown)
-    return flagged.union(sifted.where("NOT _possible").withColumn(into, F.lit(False)).select(*shown))
+    flagged = lookup(possible, some.withColumn("_listed", F.lit(True)), keys, "left", limits, probe)
+    flagged = flagged.withColumn(into, found).select(*shown)
+    return flagged.union(sifted.where("NOT _possible").withColumn(into, otherwise).select(*shown))
 
 
 def orphans(

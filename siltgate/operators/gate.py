@@ -32,7 +32,8 @@ def prepare(df: DataFrame, checks: Sequence[Check], limits: Limits = DEFAULT_LIM
 
     A column two checks share is computed once. What needs no shuffle comes first, so
     that the shuffle for repeats carries results and not raw text that nothing else
-    reads; joins to references too large to broadcast come last. Hot keys are looked
+    reads. Joins to references too large to broadcast leave nearly all rows where they are
+    and read them twice, so they come before that shuffle as well. Hot keys are looked
     for in ``df`` itself, before any join or window.
     """
     raw = df
@@ -44,7 +45,7 @@ def prepare(df: DataFrame, checks: Sequence[Check], limits: Limits = DEFAULT_LIM
     small = [n for n in exists if broadcasts(n.reference.select(*n.keys), limits)]
     large = [n for n in exists if n not in small]
     repeated = [n for n in needs if isinstance(n, Repeated)]
-    for need in (*small, *repeated, *large):
+    for need in (*small, *large, *repeated):
         if isinstance(need, Repeated):
             df = flag_repeats(df, need.keys, need.order, need.column, limits, probe=raw)
         else:

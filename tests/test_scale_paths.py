@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltgate.operators.checks import key_exists
 from siltgate.operators.repeats import flag_repeats, newest_per_key, rank_copies, rounds, settle
-from siltgate.plans import sizing
+from siltgate.plans import bloom, sizing
 from siltgate.plans.lookup import lookup
 from siltgate.plans.sizing import Limits, broadcasts, hot_keys, shared_dir, stored
 from siltgate.sources.raw import unseen
@@ -306,3 +306,15 @@ def test_hot_keys_are_bounded_by_the_heaviest(spark, monkeypatch):
     assert sorted(map(str, ranked)) == sorted(f"Row(k={k!r}, n={n}, at={n + 1})" for k, n in rows)
     firsts = [(r.k, r.n) for r in flag_repeats(df, ["k"], ["n"], "again", limits).where("NOT again").collect()]
     assert sorted(firsts, key=str) == sorted([("a", 0), (None, 0), ("b", 0), ("c", 0)], key=str)
+
+
+# NULL, where the reference holds it, is one of its keys here; no given key equals it.
+@pytest.mark.parametrize(("rare", "last", "sifted_by"), [("missing", 15, 5), ("missing", 4, 4 + 1), ("present", 15, 15), ("present", 4, 4)])
+def test_rows_are_sifted_by_the_fewer_keys(spark, large, monkeypatch, rare, last, sifted_by):
+    asked, kept = [], bloom.build
+    monkeypatch.setattr(bloom, "build", lambda made, *a: asked.append(made.count()) or kept(made, *a))
+    df = spark.createDataFrame([(i % 20 - 1, i) for i in range(100)] + [(None, 100)], "k int, n int")
+    known = spark.createDataFrame([(i,) for i in range(last)] * 2 + [(None,)], "k int")
+    found = key_exists(df, ["k"], known, "there", large, rare=rare).collect()
+    assert len(found) == 101 and all(r.there == (r.k is not None and 0 <= r.k < last) for r in found)
+    assert asked == [sifted_by]
