@@ -318,3 +318,12 @@ def test_rows_are_sifted_by_the_fewer_keys(spark, large, monkeypatch, rare, last
     found = key_exists(df, ["k"], known, "there", large, rare=rare).collect()
     assert len(found) == 101 and all(r.there == (r.k is not None and 0 <= r.k < last) for r in found)
     assert asked == [sifted_by]
+
+
+def test_a_reference_just_within_the_limit_is_broadcast(spark, skewed):
+    df, _ = skewed
+    known = df.select("key").where("key IS NOT NULL")
+    limits = Limits(broadcast_bytes=sizing.estimated_bytes(known.distinct()))
+    found = key_exists(df, ["key"], known, "there", limits)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 1
+    assert all(r.there == (r.key is not None) for r in found.collect())
