@@ -14,6 +14,7 @@ import heapq
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 from math import ceil
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from siltgate.llm.base import annotate, slices
+from siltgate.llm.base import annotate, give_back, parts, slices
 from siltgate.plans.sizing import stored
 
 SPACE = "▁"
@@ -33,6 +34,8 @@ DICTIONARY = 1 << 18
 UNIT_CHARS = 48
 # Encodings of rarer units that a task keeps.
 CACHED_UNITS = 1 << 16
+# Bytes of text, or about as many of ids, whose rows go back to Spark at once.
+PART_BYTES = 1 << 20
 # Units that one task makes edges for.
 TASK_UNITS = 8192
 _MAP_BITS = 22
@@ -50,22 +53,27 @@ class Pieces:
     unknown_id: int = 0
     kind: str = "bpe"
     ids: dict[str, int] = field(init=False)
+    costs: dict[str, float] = field(init=False)
     longest: int = field(init=False)
     joined: np.ndarray = field(init=False)
 
     def __post_init__(self):
         self.ids = {self.spelled[i]: int(i) for i in self.normal}
+        self.costs = {p: -float(self.scores[i]) for p, i in self.ids.items()}
         self.longest = max(map(len, self.ids), default=1)
         pairs = {(ord(a), ord(b)) for p in self.ids for a, b in zip(p, p[1:], strict=False)}
         self.joined = np.zeros(1 << _MAP_BITS, bool)
         if pairs:
-            both = np.array(sorted(pairs), np.uint64)
+            both = np.array(sorted(pairs), np.uint32)
             self.joined[_pair_slot(both[:, 0], both[:, 1])] = True
 
 
 def _pair_slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Slot of a pair of characters. Pairs that share a slot only make a cut less."""
-    return (((a << np.uint64(21)) | b) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _MAP_BITS)
+    """Slot of a pair of 32-bit characters. Pairs that share a slot only make a cut less."""
+    out = a * np.uint32(0x9E3779B1)
+    out += b * np.uint32(0x85EBCA77)
+    out >>= np.uint32(32 - _MAP_BITS)
+    return out
 
 
 def load(path: str = MODEL_PATH, kind: str = "bpe") -> Pieces:
@@ -91,7 +99,7 @@ def units(texts: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray]:
     joined = "".join(texts)
     if not joined:
         return [], np.zeros(len(texts) + 1, np.int64)
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     cut = np.ones(len(points) + 1, bool)
     cut[1:-1] = ~pieces.joined[_pair_slot(points[:-1], points[1:])]
     starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
@@ -119,6 +127,8 @@ def unit_counts(docs: DataFrame, text: str, pieces: Pieces) -> DataFrame:
                     seen.clear()
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["unit", "n"])
+        del seen
+        give_back()
 
     return docs.select(text).mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
@@ -163,6 +173,11 @@ def lattice(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     return distinct.join(met, "unit", "left").select("unit", F.coalesce("edges", F.array().cast("array<struct<cost:double,start:int,after:int,id:int>>")).alias("edges"))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once; the optimizer would copy it to every place, into loops too."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _bit(at: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
@@ -180,15 +195,13 @@ def fold_merges(edges: Column, size: Column) -> Column:
         def fits(m: Column) -> Column:
             return (mask.bitwiseAND(m["ends"]) == m["ends"]) & (F.bit_count(mask.bitwiseAND(m["inner"])) == 1)
 
-        first = F.try_element_at(F.filter(state["edges"], fits), F.lit(1))
-        merged = F.when(first.isNotNull(), mask.bitwiseAND(F.bitwise_not(first["inner"])))
         nothing = F.array().cast("array<struct<ends:bigint,inner:bigint>>")
-        return F.element_at(
-            F.transform(
-                F.array(merged),
-                lambda m: F.struct(F.coalesce(m, mask).alias("mask"), F.when(m.isNotNull(), state["edges"]).otherwise(nothing).alias("edges")),
+        return _let(
+            F.try_element_at(F.filter(state["edges"], fits), F.lit(1)),
+            lambda first: F.struct(
+                F.coalesce(mask.bitwiseAND(F.bitwise_not(first["inner"])), mask).alias("mask"),
+                F.when(first.isNotNull(), state["edges"]).otherwise(nothing).alias("edges"),
             ),
-            1,
         )
 
     start = F.struct((_bit(size + 1) - 1).alias("mask"), long_edges.alias("edges"))
@@ -225,22 +238,18 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     """(unit, spans): spans are (start, after, id) in order, id NULL where no piece spells the character."""
     size = F.length("unit")
     fold = fold_merges(F.col("edges"), size) if pieces.kind == "bpe" else fold_viterbi(F.col("edges"), size, unknown_cost(pieces))
-    folded = lattice(distinct, pieces).select("unit", "edges", fold.alias("mask"))
-    cuts = F.filter(F.sequence(F.lit(0), size), lambda i: F.col("mask").bitwiseAND(_bit(i)) != 0)
-    return folded.withColumn("cuts", cuts).select(
+    cuts = _let(fold, lambda mask: F.filter(F.sequence(F.lit(0), size), lambda i: mask.bitwiseAND(_bit(i)) != 0))
+    return lattice(distinct, pieces).select("unit", "edges", cuts.alias("cuts")).select(
         "unit",
         F.transform(
             F.slice("cuts", 1, F.size("cuts") - 1),
-            lambda start, i: F.element_at(
-                F.transform(
-                    F.array(F.element_at("cuts", i + 2)),
-                    lambda after: F.struct(
-                        start.alias("start"),
-                        after.alias("after"),
-                        F.try_element_at(F.filter("edges", lambda e: (e["start"] == start) & (e["after"] == after)), F.lit(1))["id"].alias("id"),
-                    ),
+            lambda start, i: _let(
+                F.element_at("cuts", i + 2),
+                lambda after: F.struct(
+                    start.alias("start"),
+                    after.alias("after"),
+                    F.try_element_at(F.filter("edges", lambda e: (e["start"] == start) & (e["after"] == after)), F.lit(1))["id"].alias("id"),
                 ),
-                1,
             ),
         ).alias("spans"),
     )
@@ -251,8 +260,33 @@ def unknown_cost(pieces: Pieces) -> float:
     return float(10 - pieces.scores[pieces.normal].min())
 
 
+def _merged(unit: str, costs: dict[str, float]) -> list[str]:
+    """Symbols of a short unit after all merges, best score and leftmost first; each merge looks at all pairs."""
+    none = float("inf")
+    symbols = list(unit)
+    pairs = [costs.get(a + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
+    while pairs and (best := min(pairs)) < none:
+        i = pairs.index(best)
+        symbols[i] += symbols.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = costs.get(symbols[i] + symbols[i + 1], none)
+        if i:
+            pairs[i - 1] = costs.get(symbols[i - 1] + symbols[i], none)
+    return symbols
+
+
 def fold_unit(unit: str, pieces: Pieces) -> list[int]:
     """Ids of one unit of any length: the same lattice and fold, for units that are rare or long."""
+    if pieces.kind == "bpe" and len(unit) <= UNIT_CHARS:
+        out = []
+        for symbol in _merged(unit, pieces.costs):
+            found = pieces.ids.get(symbol)
+            if found is None:
+                out += _ids_of(symbol, pieces)
+            else:
+                out.append(found)
+        return out
     n, ids = len(unit), pieces.ids
     after = list(range(1, n + 1))  # where the symbol that starts here ends; 0 once it is merged away
     if pieces.kind == "bpe":
@@ -262,7 +296,7 @@ def fold_unit(unit: str, pieces: Pieces) -> list[int]:
         def offer(left: int) -> None:
             middle = after[left]
             if middle < n and (found := ids.get(unit[left : after[middle]])) is not None:
-                heapq.heappush(heap, (-pieces.scores[found], left, middle, after[middle]))
+                heapq.heappush(heap, (pieces.costs[unit[left : after[middle]]], left, middle, after[middle]))
 
         for i in range(n - 1):
             offer(i)
@@ -330,43 +364,62 @@ def dictionary(encoded: DataFrame, pieces: Pieces) -> Dictionary:
     return Dictionary(number, np.cumsum(sizes), np.array(ids, np.int32))
 
 
+def _roomy(table: np.ndarray, n: int) -> np.ndarray:
+    """``table`` with room for ``n`` values."""
+    if n <= len(table):
+        return table
+    return np.concatenate([table, np.empty(max(n, len(table) + len(table) // 8) - len(table), table.dtype)])
+
+
 def _encoder(pieces: Pieces, known: Dictionary) -> Callable[[], Callable[[pa.Array], list[pa.Array]]]:
     def start():
-        size = np.diff(known.offsets)
-        # Rare units recur within a task; what is kept of them is bounded by number and length.
-        cache: dict[str, np.ndarray] = {}
-
-        def fold(unit: str) -> np.ndarray:
-            got = cache.get(unit)
-            if got is None:
-                got = np.array(fold_unit(unit, pieces), np.int32)
-                if len(unit) <= UNIT_CHARS:
-                    if len(cache) >= CACHED_UNITS:
-                        cache.clear()
-                    cache[unit] = got
-            return got
+        # The frequent units' ids and, behind them, those of the rare units that the task has met.
+        n_known = len(known.number)
+        ids, starts, sizes = known.ids, known.offsets[:-1].astype(np.int32), np.diff(known.offsets).astype(np.int32)
+        rare: dict[str, int] = {}
+        held = len(ids)
+
+        def learn(found: list[str], missing: list[int], number: np.ndarray) -> None:
+            nonlocal ids, starts, sizes, held
+            # Rare units recur within a task; what is kept of them is bounded by number and length.
+            if len(rare) > CACHED_UNITS or held > len(known.ids) + CACHED_UNITS * UNIT_CHARS:
+                rare.clear()
+                held = len(known.ids)
+                ids, starts, sizes = ids[:held].copy(), starts[:n_known].copy(), sizes[:n_known].copy()
+            new: list[list[int]] = []
+            for i in missing:
+                at = rare.get(found[i])
+                if at is None:
+                    at = rare[found[i]] = n_known + len(rare)
+                    new.append(fold_unit(found[i], pieces))
+                number[i] = at
+            if new:
+                each = np.array([len(one) for one in new], np.int32)
+                first, last, end = n_known + len(rare) - len(new), n_known + len(rare), held + int(each.sum())
+                ids, starts, sizes = _roomy(ids, end), _roomy(starts, last), _roomy(sizes, last)
+                sizes[first:last] = each
+                starts[first:last] = held + np.cumsum(each) - each
+                ids[held:end] = [i for one in new for i in one]
+                held = end
 
         def work(texts: pa.Array) -> list[pa.Array]:
             made, counts = [], []
             for _, _, data, offsets in slices(texts):
                 found, bounds = units(_texts(data, offsets), pieces)
-                get = known.number.get
-                number = np.fromiter((get(u, -1) for u in found), np.int64, len(found))
-                rare: dict[str, int] = {}
-                for i in np.flatnonzero(number < 0).tolist():
-                    number[i] = len(known.number) + rare.setdefault(found[i], len(rare))
-                folded = [fold(u) for u in rare]
-                ids = np.concatenate([known.ids, *folded])
-                sizes = np.concatenate([size, np.array([len(f) for f in folded], np.int64)])
-                starts = np.cumsum(sizes) - sizes
+                number = np.fromiter(map(known.number.get, found, repeat(-1)), np.int32, len(found))
+                if len(missing := np.flatnonzero(number < 0)):
+                    learn(found, missing.tolist(), number)
                 each = sizes[number]
-                upto = np.concatenate([[0], np.cumsum(each)])
+                upto = np.zeros(len(each) + 1, np.int64)
+                np.cumsum(each, out=upto[1:])
                 # Position of each output id: its unit's first id plus its place in the unit.
-                made.append(ids[np.repeat(starts[number] - upto[:-1], each) + np.arange(upto[-1])])
+                places = np.repeat(starts[number] - upto[:-1], each)
+                places += np.arange(upto[-1])
+                made.append(ids[places])
                 counts.append(np.diff(upto[bounds]))
-            sizes = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
             flat = np.concatenate(made) if made else np.zeros(0)
-            return [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))]
+            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))]
 
         return work
 
@@ -383,7 +436,7 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text", into: str = "_pi
     """
     counted = stored(unit_counts(docs, text, pieces), "unit-counts")
     known = dictionary(encode_units(frequent(counted, most).select("unit"), pieces), pieces)
-    return annotate(docs, text, into, FIELDS, _encoder(pieces, known))
+    return annotate(docs, text, into, FIELDS, _encoder(pieces, known), PART_BYTES)
 
 
 def decode(encoded: DataFrame, pieces: Pieces, ids: str, into: str = "_decoded") -> DataFrame:
@@ -411,13 +464,14 @@ def decode(encoded: DataFrame, pieces: Pieces, ids: str, into: str = "_decoded")
         return raw.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(at)
+        for part in (p for batch in batches for p in parts(batch, at, PART_BYTES)):
+            lists = part.column(at)
             offsets = lists.offsets.to_numpy()
             values = lists.values.to_numpy(zero_copy_only=False)
             texts = [one(values[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             made = pa.StructArray.from_arrays([pa.array(texts, pa.string())], ["text"])
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], schema.names)
+            yield pa.RecordBatch.from_arrays([*part.columns, made], schema.names)
+        give_back()
 
     return encoded.mapInArrow(run, schema)
 

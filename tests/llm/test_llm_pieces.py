@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 
 import cases
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from siltgate.llm import pieces
+from siltgate.llm import base, pieces
 
 ODD = ["", " ", "  a", "a  b\n c  ", "日本語 と ﬁ Ａ", "x" * 300, "<s> hi </s>", "é\u0301", "a\tb\r\n", "\x00b", "1234567890 --- === ***", "http://a.b/c?d=e&f", "\U0001f642\U0001f642", "çéèaux" * 20, "the of and " * 30]
 
@@ -89,3 +92,37 @@ def test_empty_tables_and_a_character_that_is_a_mark(spark, model):
     assert pieces.decode(marked, model, "ids").select("_decoded.text").first()[0] == "a b"
     nulls = spark.createDataFrame([(None,), ([],), ([1, 2],)], "ids array<int>")
     assert [r[0] for r in pieces.decode(nulls, model, "ids").select("_decoded.text").collect()] == ["", "", ""]
+
+
+def test_the_fold_of_a_unit_is_worked_out_once(spark, model):
+    plan = pieces.encode_units(spark.createDataFrame([("▁there",)], "unit string"), model)._jdf.queryExecution().optimizedPlan().toString()
+    # Inlined into the filter of the boundaries, it would be folded anew for each of them.
+    assert "aggregate(" in plan
+    assert not re.search(r"filter\(sequence\(0, length[^\n]*lambdafunction\([^\n]*aggregate\(", plan)
+
+
+def test_rows_travel_in_parts_and_rare_units_are_kept_within_bounds(spark, model, library, monkeypatch):
+    rng = random.Random(5)
+    texts = [None, "", *("".join(rng.choice("abcdeé .日") for _ in range(rng.randint(0, 300))) for _ in range(60))]
+    batch = pa.record_batch({"text": pa.array(texts, pa.string())})
+    made = list(base.parts(batch.slice(1), 0, 500))
+    assert pa.Table.from_batches(made).column(0).to_pylist() == texts[1:]
+    assert len(made) > 5 and all(len(p) == 1 or sum(len(t.encode()) for t in p.column(0).to_pylist()) <= 500 for p in made)
+    lists = pa.record_batch({"ids": pa.array([[1] * 10, None, [], [2] * 300, [3]], pa.list_(pa.int32()))})
+    assert [p.num_rows for p in base.parts(lists, 0, 50)] == [3, 1, 1]
+    monkeypatch.setattr(pieces, "CACHED_UNITS", 3)
+    monkeypatch.setattr(base, "SLICE_BYTES", 100)
+    known = pieces.Dictionary({}, np.zeros(1, np.int64), np.zeros(0, np.int32))
+    work = pieces._encoder(model, known)()
+    got = [ids for p in base.parts(batch, 0, 100) for ids in work(p.column(0))[0].to_pylist()]
+    assert got == [library.encode(t or "") for t in texts]
+
+
+def test_short_and_long_units_merge_alike(model, library, monkeypatch):
+    rng = random.Random(11)
+    units = ["▁" + "".join(rng.choice("thereinoalsé1日") for _ in range(rng.randint(0, 47))) for _ in range(500)]
+    short = [pieces.fold_unit(u, model) for u in units]
+    # The heap takes units beyond the bound; scores and places decide in the same order.
+    monkeypatch.setattr(pieces, "UNIT_CHARS", 0)
+    assert short == [pieces.fold_unit(u, model) for u in units]
+    assert pieces._merged("▁aaaa", {"aa": 1.0, "aaa": 0.5, "▁a": 2.0}) == ["▁", "aaa", "a"]
