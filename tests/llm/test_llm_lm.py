@@ -6,8 +6,11 @@ from collections import Counter
 
 import cases
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 
 from siltgate.llm import lm
+from siltgate.llm.base import slices
 
 
 def small_vocabulary(n=40):
@@ -136,3 +139,28 @@ def test_every_training_document_is_learned_from(spark):
 def test_thousands_of_words_have_outputs_of_their_own():
     vocab = small_vocabulary(16_000)
     assert len(set(vocab.symbol.values())) == 16_000
+
+
+def test_words_of_a_slice_are_those_of_its_texts():
+    texts = ["", "A b", "b", " \x0b", "ÄÖ x  Y\n", "", "c", None, "d\x0c"]
+    (_, last, data, offsets), = slices(pa.array(texts), 1 << 20)
+    words, upto = lm._words(data, offsets)
+    split = [(t or "").encode().lower().split() for t in texts]
+    assert last == len(texts) and words.to_pylist() == [w for t in split for w in t]
+    assert upto.tolist() == np.cumsum([len(t) for t in split]).tolist()
+
+
+def test_large_outputs_are_shifted_before_they_are_raised():
+    w = lm.initial(small_vocabulary().own_counts)
+    w["class_bias"] = w["class_bias"] + np.float32(500)
+    w["words"] = w["words"] * np.float32(3000)
+    found = lm.log_probability(w, np.full((50, lm.HIDDEN), 0.9, np.float32), np.arange(50))
+    w = {k: v.astype(np.float64) for k, v in w.items()}
+    assert np.isfinite(found).all()
+    assert np.allclose(found, lm.log_probability(w, np.full((50, lm.HIDDEN), 0.9), np.arange(50)), rtol=1e-3, atol=1e-3)
+
+
+def test_learned_weights_travel_in_blocks():
+    vocab = small_vocabulary()
+    sent = lm._learner(lm.initial(vocab.own_counts), vocab.symbol)(pd.DataFrame({"text": ["w1 w2 w3 " * 20]}))
+    assert sum(map(len, sent["w"])) == lm._flat(lm.initial(vocab.own_counts)).size and len(sent) < 2000
