@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ LOG = "log"
 COMPRESSION = "zstd"
 _VERSION = re.compile(r"version=(\d+)$")
 _RESTORED = re.compile(r"(\d+)-from-(\d+)$")
+_DEALT = re.compile(r"(\d+)-into-(\d+)-by-(.+)$")
 
 
 @dataclass(frozen=True)
@@ -50,12 +52,20 @@ REVENUE_BY_COUNTRY = Table("gold", "revenue_by_country")
 REVENUE_BY_CATEGORY = Table("gold", "revenue_by_category")
 
 
+def _scratch_name() -> str:
+    """A name in the session's own catalog, for as long as a table needs one."""
+    return f"spark_catalog.default.siltgate_{uuid.uuid4().hex}"
+
+
 class Lake:
     """Tables under one root folder: ``<root>/<layer>/<table>/version=<n>``.
 
     Every write makes a new version and never touches an older one, so a plan may
     read the table it replaces. A version counts once Spark's committer has left its
     _SUCCESS file. One writer per table is assumed.
+
+    A version may be dealt by keys into buckets: each task writes a file per bucket, so nothing is
+    shuffled, and ``read_dealt`` gives the rows with rows of equal keys in one partition.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -115,31 +125,54 @@ class Lake:
             before = shown[v]
         return before
 
-    def _write(self, df: DataFrame, table: Table, partition_by: Sequence[str]) -> int:
+    def _dealt(self, table: Table) -> dict[int, tuple[int, tuple[str, ...]]]:
+        """Into how many buckets, and by which keys, the versions that are dealt are."""
+        found = (_DEALT.match(name) for name in self._names(f"{self.path(table)}/_dealt"))
+        return {int(m.group(1)): (int(m.group(2)), tuple(m.group(3).split(","))) for m in found if m}
+
+    def _write(self, df: DataFrame, table: Table, partition_by: Sequence[str], deal_by: Sequence[str] = (), buckets: int = 0) -> int:
+        if buckets and partition_by:
+            raise ValueError("a version is dealt or partitioned, not both")
         version = self._next(table)
+        path = f"{self.path(table)}/version={version}"
         writer = df.write.mode("errorifexists").option("compression", COMPRESSION)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path(table)}/version={version}")
+        if not buckets:
+            writer.parquet(path)
+            return version
+        # Spark writes buckets for a table of the catalog only; its files stay when the name goes.
+        name = _scratch_name()
+        try:
+            writer.option("path", path).bucketBy(buckets, *deal_by).saveAsTable(name, format="parquet")
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        fs, at = self._fs(f"{self.path(table)}/_dealt/{version}-into-{buckets}-by-{','.join(deal_by)}")
+        fs.create(at).close()
         return version
 
-    def append(self, df: DataFrame, table: Table, partition_by: Sequence[str] = ()) -> int:
+    def append(self, df: DataFrame, table: Table, partition_by: Sequence[str] = (), deal_by: Sequence[str] = (), buckets: int = 0) -> int:
         if table.kind != LOG:
             raise ValueError(f"{table.layer}.{table.name} is not a log")
-        return self._write(df, table, partition_by)
+        return self._write(df, table, partition_by, deal_by, buckets)
 
-    def overwrite(self, df: DataFrame, table: Table, partition_by: Sequence[str] = ()) -> int:
+    def overwrite(self, df: DataFrame, table: Table, partition_by: Sequence[str] = (), deal_by: Sequence[str] = (), buckets: int = 0) -> int:
         """Replace the content, schema included."""
         if table.kind != SNAPSHOT:
             raise ValueError(f"{table.layer}.{table.name} is not a snapshot")
-        return self._write(df, table, partition_by)
+        return self._write(df, table, partition_by, deal_by, buckets)
 
     def _newest(self, table: Table) -> str:
         """The folder that the newest version's rows are in."""
         return f"{self.path(table)}/version={self._parts(table, self.versions(table)[-1])[-1]}"
 
     def extend(self, df: DataFrame, table: Table) -> None:
-        """Add rows to the newest version of a snapshot; its files stay as they are."""
+        """Add rows to the newest version of a snapshot; its files stay as they are. It is not dealt any more."""
+        version = self._parts(table, self.versions(table)[-1])[-1]
+        for name in self._names(f"{self.path(table)}/_dealt"):
+            if name.startswith(f"{version}-into-"):
+                fs, at = self._fs(f"{self.path(table)}/_dealt/{name}")
+                fs.delete(at, False)
         df.write.mode("append").option("compression", COMPRESSION).parquet(self._newest(table))
 
     def replace_partitions(self, df: DataFrame, table: Table, by: Sequence[str]) -> None:
@@ -164,6 +197,29 @@ class Lake:
         paths = [f"{self.path(table)}/version={n}" for n in parts]
         return self.spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
+    def buckets(self, table: Table, by: Sequence[str]) -> int:
+        """Into how many buckets the newest version's rows are dealt by ``by``; 0 unless one write dealt all of them."""
+        parts = self._parts(table, self.versions(table)[-1])
+        n, keys = self._dealt(table).get(parts[0], (0, ()))
+        return n if len(parts) == 1 and keys == tuple(by) else 0
+
+    def read_dealt(self, table: Table, by: Sequence[str]) -> DataFrame:
+        """The rows of ``read``. Where they are dealt by ``by``, a plan that groups by it does not shuffle them.
+
+        A bucket is one task, however full it is, so this is for keys of which none is hot.
+        """
+        n = self.buckets(table, by)
+        if not n:
+            return self.read(table)
+        path, name = self._newest(table), _scratch_name()
+        columns, keys = self.spark.read.parquet(path).schema.toDDL(), ", ".join(f"`{k}`" for k in by)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) INTO {n} BUCKETS LOCATION '{place}'")
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
     def restore(self, table: Table, version: int) -> int:
         """Make an older version the newest again. Only a marker is written, no data is copied."""
         if version not in self.versions(table):
@@ -199,8 +255,8 @@ class CatalogLake:
     def exists(self, table: Table) -> bool:
         return self.spark.catalog.tableExists(self.path(table))
 
-    def append(self, df: DataFrame, table: Table, partition_by: Sequence[str] = ()) -> None:
-        """Columns that the table lacks are added to it; columns that ``df`` lacks are NULL."""
+    def append(self, df: DataFrame, table: Table, partition_by: Sequence[str] = (), deal_by: Sequence[str] = (), buckets: int = 0) -> None:
+        """Columns that the table lacks are added to it; columns that ``df`` lacks are NULL. Dealing is the table format's matter."""
         if self.exists(table):
             known = self.spark.read.table(self.path(table)).schema
             taken = {f.name.lower() for f in known}
@@ -217,7 +273,7 @@ class CatalogLake:
             )
         self._write(df, table, "append", partition_by)
 
-    def overwrite(self, df: DataFrame, table: Table, partition_by: Sequence[str] = ()) -> None:
+    def overwrite(self, df: DataFrame, table: Table, partition_by: Sequence[str] = (), deal_by: Sequence[str] = (), buckets: int = 0) -> None:
         self._write(df, table, "overwrite", partition_by)
 
     def extend(self, df: DataFrame, table: Table) -> None:
@@ -246,3 +302,9 @@ class CatalogLake:
         if version is not None:
             return self.spark.sql(f"SELECT * FROM {self.path(table)} VERSION AS OF {int(version)}")
         return self.spark.read.table(self.path(table))
+
+    def buckets(self, table: Table, by: Sequence[str]) -> int:
+        return 0
+
+    def read_dealt(self, table: Table, by: Sequence[str]) -> DataFrame:
+        return self.read(table)
