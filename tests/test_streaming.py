@@ -124,3 +124,24 @@ def test_another_checkpoint_has_rows_and_keys_of_its_own(spark, tmp_path):
         drain(spark, landing, tmp_path, checkpoint)
     rows = gated.read(spark, str(tmp_path / "out"))
     assert [r[gate.PASSED] for r in rows.collect()] == [True, True] and rows.select("stream").distinct().count() == 2
+
+
+def test_keys_are_kept_on_disk_unless_the_session_names_a_store(spark, tmp_path):
+    def stores(checkpoint):
+        query = drain(spark, str(tmp_path / "in"), tmp_path, checkpoint)
+        return [any(name.startswith("rocksdb") for name in op["customMetrics"]) for op in query.lastProgress["stateOperators"]]
+
+    provider = next(iter(gated.STATE_STORE))
+    deliver(spark, str(tmp_path / "in"), {}, {"order_id": "O2"})
+    assert stores("mine") == [True]
+    assert not [key for key in gated.STATE_STORE if spark.conf.get(key, None)]
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        assert stores("theirs") == [False] and "HDFS" in spark.conf.get(provider)
+    finally:
+        spark.conf.unset(provider)
+    # A checkpoint that was begun with the other store goes on with it, and knows its keys.
+    deliver(spark, str(tmp_path / "in"), {}, {"order_id": "O3"})
+    assert stores("theirs") == [False]
+    judged = gated.read(spark, str(tmp_path / "out")).select("stream", "batch", "order_id", gate.PASSED).collect()
+    assert sorted((r.order_id, r[gate.PASSED]) for r in judged if r.batch == 1) == [("O1", False), ("O3", True)]
